@@ -76,8 +76,8 @@ def aggregate_by_key(
 
     def fold(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict[tuple, Any] = {}
-        for chunk in chunks:
-            for key, values in chunk.groupby(keys, dropna=False, sort=False)["_value"]:
+        for rows in gathered(chunks):
+            for key, values in rows.groupby(keys, dropna=False, sort=False)["_value"]:
                 key = tuple(None if pd.isna(k) else k for k in key)
                 states[key] = aggregate.add(states.get(key, aggregate.start()), values)
             # Hand states on before they fill the worker; they are merged later anyway.
@@ -86,6 +86,17 @@ def aggregate_by_key(
                 states = {}
         yield frame(states)
 
+    def gathered(chunks: Iterator[pd.DataFrame], rows: int = 200_000) -> Iterator[pd.DataFrame]:
+        """Fewer, larger chunks: each costs one call per key."""
+        held: list[pd.DataFrame] = []
+        for chunk in chunks:
+            held.append(chunk)
+            if sum(map(len, held)) >= rows:
+                yield pd.concat(held)
+                held = []
+        if held:
+            yield pd.concat(held)
+
     def frame(states: dict[tuple, Any]) -> pd.DataFrame:
         columns = {k: [key[i] for key in states] for i, k in enumerate(keys)}
         columns["_state"] = [pickle.dumps(s) for s in states.values()]

@@ -55,13 +55,13 @@ def as_of_join(
         .select(*keys, "_at", in_slice, "_version")
     )
 
-    # At most one row per key and slice: the newest version that starts in it.
-    newest = versions.groupBy(*keys, "_slice").agg(F.max(F.struct("_at", "_version")).alias("_newest"))
-    asked = instants.select(*keys, "_slice").distinct()
-    no_version = F.lit(None).cast(newest.schema["_newest"].dataType).alias("_newest")
+    # At most one row per key and slice in use: the newest version that starts in it.
+    newest = F.struct("_at", "_version").alias("_newest")
+    starts = versions.select(*keys, "_slice", newest)
+    nothing = F.lit(None).cast(starts.schema["_newest"].dataType).alias("_newest")
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        newest.unionAll(asked.select(*keys, "_slice", no_version))
+        starts.unionAll(instants.select(*keys, "_slice", nothing))
         .groupBy(*keys, "_slice")
         .agg(F.max("_newest").alias("_newest"))
         .withColumn("_before", F.last("_newest", ignorenulls=True).over(earlier))
