@@ -34,11 +34,17 @@ class View:
 
 @dataclass(frozen=True)
 class Insert:
-    """Write a query's rows into a table. On a stream, ``mode`` is Spark's output mode."""
+    """Write a query's rows into a table. On a stream, ``mode`` is Spark's output mode.
+
+    With ``each_batch`` the query sees every micro-batch as a table of its own. That
+    is right when a row's result depends on that row and on static tables only,
+    and it allows what Spark refuses on streams: an as-of join with a static history.
+    """
 
     target: str
     query: Query
     mode: str = "append"
+    each_batch: bool = False
 
 
 class Job:
@@ -128,12 +134,15 @@ class Job:
         checkpoint = self.settings.checkpoint or shared_dir(session, self.settings.name)
         self.bind(session, streaming=True)
         streams = [t for t in self.tables.values() if t.is_source and t.name not in self.static]
-        results = [evaluate(session, i.query) for i in inserts]
+        if any(i.each_batch for i in inserts) and len(streams) != 1:
+            raise ValueError("inserts for each batch need exactly one stream")
+        results = [None if i.each_batch else evaluate(session, i.query) for i in inserts]
         for insert, df in zip(inserts, results):
-            align(df, self.tables[insert.target].fields)
-            if not df.isStreaming:
-                raise ValueError(f"insert into {insert.target} reads no stream; run it as a batch")
-        keeps = [is_stateful(df) for df in results]
+            if df is not None:
+                align(df, self.tables[insert.target].fields)
+                if not df.isStreaming:
+                    raise ValueError(f"insert into {insert.target} reads no stream; run it as a batch")
+        keeps = [df is not None and is_stateful(df) for df in results]
         if any(t.undecoded for t in streams) and (any(keeps) or len(streams) > 1):
             raise ValueError("a side folder for undecoded messages needs one stream and stateless inserts")
         # Inserts without state share one pass over their source; the others run by themselves.
