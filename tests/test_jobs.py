@@ -1,12 +1,14 @@
 """Jobs: order, errors, savepoints, restarts, status, previews."""
 
 import time
-from datetime import datetime, timedelta
+from datetime import timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import feeds
+from tidemark.functions import register
 from tidemark.operators import pv_uv, pv_uv_running
 from tidemark.plans import Insert, Job, View, page, preview, preview_statement
 from tidemark.queries.inputs import as_user_log
@@ -121,6 +123,26 @@ def test_settings():
         JobSettings("j", on_mismatch="ignore")
 
 
+def test_artifacts_and_parameters_of_a_job(spark, data, tmp_path):
+    feeds.in_files(tmp_path / "in", feeds.events(data), 1)
+    (tmp_path / "only_here.py").write_text("def mark(values):\n    return values + 1000000\n")
+    out = sink(tmp_path, "event_id bigint, day string")
+
+    def query(session):
+        def marked(ids: pd.Series) -> pd.Series:
+            import only_here
+
+            return only_here.mark(ids)
+
+        register(session, "marked", marked, "scalar", "long")
+        return session.sql(f"SELECT marked(event_id), '{session.conf.get('job.day')}' FROM events")
+
+    own = dict(streaming=False, artifacts=[str(tmp_path / "only_here.py")], params={"day": "monday"}, catalog="spark_catalog")
+    Job(settings(tmp_path, **own), [feeds.source(tmp_path / "in"), out, Insert("out", query)]).run(spark)
+    got = read_back(spark, out).selectExpr("min(event_id) >= 1000000", "min(day)").first()
+    assert tuple(got) == (True, "monday")
+
+
 # -- life of a job --------------------------------------------------------------------------
 
 

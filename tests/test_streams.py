@@ -1,5 +1,6 @@
 """Stream results against their batch twins, over several micro-batches."""
 
+import time
 from datetime import timedelta
 
 import pyarrow as pa
@@ -79,6 +80,37 @@ def test_pv_uv_over_batches_and_a_restart(spark, data, tmp_path, whole, form):
     assert len({s.writer for s in stamps}) == 1 and {s.batch_id for s in stamps} == {0, 1, 2, 3}
 
 
+def test_visitors_silent_for_the_retention_are_forgotten(spark, data, tmp_path):
+    part = feeds.events(data).slice(0, 200)
+    users = len(set(part["user_id"].to_pylist()))
+    out = sink(tmp_path, "place string, pv bigint, uv bigint", ("place",))
+    keep = timedelta(seconds=4)
+    statements = [
+        feeds.source(tmp_path / "in"), out,
+        Insert("out", lambda s: pv_uv_running(
+            s.sql("SELECT 'all' AS place, user_id FROM events"), "place", "user_id", retention=keep, buckets=2), "update"),
+    ]
+    for number, pause in enumerate((6, 0)):
+        feeds.add_file(tmp_path / "in", part, number)
+        run(spark, tmp_path, statements)
+        time.sleep(pause)
+    assert rows(read_back(spark, out)) == [("all", 400, 2 * users)]
+
+
+def test_rows_are_combined_before_the_shuffle(spark):
+    from tidemark.streaming.combine import count_within_task
+
+    df = spark.range(0, 3000, numPartitions=3).select(
+        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("u"), F.lit(1).alias("k")
+    )
+    for hold in (500_000, 50):
+        folded = count_within_task(df, ["k", "u"], "n", hold)
+        wanted = rows(df.groupBy("k", "u").count())
+        assert rows(folded.groupBy("k", "u").agg(F.sum("n"))) == wanted
+        assert folded.where("u = 'hot'").count() < 130
+    assert count_within_task(df.limit(0), ["k", "u"], "n").count() == 0
+
+
 def test_uv_alone(spark, data, tmp_path, whole):
     feeds.in_files(tmp_path / "in", feeds.events(data))
     out = sink(tmp_path, "event_type string, uv bigint", ("event_type",))

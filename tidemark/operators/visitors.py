@@ -7,6 +7,9 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.streaming.combine import count_within_task
+from tidemark.streaming.retained import first_visits
+
 
 def pv_uv(df: DataFrame, key: str, user: str) -> DataFrame:
     """Rows and distinct non-null users per key; batch.
@@ -24,10 +27,17 @@ def pv_uv_approx(df: DataFrame, key: str, user: str, rsd: float = 0.05) -> DataF
     )
 
 
+def _pairs(df: DataFrame, key: str, user: str) -> DataFrame:
+    """Distinct (key, user) with a user; on a stream, each once for ever."""
+    known = df.select(key, user).where(F.col(user).isNotNull())
+    if df.isStreaming:
+        known = count_within_task(known, [key, user], "_n").select(key, user)
+    return known.dropDuplicates([key, user])
+
+
 def uv_running(df: DataFrame, key: str, user: str) -> DataFrame:
     """Exact distinct users per key, kept up to date on a stream (update mode)."""
-    firsts = df.select(key, user).where(F.col(user).isNotNull()).dropDuplicates([key, user])
-    return firsts.groupBy(key).agg(F.count(F.lit(1)).alias("uv"))
+    return _pairs(df, key, user).groupBy(key).agg(F.count(F.lit(1)).alias("uv"))
 
 
 def pv_uv_running(
@@ -35,7 +45,8 @@ def pv_uv_running(
 ) -> DataFrame:
     """Exact page views and visitors per key, kept up to date on a stream (update mode).
 
-    State is held per (key, user), so no task owns all users of a busy key.
+    State is held per (key, user), so no task owns all users of a busy key, and equal
+    pairs are combined before the shuffle, so none gets all rows of a busy user.
 
     With ``retention`` a (key, user) pair that stays silent for that long is
     forgotten, and the user counts as new when coming back: ``uv`` then means
@@ -45,12 +56,9 @@ def pv_uv_running(
     if retention is not None and retention > timedelta(0):
         if not df.isStreaming:
             raise ValueError("retention forgets by wall clock, so it needs a stream")
-        from tidemark.streaming.retained import first_visits
-
         steps = first_visits(df, key, user, retention, buckets)
     else:
         one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
         views = df.select(key, one.alias("pv"), none.alias("uv"))
-        firsts = df.select(key, user).where(F.col(user).isNotNull()).dropDuplicates([key, user])
-        steps = views.unionAll(firsts.select(key, none.alias("pv"), one.alias("uv")))
+        steps = views.unionAll(_pairs(df, key, user).select(key, none.alias("pv"), one.alias("uv")))
     return steps.groupBy(key).agg(F.sum("pv").alias("pv"), F.sum("uv").alias("uv"))

@@ -94,6 +94,10 @@ class Job:
         session = job_session(spark, self.settings.params)
         if self.settings.parallelism:
             session.conf.set("spark.sql.shuffle.partitions", str(self.settings.parallelism))
+        if self.settings.catalog:
+            session.catalog.setCurrentCatalog(self.settings.catalog)
+        for path in self.settings.artifacts:
+            session.addArtifacts(path, pyfile=not path.endswith(".jar"))
         if self.settings.bounded:
             session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
         return session

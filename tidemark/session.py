@@ -42,6 +42,8 @@ def job_session(spark: SparkSession, params: Mapping[str, str] | None = None) ->
             session.conf.set(key, value)
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # Each batch uploads its changes of state instead of whole snapshots.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000")
     # Close sessions of one map task before the shuffle, so a busy key sends few rows.
     session.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")

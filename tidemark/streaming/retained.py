@@ -11,31 +11,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from tidemark.streaming.combine import count_within_task
+
 
 class FirstVisits(StatefulProcessor):
-    """Per (key, bucket): how many rows came in, and how many users were new."""
+    """Per (place, bucket): how many visits came in, and how many visitors were new."""
 
-    def __init__(self, key: str, user: str, ttl_ms: int):
-        self.key, self.user, self.ttl_ms = key, user, ttl_ms
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getMapState(
             "seen",
-            StructType([StructField("user", StringType())]),
+            StructType([StructField("visitor", StringType())]),
             StructType([StructField("seen", BooleanType())]),
             self.ttl_ms,
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        views = fresh = 0
+        visits = fresh = 0
         for chunk in rows:
-            views += len(chunk)
-            for user in chunk[self.user].dropna().unique():
-                if not self.seen.containsKey((user,)):
+            visits += int(chunk["visits"].sum())
+            for visitor in chunk["visitor"].dropna().unique():
+                if not self.seen.containsKey((visitor,)):
                     fresh += 1
                 # Written on every visit: this is what renews the retention.
-                self.seen.updateValue((user,), (True,))
-        yield pd.DataFrame({self.key: [key[0]], "pv": [views], "uv": [fresh]})
+                self.seen.updateValue((visitor,), (True,))
+        yield pd.DataFrame({"place": [key[0]], "pv": [visits], "uv": [fresh]})
 
     def close(self) -> None:
         pass
@@ -48,14 +50,14 @@ def first_visits(df: DataFrame, key: str, user: str, retention: timedelta, bucke
     ``spark.sql.streaming.noDataMicroBatches.enabled`` to false: a clock-driven
     state asks for one more empty batch for ever.
     """
-    rows = df.select(
-        F.col(key).cast("string").alias(key),
-        F.col(user).cast("string").alias(user),
-        F.pmod(F.xxhash64(F.col(user).cast("string")), F.lit(buckets)).alias("_bucket"),
+    text = df.select(F.col(key).cast("string").alias("place"), F.col(user).cast("string").alias("visitor"))
+    rows = count_within_task(text, ["place", "visitor"], "visits").withColumn(
+        "bucket", F.pmod(F.xxhash64("visitor"), F.lit(buckets))
     )
-    return rows.groupBy(key, "_bucket").transformWithStateInPandas(
-        FirstVisits(key, user, int(retention.total_seconds() * 1000)),
-        outputStructType=StructType.fromDDL(f"`{key}` string, pv long, uv long"),
+    steps = rows.groupBy("place", "bucket").transformWithStateInPandas(
+        FirstVisits(int(retention.total_seconds() * 1000)),
+        outputStructType=StructType.fromDDL("place string, pv long, uv long"),
         outputMode="Update",
         timeMode="ProcessingTime",
     )
+    return steps.withColumnRenamed("place", key)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
 
@@ -19,7 +19,9 @@ class JobSettings:
     ``bounded`` processes what is there now and ends. ``restore_from`` names a savepoint;
     ``on_mismatch="drop_state"`` lets a stateless job start from the savepoint of a
     stateful one, from its offsets alone. ``parallelism`` is the number of shuffle
-    partitions; a stream keeps it for the life of its checkpoint.
+    partitions; a stream keeps it for the life of its checkpoint. ``catalog`` is made current.
+    ``artifacts`` are Python files or archives and jars that only this job sees.
+    ``params`` can be read by its functions as ``job.<name>`` settings.
     """
 
     name: str
@@ -34,6 +36,8 @@ class JobSettings:
     savepoint_dir: str | None = None
     restarts: int = 3
     restart_delay: timedelta = timedelta(seconds=10)
+    catalog: str | None = None
+    artifacts: Sequence[str] = ()
     params: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
