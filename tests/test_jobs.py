@@ -87,6 +87,29 @@ def test_running_a_batch_twice_inserts_twice(spark, data, tmp_path):
     assert read_back(spark, out).count() == 2 * feeds.events(data).num_rows
 
 
+def test_staged_views_are_computed_once(spark, data, tmp_path, whole):
+    feeds.in_files(tmp_path / "in", feeds.events(data), 1)
+    a, b = sink(tmp_path, "user_id string", name="a"), sink(tmp_path, "user_id string", name="b")
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(session):
+        def same(ids: pd.Series) -> pd.Series:
+            calls.add(len(ids))
+            return ids
+
+        register(session, "same", same, "scalar", "string")
+        return session.sql("SELECT same(cast(user_id AS string)) AS user_id, event_type FROM events")
+
+    statements = [
+        feeds.source(tmp_path / "in"), View("log", counted), a, b,
+        Insert("a", "SELECT user_id FROM log WHERE event_type = 'view'"),
+        Insert("b", "SELECT user_id FROM log WHERE event_type <> 'view'"),
+    ]
+    Job(settings(tmp_path, streaming=False), statements, staged=["log"]).run(spark)
+    assert calls.value == whole.count()
+    assert read_back(spark, a).count() + read_back(spark, b).count() == whole.count()
+
+
 def test_a_job_needs_inserts_into_its_own_sinks(spark, tmp_path):
     table = feeds.source(tmp_path / "in")
     with pytest.raises(ValueError, match="no insert"):

@@ -57,7 +57,7 @@ def register(spark: SparkSession, name: str, function: Any, kind: str, returns:
         whole.__annotations__ = {"values": pd.Series, "return": float}
         spark.udf.register(name, F.pandas_udf(whole, returns))
     elif kind == "table":
-        spark.udtf.register(name, F.udtf(function, returnType=returns))
+        spark.udtf.register(name, F.udtf(function, returnType=returns, useArrow=True))
     else:
         raise ValueError(f"{name}: unknown kind {kind!r} of {type(function).__name__}; known are {KINDS}")
 

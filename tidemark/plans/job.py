@@ -51,19 +51,34 @@ class Job:
     """Tables, views and inserts, registered in the order given.
 
     ``static`` names source tables that a streaming job reads whole, as a batch.
+    ``staged`` names sources or views that a batch job computes once, into a table in
+    the shared folder, for all inserts to read: worth it where decoding or a join
+    comes first, not where each insert can push its filter into the source.
     """
 
-    def __init__(self, settings: JobSettings, statements: Sequence, static: Sequence[str] = ()):
-        self.settings, self.statements, self.static = settings, list(statements), set(static)
+    def __init__(
+        self,
+        settings: JobSettings,
+        statements: Sequence,
+        static: Sequence[str] = (),
+        staged: Sequence[str] = (),
+    ):
+        self.settings, self.statements = settings, list(statements)
+        self.static, self.staged = set(static), set(staged)
         self.tables = {s.name: s for s in self.statements if isinstance(s, Table)}
 
     # -- names --------------------------------------------------------------
 
     def bind(
-        self, session: SparkSession, streaming: bool = False, given: Mapping[str, DataFrame] | None = None
+        self,
+        session: SparkSession,
+        streaming: bool = False,
+        given: Mapping[str, DataFrame] | None = None,
+        stage: bool = False,
     ) -> SparkSession:
         """Register sources and views in ``session``; ``given`` replaces sources."""
         given = given or {}
+        staged = self.staged if stage else set()
         for statement in self.statements:
             if isinstance(statement, Table) and statement.is_source:
                 name = statement.name
@@ -72,11 +87,19 @@ class Job:
                     rows = read(session, statement, streaming and name not in self.static)
                     if statement.undecoded:
                         rows, _ = split_undecoded(rows)
-                view(name, rows)
+                view(name, self._stage(name, rows) if name in staged else rows)
             elif isinstance(statement, View):
-                view(statement.name, evaluate(session, statement.query), statement.columns)
+                rows = view(statement.name, evaluate(session, statement.query), statement.columns)
+                if statement.name in staged:
+                    view(statement.name, self._stage(statement.name, rows))
         return session
 
+    @staticmethod
+    def _stage(name: str, rows: DataFrame) -> DataFrame:
+        path = shared_dir(rows.sparkSession, f"staged-{name}")
+        rows.write.parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
     def inserts(self) -> list[Insert]:
         found = []
         for statement in self.statements:
@@ -123,7 +146,7 @@ class Job:
             for t in self.tables.values()
             if t.is_source and t.undecoded
         }
-        self.bind(session, given=given)
+        self.bind(session, given=given, stage=True)
         for number, insert in enumerate(inserts):
             target = self.tables[insert.target]
             write(evaluate(session, insert.query), target, self._label(writer, number, inserts))

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import interval_join, pv_uv_approx, pv_uv_running, slide, tumble, uv_running
 from tidemark.plans import Insert, Job, View
-from tidemark.queries.inputs import EVENTS, USER_LOG_SQL, as_user_log
+from tidemark.queries.inputs import EVENTS, USER_LOG, USER_LOG_SQL, as_user_log, table
 from tidemark.queries.timeline import INTERVAL_SQL, MEASURES, SLIDE_SQL, TUMBLE_SQL
 from tidemark.queries.visits import PV_UV_SQL
 from tidemark.session import shared_dir
-from tidemark.sources import Table, read_back
+from tidemark.sources import Table, encode_json, read_back
+from tidemark.sources.changes import read_batches
 from tidemark.streaming.settings import JobSettings
 
 HOUR = timedelta(hours=1)
@@ -70,6 +71,50 @@ def uv_stream(spark, folder):
     return rows
 
 
+def _topic(spark, folder, out):
+    """The user log as a topic of JSON messages, in files, with one broken message for every hundredth item."""
+    log = as_user_log(table(spark, folder, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
+    whole = encode_json(log, key="user_id")
+    broken = encode_json(log.where("item_id = '0'"), key="user_id").withColumn(
+        "value", F.expr("substring(value, 1, 20)")
+    )
+    whole.unionAll(broken).write.parquet(f"{out}/topic")
+    return Table(
+        "user_log", USER_LOG, "parquet", {"maxBytesPerTrigger": str(2**40)}, path=f"{out}/topic",
+        encoding="json", undecoded=f"{out}/undecoded",
+    )
+
+
+def topic_copy(spark, folder):
+    """Four columns of every message that decodes, in the order of the sink."""
+    out = shared_dir(spark, "copy")
+    sink = Table(
+        "copy", "user_id string, item_id string, category_id string, behavior string", "parquet",
+        path=f"{out}/rows", role="sink",
+    )
+    job = Job(
+        JobSettings("copy", bounded=True, attached=True, checkpoint=f"{out}/checkpoint"),
+        [
+            _topic(spark, folder, out),
+            sink,
+            Insert("copy", "SELECT user_id, item_id, category_id, behavior FROM user_log"),
+        ],
+    )
+    job.run(spark)
+    return read_back(spark, sink)
+
+
+def topic_undecoded(spark, folder):
+    """The messages that do not decode, from the side folder of the same job run as a batch."""
+    out = shared_dir(spark, "undecoded")
+    topic = _topic(spark, folder, out)
+    sink = Table("copy", "user_id string", "parquet", path=f"{out}/rows", role="sink")
+    Job(
+        JobSettings("undecoded", streaming=False), [topic, sink, Insert("copy", "SELECT user_id FROM user_log")]
+    ).run(spark)
+    return read_batches(spark, topic.undecoded, "parquet", "value string").groupBy("value").count()
+
+
 WINDOWS = "window_start timestamp, window_end timestamp, event_type string, n bigint, smallest double, largest double"
 
 
@@ -128,6 +173,15 @@ CATALOG = {
         SLIDE_SQL,
     ),
     "interval_join_stream": (interval_stream, INTERVAL_SQL),
+    "topic_copy_stream": (
+        topic_copy,
+        f"SELECT user_id, item_id, category_id, behavior FROM {USER_LOG_SQL}",
+    ),
+    "topic_undecoded": (
+        topic_undecoded,
+        f"""SELECT substring('{{"user_id":"' || user_id || '","item_id":"0"', 1, 20) AS value, count(*) AS count
+            FROM {USER_LOG_SQL} WHERE item_id = '0' GROUP BY 1""",
+    ),
     "job_overview": (
         job_overview,
         "SELECT 'overview' AS job, count(*) AS rows_in, 0 AS late_rows, 'FINISHED' AS status FROM events",

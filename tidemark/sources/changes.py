@@ -33,11 +33,24 @@ def _stamped(schema: StructType | str) -> StructType:
     return StructType([*as_schema(schema).fields]).add("writer", "string").add("batch_id", "long")
 
 
-def read_batches(spark: SparkSession, path: str, fmt: str, schema: StructType | str) -> DataFrame:
-    """All rows with ``writer`` and ``batch_id``."""
-    if not files.glob(spark, f"{path}/writer=*"):
+def read_batches(
+    spark: SparkSession, path: str, fmt: str, schema: StructType | str, after: tuple[str, int] | None = None
+) -> DataFrame:
+    """All rows with ``writer`` and ``batch_id``, of completely written batches only.
+
+    ``after`` names a (writer, batch); folders up to it are not even listed.
+    """
+    done = [m.rsplit("/", 1)[0] for m in files.glob(spark, f"{path}/writer=*/batch_id=*/_SUCCESS")]
+    if after is not None:
+        done = [d for d in done if _place(d) > after]
+    if not done:
         return spark.createDataFrame([], _stamped(schema))
-    return spark.read.format(fmt).schema(_stamped(schema)).option("basePath", path).load(f"{path}/writer=*")
+    return spark.read.format(fmt).schema(_stamped(schema)).option("basePath", path).load(done)
+
+
+def _place(folder: str) -> tuple[str, int]:
+    writer, batch = folder.split("/")[-2:]
+    return writer.removeprefix("writer="), int(batch.removeprefix("batch_id="))
 
 
 def newest_snapshot(spark: SparkSession, path: str) -> tuple[str, int] | None:
@@ -54,12 +67,12 @@ def _upto(writer: str, batch_id: int) -> Column:
 
 def _rows(spark: SparkSession, path: str, fmt: str, schema: StructType | str) -> DataFrame:
     """The newest snapshot and all batches after it."""
-    rows = read_batches(spark, path, fmt, schema)
     cut = newest_snapshot(spark, path)
+    rows = read_batches(spark, path, fmt, schema, after=cut)
     if cut is None:
         return rows
     base = spark.read.format(fmt).schema(_stamped(schema)).load(f"{path}/_snapshots/{cut[0]}/{cut[1]}")
-    return base.unionByName(rows.where(~_upto(*cut)))
+    return base.unionByName(rows)
 
 
 def read_keyed(
