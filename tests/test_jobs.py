@@ -110,6 +110,14 @@ def test_staged_views_are_computed_once(spark, data, tmp_path, whole):
     assert read_back(spark, a).count() + read_back(spark, b).count() == whole.count()
 
 
+def test_a_stream_reads_tables_that_are_folders(spark, data, tmp_path):
+    feeds.in_files(tmp_path / "events.parquet", feeds.events(data), 3)
+    out = sink(tmp_path, "event_id bigint")
+    table = Table("events", feeds.EVENTS, "parquet", path=str(tmp_path / "event[s].parquet"))
+    Job(settings(tmp_path), [table, out, Insert("out", "SELECT event_id FROM events")]).run(spark)
+    assert read_back(spark, out).count() == feeds.events(data).num_rows
+
+
 def test_a_job_needs_inserts_into_its_own_sinks(spark, tmp_path):
     table = feeds.source(tmp_path / "in")
     with pytest.raises(ValueError, match="no insert"):
@@ -118,6 +126,10 @@ def test_a_job_needs_inserts_into_its_own_sinks(spark, tmp_path):
         Job(JobSettings("j"), [table, "SELECT 1"]).run(spark)
     with pytest.raises(ValueError, match="not a sink"):
         Job(JobSettings("j"), [table, Insert("events", "SELECT 1")]).run(spark)
+    with pytest.raises(ValueError, match="table with keys"):
+        Job(JobSettings("j"), [table, sink(tmp_path, "n bigint"), Insert("out", "SELECT 1", "update")]).run(spark)
+    with pytest.raises(ValueError, match="mode"):
+        Insert("out", "SELECT 1", "complete")
 
 
 def test_statements_see_only_earlier_ones(spark, data, tmp_path):

@@ -239,6 +239,8 @@ def test_upsert_statements():
         'INSERT INTO "s"."t_batches" ("writer", "batch_id") VALUES (?, ?)',
     ]
     assert jdbc.quoted('a"b') == '"a""b"'
+    assert jdbc.quoting("jdbc:mysql://h/db")("s.t") == "`s`.`t`"
+    assert jdbc.quoting("jdbc:postgresql://h/db")("s.t") == '"s"."t"'
     with pytest.raises(ValueError, match="keys"):
         jdbc.upsert_statements("t", "s", "l", ["k"], [])
 

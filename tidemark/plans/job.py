@@ -34,7 +34,10 @@ class View:
 
 @dataclass(frozen=True)
 class Insert:
-    """Write a query's rows into a table. On a stream, ``mode`` is Spark's output mode.
+    """Write a query's rows into a table.
+
+    On a stream, ``mode`` is Spark's output mode: ``append`` for rows that never change,
+    ``update`` for a changing result, which needs a target with keys.
 
     With ``each_batch`` the query sees every micro-batch as a table of its own. That
     is right when a row's result depends on that row and on static tables only,
@@ -46,6 +49,10 @@ class Insert:
     mode: str = "append"
     each_batch: bool = False
 
+    def __post_init__(self):
+        if self.mode not in ("append", "update"):
+            raise ValueError(f"insert into {self.target}: mode {self.mode!r}")
+
 
 class Job:
     """Tables, views and inserts, registered in the order given.
@@ -106,6 +113,8 @@ class Job:
             if isinstance(statement, Insert):
                 if statement.target not in self.tables or not self.tables[statement.target].is_sink:
                     raise ValueError(f"insert into {statement.target}: not a sink of this job")
+                if statement.mode == "update" and not self.tables[statement.target].keys:
+                    raise ValueError(f"insert into {statement.target}: a changing result needs a table with keys")
                 found.append(statement)
             elif not isinstance(statement, (Table, View)):
                 raise TypeError(f"a job runs tables, views and inserts; use preview for {statement!r}")

@@ -28,8 +28,17 @@ def append(df: DataFrame, options: Mapping[str, str]) -> None:
     df.write.format("jdbc").options(**_plain(options)).mode("append").save()
 
 
-def quoted(name: str) -> str:
-    return ".".join('"' + part.replace('"', '""') + '"' for part in name.split("."))
+def quoted(name: str, mark: str = '"') -> str:
+    return ".".join(mark + part.replace(mark, mark * 2) + mark for part in name.split("."))
+
+
+def backticked(name: str) -> str:
+    return quoted(name, "`")
+
+
+def quoting(url: str):
+    """How the database at ``url`` quotes names."""
+    return backticked if url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else quoted
 
 
 def upsert_statements(
@@ -82,14 +91,19 @@ def move(connection, statements: Sequence[str], writer: str, batch_id: int) -> N
 
 
 def _connect(df: DataFrame, options: Mapping[str, str]):
+    """A connection of the driver program, for statements that move no rows through it."""
     jvm = df.sparkSession._jvm
-    if "driver" in options:
-        jvm.org.apache.spark.util.Utils.classForName(options["driver"], True, False)
     properties = jvm.java.util.Properties()
     for name in ("user", "password"):
         if name in options:
             properties.setProperty(name, options[name])
-    return jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    if "driver" not in options:
+        return jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    connection = loader.loadClass(options["driver"]).newInstance().connect(options["url"], properties)
+    if connection is None:
+        raise ValueError(f"{options['driver']} does not know the url of {options['dbtable']}")
+    return connection
 
 
 def upsert(
@@ -110,14 +124,15 @@ def upsert(
     options = _plain(options)
     table = options["dbtable"]
     staging, ledger = f"{table}_staging", f"{table}_batches"
+    quote = quoting(options["url"])
     connection = connect(df, options)
     try:
-        if last_batch(connection, ledger, writer) >= batch_id:
+        if last_batch(connection, ledger, writer, quote) >= batch_id:
             return False
         newest = latest_per_key(df, keys, order) if order else df
         staged = {**options, "dbtable": staging}
         newest.write.format("jdbc").options(**staged).mode("overwrite").save()
-        move(connection, upsert_statements(table, staging, ledger, df.columns, keys), writer, batch_id)
+        move(connection, upsert_statements(table, staging, ledger, df.columns, keys, quote), writer, batch_id)
         return True
     finally:
         connection.close()

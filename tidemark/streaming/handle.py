@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable, Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +18,8 @@ FINAL = ("NONE", "FAILED", "CANCELED", "FINISHED")
 
 METRICS = (
     "job string, part string, run_id string, batch_id long, started string, duration_ms long, "
-    "rows_in long, rows_per_second double, state_rows long, late_rows long, watermark string"
+    "rows_in long, rows_per_second double, state_rows long, late_rows long, watermark string, "
+    "delay_seconds double"
 )
 
 Starter = Callable[[], StreamingQuery]
@@ -155,7 +157,7 @@ class JobHandle:
 
     def _note(self, name: str, query: StreamingQuery) -> None:
         for p in query.recentProgress:
-            operators = p["stateOperators"] or []
+            operators, times = p["stateOperators"] or [], p["eventTime"] or {}
             row = (
                 self.settings.name,
                 name,
@@ -167,12 +169,17 @@ class JobHandle:
                 float(p["processedRowsPerSecond"]) if p["numInputRows"] else 0.0,
                 sum(int(o["numRowsTotal"]) for o in operators),
                 sum(int(o["numRowsDroppedByWatermark"]) for o in operators),
-                (p["eventTime"] or {}).get("watermark"),
+                times.get("watermark"),
+                _seconds_between(times.get("max"), p["timestamp"]),
             )
             self._progress[(name, str(p["runId"]), row[3])] = row
 
     def metrics(self) -> DataFrame:
-        """One row per micro-batch and part, as far as Spark still remembers it."""
+        """One row per micro-batch and part, as far as Spark still remembers it.
+
+        ``delay_seconds`` is how far the newest event of the batch was behind its start;
+        it needs a watermark.
+        """
         for name, query in self._queries.items():
             self._note(name, query)
         return self.session.createDataFrame(list(self._progress.values()), METRICS)
@@ -182,6 +189,12 @@ class JobHandle:
         self.metrics().write.mode("overwrite").parquet(f"{path}/run_id={self.run_id}")
 
 
+def _seconds_between(earlier: str | None, later: str | None) -> float | None:
+    if not earlier or not later:
+        return None
+    return (datetime.fromisoformat(later) - datetime.fromisoformat(earlier)).total_seconds()
+
+
 def job_status(session: SparkSession, handles: Mapping[str, JobHandle], names: list[str]) -> DataFrame:
     """Status of the jobs asked for; names match exactly, unknown ones are ``NONE``."""
     rows = []
