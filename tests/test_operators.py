@@ -222,6 +222,41 @@ def test_interval_join_against_brute_force(spark, before, after):
     assert sorted((r.id, r.rid) for r in found.collect()) == wanted
 
 
+def test_zone_free_times_ignore_the_session_zone(spark):
+    """Around the hours that a summer time zone skips or repeats."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    rng = random.Random(8)
+    for night in (datetime(2024, 3, 10), datetime(2024, 11, 3)):
+        times = [night + timedelta(minutes=rng.randrange(360)) for _ in range(120)]
+        df = spark.createDataFrame([(i, "k", t) for i, t in enumerate(times)], PROBE)
+        joined = interval_join(df, df, ["k"], "t", "t", timedelta(minutes=5), timedelta(minutes=9), {"rid": "id"})
+        wanted = sorted(
+            (i, j)
+            for i, t in enumerate(times)
+            for j, u in enumerate(times)
+            if t - timedelta(minutes=5) <= u <= t + timedelta(minutes=9)
+        )
+        assert sorted((r.id, r.rid) for r in joined.collect()) == wanted
+        history = df.where("id % 3 = 0").selectExpr("k", "t", "t AS v")
+        found = as_of_join(df, history, ["k"], "t", "t", {"v": "v"}, slice_width=timedelta(minutes=20))
+        versions = [t for i, t in enumerate(times) if i % 3 == 0]
+        assert {r.id: r.v for r in found.collect()} == {
+            i: max((v for v in versions if v <= t), default=None) for i, t in enumerate(times)
+        }
+        n = session(df, "t", timedelta(minutes=4), ["k"], COUNT).count()
+        ordered = sorted(times)
+        assert n == 1 + sum(b - a > timedelta(minutes=4) for a, b in zip(ordered, ordered[1:]))
+
+
+def test_two_kinds_of_time_are_not_mixed(spark):
+    one = spark.createDataFrame([("k", T0)], "k string, t timestamp")
+    two = spark.createDataFrame([("k", T0)], "k string, t timestamp_ntz")
+    with pytest.raises(ValueError, match="one kind"):
+        interval_join(one, two, ["k"], "t", "t", timedelta(0), timedelta(1), {"u": "t"})
+    with pytest.raises(ValueError, match="one kind"):
+        as_of_join(one, two, ["k"], "t", "t", {"u": "t"})
+
+
 # -- windows ------------------------------------------------------------------------
 
 COUNT = {"n": ("count", "*")}

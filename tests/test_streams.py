@@ -1,5 +1,6 @@
 """Stream results against their batch twins, over several micro-batches."""
 
+import dataclasses
 import time
 from datetime import timedelta
 
@@ -265,9 +266,14 @@ def test_undecoded_messages_go_to_the_side(spark, tmp_path):
     assert rows(read_back(spark, out)) == [("a", 1), ("b", 2)]
     bad = read_batches(spark, str(tmp_path / "bad"), "parquet", "value string")
     assert sorted(r.value for r in bad.collect()) == ["junk", "{", '{"k": 1']
-    out = sink(tmp_path, "k string, n bigint", ("k",), name="counts")
-    with pytest.raises(ValueError, match="side folder"):
-        run(spark, tmp_path, [topic, out, Insert("counts", "SELECT k, count(*) AS n FROM topic GROUP BY k", "update")])
+    # The same beside an insert that keeps state.
+    counts = sink(tmp_path, "k string, n bigint", ("k",), name="counts")
+    topic = dataclasses.replace(topic, undecoded=str(tmp_path / "bad-2"))
+    run(spark, tmp_path / "two", [
+        topic, counts, Insert("counts", "SELECT k, count(*) AS n FROM topic GROUP BY k", "update")])
+    assert rows(read_back(spark, counts)) == [("a", 1), ("b", 1)]
+    bad = read_batches(spark, str(tmp_path / "bad-2"), "parquet", "value string")
+    assert sorted(r.value for r in bad.collect()) == ["junk", "{", '{"k": 1']
 
 
 def test_state_is_recognised(spark, data, tmp_path):

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.times import epoch, seconds, slot
+from tidemark.operators.times import epoch, same_clock, seconds, slot
 
 
 def as_of_join(
@@ -38,6 +38,7 @@ def as_of_join(
         raise ValueError(f"how must be 'left' or 'inner', got {how!r}")
     if clash := set(take) & set(probes.columns):
         raise ValueError(f"columns {sorted(clash)} are already in the probes")
+    same_clock(probes, probe_time, history, history_time)
     keys, width = list(keys), seconds(slice_width)
 
     def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.times import epoch, seconds, shift, slot
+from tidemark.operators.times import epoch, same_clock, seconds, shift, slot
 
 
 def interval_join(
@@ -36,6 +36,7 @@ def interval_join(
         raise ValueError("before and after must not be negative")
     if clash := set(take) & set(left.columns):
         raise ValueError(f"columns {sorted(clash)} are already on the left")
+    same_clock(left, left_time, right, right_time)
     width = max(seconds(before + after) if before + after else 1, 1)
     keys = list(keys)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +25,14 @@ def shift(width: timedelta) -> Column:
     return F.make_dt_interval(secs=F.lit(width.total_seconds()).cast("decimal(18,6)"))
 
 
-def epoch(df: DataFrame, column: str) -> "callable":
+def same_clock(left: DataFrame, left_time: str, right: DataFrame, right_time: str) -> None:
+    """Both columns must be instants, or both zone-free times."""
+    kinds = dict(left.dtypes)[left_time], dict(right.dtypes)[right_time]
+    if kinds[0] != kinds[1] or kinds[0] not in ("timestamp", "timestamp_ntz"):
+        raise ValueError(f"need two timestamps of one kind, got {left_time} {kinds[0]} and {right_time} {kinds[1]}")
+
+
+def epoch(df: DataFrame, column: str) -> Callable[[Column], Column]:
     """A function from a time column of ``df``'s type to whole seconds.
 
     It never decreases as time grows. Zone-free times are counted from their

@@ -179,13 +179,14 @@ class Job:
                 if not df.isStreaming:
                     raise ValueError(f"insert into {insert.target} reads no stream; run it as a batch")
         keeps = [df is not None and is_stateful(df) for df in results]
-        if any(t.undecoded for t in streams) and (any(keeps) or len(streams) > 1):
-            raise ValueError("a side folder for undecoded messages needs one stream and stateless inserts")
         # Inserts without state share one pass over their source; the others run by themselves.
         together = [n for n, k in enumerate(keeps) if not k and len(streams) == 1]
         alone = [n for n in range(len(inserts)) if n not in together]
         names = {n: f"insert-{n}" for n in alone}
+        # The shared pass also writes what does not decode; without one a query does only that.
+        aside = [t for t in streams if t.undecoded and not together]
         stateful = {names[n]: keeps[n] for n in alone}
+        stateful.update({f"undecoded-{t.name}": False for t in aside})
         if together:
             stateful["shared"] = False
         if self.settings.restore_from:
@@ -235,6 +236,16 @@ class Job:
                 inserts[n].mode,
                 lambda batch, batch_id, target=target, label=label: write(batch, target, label, batch_id),
             )
+        for table in aside:
+            _, bad = split_undecoded(read(session, table, streaming=True))
+            parts[f"undecoded-{table.name}"] = starter(
+                f"undecoded-{table.name}",
+                bad,
+                "append",
+                lambda batch, batch_id, path=table.undecoded: changes.write_batch(
+                    batch, path, "parquet", writer, batch_id
+                ),
+            )
         return JobHandle(session, self.settings, checkpoint, parts)
 
     def _writer(self, session: SparkSession, checkpoint: str) -> str:
