@@ -78,6 +78,7 @@ def test_time_is_part_of_the_shuffle_key(big, data):
     joined = plan(as_of_join(events.select("event_id", "user_id", "ts"), events, ["user_id"], "ts", "ts", {"v": "value"}))
     windows = re.findall(r"\) Window.*?windowspecdefinition\((.*?), _\w+#\d+L? ASC", joined, re.S)
     assert any("_slice" in w for w in windows)
+    assert "ReusedExchange" in joined  # probes and history are matched from one shuffle of each
     pairs = plan(interval_join(events.select("user_id", "ts"), events, ["user_id"], "ts", "ts", DAY, DAY, {"o": "event_id"}))
     assert any("user_id" in keys and "_slot" in keys for keys in re.findall(r"hashpartitioning\((.*?)\)", pairs))
 

@@ -28,11 +28,11 @@ def as_of_join(
     (no version: nulls) or ``inner``. Of versions of one key at the same instant
     the greatest by ``take``'s columns counts. Rows without key or time match nothing.
 
-    Only the distinct (key, instant) pairs of the probes are matched with history.
-    The timeline of a key is cut into slices of ``slice_width``; each is handled by
-    itself, with the newest earlier version carried in. So the work on a busy key is
-    spread over its slices, and many probes at one instant count once. The probes
-    then join their pairs by equality, where Spark splits skewed partitions itself.
+    Only the distinct (key, instant) pairs of probes and history are matched, so many
+    rows at one instant count once. The timeline of a key is cut into slices of
+    ``slice_width``; each is handled by itself, with the newest earlier version carried
+    in, so the work on a busy key is spread over its slices. The probes then join their
+    pairs by equality, where Spark splits skewed partitions itself.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', got {how!r}")
@@ -46,46 +46,40 @@ def as_of_join(
 
     to_seconds = epoch(probes, probe_time)
     in_slice = slot(to_seconds(F.col("_at")), width).alias("_slice")
+    # A version is wrapped in a struct, so one whose values are null still counts.
     version = F.struct(*[F.col(old).alias(new) for new, old in take.items()])
-    instants = (
-        known(probes, [*keys, probe_time]).select(*keys, F.col(probe_time).alias("_at")).distinct()
-    ).select(*keys, "_at", in_slice)
-    versions = (
-        known(history, [*keys, history_time])
-        .select(*keys, F.col(history_time).alias("_at"), version.alias("_version"))
-        .select(*keys, "_at", in_slice, "_version")
+    versions = known(history, [*keys, history_time]).select(
+        *keys, F.col(history_time).alias("_at"), version.alias("_version"), F.lit(False).alias("_asked")
+    )
+    no_version = F.lit(None).cast(versions.schema["_version"].dataType).alias("_version")
+    asked = known(probes, [*keys, probe_time]).select(
+        *keys, F.col(probe_time).alias("_at"), no_version, F.lit(True).alias("_asked")
     )
 
-    # At most one row per key and slice in use: the newest version that starts in it.
-    newest = F.struct("_at", "_version").alias("_newest")
-    starts = versions.select(*keys, "_slice", newest)
-    nothing = F.lit(None).cast(starts.schema["_newest"].dataType).alias("_newest")
+    # One row per key and instant, combined in the map task: what is valid from then on,
+    # if anything, and whether a probe asks for it.
+    moments = (
+        versions.unionAll(asked)
+        .groupBy(*keys, in_slice, "_at")
+        .agg(F.max("_asked").alias("_asked"), F.max("_version").alias("_version"))
+    )
+    # One row per key and slice: the newest version that starts in it.
+    started = F.when(F.col("_version").isNotNull(), F.struct("_at", "_version"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        starts.unionAll(instants.select(*keys, "_slice", nothing))
-        .groupBy(*keys, "_slice")
-        .agg(F.max("_newest").alias("_newest"))
+        moments.groupBy(*keys, "_slice")
+        .agg(F.max(started).alias("_newest"), F.max("_asked").alias("_wanted"))
         .withColumn("_before", F.last("_newest", ignorenulls=True).over(earlier))
-        .where(F.col("_before").isNotNull())
-        .select(*keys, F.col("_before._at").alias("_at"), "_slice", F.col("_before._version").alias("_version"))
-    )
-
-    # A version is wrapped in a struct, so one whose values are null still counts.
-    no_version = F.lit(None).cast(versions.schema["_version"].dataType).alias("_version")
-    timeline = (
-        versions.unionByName(carried)
-        .withColumn("_probe", F.lit(False))
-        .unionByName(instants.select("*", no_version, F.lit(True).alias("_probe")))
+        .where(F.col("_wanted") & F.col("_before").isNotNull())
+        .select(*keys, "_slice", "_before._at", F.lit(False).alias("_asked"), "_before._version")
     )
     so_far = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy("_at", "_probe", "_version")
-        .rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     )
     matched = (
-        timeline.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
-        .where("_probe")
-        .where(F.col("_version").isNotNull())
+        moments.unionByName(carried)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+        .where(F.col("_asked") & F.col("_version").isNotNull())
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_at").alias("_k_at"), "_version")
     )
     on = reduce(
