@@ -75,6 +75,8 @@ def test_pv_uv_one_category_holds_most_rows(spark):
 def test_retention_needs_a_stream(log):
     with pytest.raises(ValueError, match="stream"):
         pv_uv_running(log, "category_id", "user_id", retention=timedelta(days=1))
+    with pytest.raises(ValueError, match="at least"):
+        pv_uv_running(log, "category_id", "user_id", retention=(timedelta(days=2), timedelta(days=1)))
 
 
 # -- views and inserts -----------------------------------------------------------

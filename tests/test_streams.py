@@ -54,9 +54,9 @@ def whole(spark, data):
 PV_UV = "category_id string, pv bigint, uv bigint"
 
 
-@pytest.mark.parametrize("form", ["pairs", "retained"])
+@pytest.mark.parametrize("form", ["pairs", "retained", "slack"])
 def test_pv_uv_over_batches_and_a_restart(spark, data, tmp_path, whole, form):
-    options = {"retention": DAY, "buckets": 3} if form == "retained" else {}
+    options = {"pairs": {}, "retained": {"retention": DAY, "buckets": 3}, "slack": {"retention": (DAY, 2 * DAY)}}[form]
     out = sink(tmp_path, PV_UV, ("category_id",))
     statements = [
         feeds.source(tmp_path / "in"),
@@ -85,7 +85,7 @@ def test_visitors_silent_for_the_retention_are_forgotten(spark, data, tmp_path):
     part = feeds.events(data).slice(0, 200)
     users = len(set(part["user_id"].to_pylist()))
     out = sink(tmp_path, "place string, pv bigint, uv bigint", ("place",))
-    keep = timedelta(seconds=4)
+    keep = (timedelta(seconds=3), timedelta(seconds=4))
     statements = [
         feeds.source(tmp_path / "in"), out,
         Insert("out", lambda s: pv_uv_running(

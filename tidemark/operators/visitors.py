@@ -41,7 +41,11 @@ def uv_running(df: DataFrame, key: str, user: str) -> DataFrame:
 
 
 def pv_uv_running(
-    df: DataFrame, key: str, user: str, retention: timedelta | None = None, buckets: int = 64
+    df: DataFrame,
+    key: str,
+    user: str,
+    retention: timedelta | tuple[timedelta, timedelta] | None = None,
+    buckets: int = 64,
 ) -> DataFrame:
     """Exact page views and visitors per key, kept up to date on a stream (update mode).
 
@@ -50,13 +54,18 @@ def pv_uv_running(
 
     With ``retention`` a (key, user) pair that stays silent for that long is
     forgotten, and the user counts as new when coming back: ``uv`` then means
-    visitors with pauses shorter than the retention. State for this form is split
-    into ``buckets`` per key by user. Zero or no retention keeps every pair.
+    visitors with pauses shorter than the retention. Given as (least, most), a pair
+    is kept for the first and forgotten by the second; the wider apart, the fewer writes.
+    State for this form is split into ``buckets`` per key by user. Zero or no retention
+    keeps every pair for ever.
     """
-    if retention is not None and retention > timedelta(0):
+    least, most = retention if isinstance(retention, tuple) else (retention, retention)
+    if least is not None and most < least:
+        raise ValueError(f"retention of at least {least} and at most {most}")
+    if most:
         if not df.isStreaming:
             raise ValueError("retention forgets by wall clock, so it needs a stream")
-        steps = first_visits(df, key, user, retention, buckets)
+        steps = first_visits(df, key, user, least, most, buckets)
     else:
         one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
         views = df.select(key, one.alias("pv"), none.alias("uv"))

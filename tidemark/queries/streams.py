@@ -159,7 +159,7 @@ def job_overview(spark, folder):
 CATALOG = {
     "pv_uv_stream_exact": (_pv_uv("pvuv", pv_uv_running), PV_UV_SQL),
     "pv_uv_stream_retained": (
-        _pv_uv("pvuv-retained", lambda df, k, u: pv_uv_running(df, k, u, retention=timedelta(days=1), buckets=8)),
+        _pv_uv("pvuv-retained", lambda df, k, u: pv_uv_running(df, k, u, retention=(timedelta(days=1), timedelta(days=2)), buckets=8)),
         PV_UV_SQL,
     ),
     "pv_uv_stream_approx": (_pv_uv("pvuv-approx", pv_uv_approx), None),

@@ -9,41 +9,64 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.streaming.combine import count_within_task
 
+# Reading all entries of a bucket in bulk beats asking for single ones up to this many
+# entries per visitor.
+SCAN_RATIO = 30
+
 
 class FirstVisits(StatefulProcessor):
-    """Per (place, bucket): how many visits came in, and how many visitors were new."""
+    """Per (place, bucket): how many visits came in, and how many visitors were new.
+
+    State holds when each visitor was last noted. A visit within ``slack`` of that is
+    not noted again, which saves most writes; entries live for ``least + slack``, so a
+    visitor is kept for ``least`` and forgotten by then.
+    """
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
+    def __init__(self, least_ms: int, slack_ms: int):
+        self.least_ms, self.slack_ms = least_ms, slack_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState(
-            "seen",
-            StructType([StructField("visitor", StringType())]),
-            StructType([StructField("seen", BooleanType())]),
-            self.ttl_ms,
-        )
+        visitor = StructType([StructField("visitor", StringType())])
+        number = StructType([StructField("number", LongType())])
+        self.noted = handle.getMapState("noted", visitor, number, self.least_ms + self.slack_ms)
+        self.size = handle.getValueState("size", number)  # about how many entries there are
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        visits = fresh = 0
+        visits, visitors = 0, set()
         for chunk in rows:
             visits += int(chunk["visits"].sum())
-            for visitor in chunk["visitor"].dropna().unique():
-                if not self.seen.containsKey((visitor,)):
-                    fresh += 1
-                # Written on every visit: this is what renews the retention.
-                self.seen.updateValue((visitor,), (True,))
+            visitors.update(chunk["visitor"].dropna())
+        now = timerValues.getCurrentProcessingTimeInMs()
+        size = self.size.get()[0] if self.size.exists() else 0
+        known = {}
+        if size <= SCAN_RATIO * len(visitors):
+            size = 0
+            for (visitor,), (noted,) in self.noted.iterator():
+                size += 1
+                if visitor in visitors:
+                    known[visitor] = noted
+        else:
+            for visitor in visitors:
+                if (noted := self.noted.getValue((visitor,))) is not None:
+                    known[visitor] = noted[0]
+        for visitor in visitors:
+            if visitor not in known or now - known[visitor] >= self.slack_ms:
+                self.noted.updateValue((visitor,), (now,))
+        fresh = len(visitors) - len(known)
+        self.size.update((size + fresh,))
         yield pd.DataFrame({"place": [key[0]], "pv": [visits], "uv": [fresh]})
 
     def close(self) -> None:
         pass
 
 
-def first_visits(df: DataFrame, key: str, user: str, retention: timedelta, buckets: int) -> DataFrame:
+def first_visits(
+    df: DataFrame, key: str, user: str, least: timedelta, most: timedelta, buckets: int
+) -> DataFrame:
     """A stream of steps ``(key, pv, uv)`` whose sums are the counts so far.
 
     Needs the RocksDB state store. With an "available now" trigger also set
@@ -55,9 +78,13 @@ def first_visits(df: DataFrame, key: str, user: str, retention: timedelta, bucke
         "bucket", F.pmod(F.xxhash64("visitor"), F.lit(buckets))
     )
     steps = rows.groupBy("place", "bucket").transformWithStateInPandas(
-        FirstVisits(int(retention.total_seconds() * 1000)),
+        FirstVisits(_ms(least), _ms(most - least)),
         outputStructType=StructType.fromDDL("place string, pv long, uv long"),
         outputMode="Update",
         timeMode="ProcessingTime",
     )
     return steps.withColumnRenamed("place", key)
+
+
+def _ms(time: timedelta) -> int:
+    return int(time.total_seconds() * 1000)
