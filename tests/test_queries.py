@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from oracle import from_spark, from_sql
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in entry.CATALOG}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in entry.CATALOG}
 
 
 def test_entry_is_the_flagship_query(cluster):
