@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontamination, mixing
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.secrets import listed, scan_secrets
+from tidemark.llm.substring import drop_repeats
+from tidemark.llm.suffixes import drop_repeated_bytes
 
 
 def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark, folder):
+    kept = drop_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_secrets(spark, folder):
     found = scan_secrets(table(spark, folder, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -40,6 +47,11 @@ def op5_decontamination(spark, folder):
     )
 
 
+def op6_suffix_dedup(spark, folder):
+    kept = drop_repeated_bytes(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_mixing(spark, folder):
     mixed = mixing.mix(table(spark, folder, "documents"), importance=mixing.length_odds())
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -63,8 +75,10 @@ def op10_licenses(spark, folder):
 
 
 CATALOG = {
+    "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_secrets": (op2_secrets, None),
     "op5_decontamination": (op5_decontamination, decontamination.SQL),
+    "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op8_mixing": (op8_mixing, mixing.SQL),
     "op10_licenses": (op10_licenses, None),
 }
