@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, mixing
@@ -9,6 +10,7 @@ from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.secrets import listed, scan_secrets
 from tidemark.llm.substring import drop_repeats
 from tidemark.llm.suffixes import drop_repeated_bytes
+from tidemark.llm.tokens import encode_corpus
 
 
 def table(spark, folder, name):
@@ -57,6 +59,11 @@ def op8_mixing(spark, folder):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_token_files(spark, folder):
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return encode_corpus(table(spark, folder, "documents"), vocabulary).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op10_licenses(spark, folder):
     found = scan_licenses(table(spark, folder, "documents"))
     labels = lambda spans: F.transform(spans, lambda s: s["label"])
@@ -80,5 +87,6 @@ CATALOG = {
     "op5_decontamination": (op5_decontamination, decontamination.SQL),
     "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op8_mixing": (op8_mixing, mixing.SQL),
+    "op9_token_files": (op9_token_files, None),
     "op10_licenses": (op10_licenses, None),
 }
