@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from tidemark.session import shared_dir
 
 #: Bytes of text that become one file.
 FILE_BYTES = 32 << 20
+#: Bytes of text that are encoded at once.
+PIECE_BYTES = 2 << 20
 #: Pieces of text a worker remembers the ids of; then it forgets them all and starts anew.
 MEMORY = 600_000
 #: ORC settings: ids are integers under run-length encoding, ``doc_id`` has an index and a Bloom filter.
@@ -54,7 +57,7 @@ class Encoder:
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith(WORD_END)]] = True
         self.memory = memory
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}  # 4 bytes for each id
 
     def _encode(self, pieces: list[bytes]) -> None:
         texts = [p.decode() for p in pieces]
@@ -66,11 +69,13 @@ class Encoder:
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(words):
                 raise ValueError("the vocabulary must mark the last id of each word, and no other")
-            for (piece, _), start, stop in zip(words, np.concatenate(([0], stops[:-1])), stops):
-                self.known[piece] = ids[start:stop].copy()
+            raw, start = ids.tobytes(), 0
+            for (piece, _), stop in zip(words, (stops * 4).tolist()):
+                self.known[piece] = raw[start:stop]
+                start = stop
         rest = [(p, t) for p, t, is_plain in zip(pieces, texts, plain) if not is_plain]
         for (piece, _), found in zip(rest, self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, np.uint32)
+            self.known[piece] = np.array(found.ids, np.uint32).tobytes()
 
     @staticmethod
     def _parts(piece: bytes) -> list[bytes]:
@@ -82,21 +87,22 @@ class Encoder:
             return [piece.lower()]
         return [word.lower(), piece[len(word) :]]
 
-    def __call__(self, text: bytes) -> np.ndarray:
-        pieces = text.split()
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, as 4 bytes each."""
+        pieces = [text.split() for text in texts]
         known = self.known
-        fresh = {p for p in pieces if p not in known}
-        if fresh:
-            if len(known) + 2 * len(fresh) > self.memory:
-                known.clear()
-                fresh = set(pieces)
-            parts = {p: self._parts(p) for p in fresh}
-            new = {x for some in parts.values() for x in some if x not in known}
-            if new:
-                self._encode(list(new))
-            for piece, some in parts.items():
-                known[piece] = known[some[0]] if len(some) == 1 else np.concatenate([known[x] for x in some])
-        return np.concatenate([known[p] for p in pieces]) if pieces else np.zeros(0, np.uint32)
+        distinct = set().union(*pieces)
+        fresh = distinct.difference(known)
+        if len(known) + 2 * len(fresh) > self.memory:
+            known.clear()
+            fresh = distinct
+        parts = {p: self._parts(p) for p in fresh}
+        new = {x for some in parts.values() for x in some}.difference(known)
+        if new:
+            self._encode(list(new))
+        for piece, some in parts.items():
+            known[piece] = b"".join([known[x] for x in some])
+        return [b"".join(map(known.__getitem__, some)) for some in pieces]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -124,22 +130,19 @@ def write_tokens(
     rows = rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = encoder(vocabulary)
-        end = np.array([end_id], np.uint32)
+        encode_texts = encoder(vocabulary)
+        end = np.array([end_id], np.uint32).tobytes()
         for batch in batches:
             texts = binary(batch.column("text"))
+            places = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
             at = 0
             while at < len(batch):  # few rows at a time: ids take more room than texts
-                size, stop = 0, at
-                ids = []
-                while stop < len(batch) and size < 1_000_000:
-                    ids += [encode_text(texts[stop].as_py()), end]
-                    size += len(ids[-2]) + 1
-                    stop += 1
-                lengths = [len(a) + len(b) for a, b in zip(ids[::2], ids[1::2])]
-                flat = pa.array(np.concatenate(ids).astype(np.int32))
-                offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, stop - at), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "ids"])
+                stop = max(at + 1, int(np.searchsorted(places, (places[at - 1] if at else 0) + PIECE_BYTES)))
+                ids = encode_texts(texts.slice(at, stop - at).to_pylist())
+                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 + 1 for x in ids])))
+                flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(end.join(ids) + end)])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, stop - at), lists], ["doc_id", "ids"])
                 at = stop
 
     rows.mapInArrow(encode, "doc_id long, ids array<int>").write.options(**ORC).orc(folder)
