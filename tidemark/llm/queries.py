@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, mixing
 from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.probminhash import near_duplicates
 from tidemark.llm.secrets import listed, scan_secrets
 from tidemark.llm.substring import drop_repeats
 from tidemark.llm.suffixes import drop_repeated_bytes
@@ -37,6 +38,10 @@ def op2_secrets(spark, folder):
     )
 
 
+def op4_probminhash(spark, folder):
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "keep", "n_class")
+
+
 def op5_decontamination(spark, folder):
     found = decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -84,6 +89,7 @@ def op10_licenses(spark, folder):
 CATALOG = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_secrets": (op2_secrets, None),
+    "op4_probminhash": (op4_probminhash, None),
     "op5_decontamination": (op5_decontamination, decontamination.SQL),
     "op6_suffix_dedup": (op6_suffix_dedup, None),
     "op8_mixing": (op8_mixing, mixing.SQL),
