@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BODY, KEY, PLAIN_WORD_ANY_CASE, TWIN, ascii_lower, keyed
@@ -114,6 +114,24 @@ def _found(pairs: DataFrame, *carry: str) -> DataFrame:
     return each.select(KEY, TWIN, *carry, first.alias("first"), (F.col("len") + 1).alias("words"))
 
 
+#: Every match of a rule or phrase has one of these within a word, or the short name of a CC or MIT licence.
+ROOTS = (
+    "licen|gpl|gfdl|apache|spdx|commons|cc0|mpl|epl|bsl|cddl|eupl|odbl|ofl|wtfpl|bsd|domain|reserved|hereby"
+    "|redistribution|altered|fuck|unencumbered|confidential|prohibited|attribution"
+).split("|")
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SHORT = (("cc", rf"cc{_GAP}by"), ("mit", rf"mit{_GAP}0"))
+
+
+def _may_have(text: Column) -> Column:
+    held = F.lit(False)
+    for root in ROOTS:
+        held = held | F.contains(text, F.lit(root))
+    for root, regex in SHORT:
+        held = held | (F.contains(text, F.lit(root)) & text.rlike(regex))
+    return held
+
+
 def _rule_table(spark: SparkSession) -> DataFrame:
     """Its size is fixed by the lists above: a few hundred rows, whatever is scanned."""
     return spark.createDataFrame(rules(), "priority int, word string, regex string, label string, trust double")
@@ -133,8 +151,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = keyed(docs, id_col, text_col)
     keywords = sorted({rule[1] for rule in rules()} | {"gnu", "apache", "cc", "mit"})
-    gate = "(?i:" + "|".join(rf"(?<![0-9a-z]){w}" for w in keywords) + ")"
-    texts = rows.where(F.col(BODY).rlike(gate))
+    texts = rows.where(F.exists(F.array(F.lower(BODY)), _may_have))  # the array holds the lower-cased text once
     plain = F.trim(F.regexp_replace(ascii_lower(F.col(BODY)), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", " "))
     texts = texts.select(KEY, TWIN, F.concat(F.lit(" "), plain, F.lit(" ")).alias("_norm"))
 
