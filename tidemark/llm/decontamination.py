@@ -58,7 +58,7 @@ def decontaminate(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, n_words, n_hit, items) for every document.
+    """(doc_id, twin, n_words, n_hit, items) for every document; ``twin`` is a hash of its text.
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. An item's
     windows are its runs of ``window`` words, or the whole item if it has fewer. A document's
@@ -114,6 +114,7 @@ def decontaminate(
     joined = counted.alias("a").join(both.alias("b"), F.expr(same), "left")
     return joined.select(
         F.col(f"a.{KEY}").alias("doc_id"),
+        F.col(f"a.{TWIN}").alias("twin"),
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

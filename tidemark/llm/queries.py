@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, mixing
+from tidemark.llm.classifier import classify
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.probminhash import near_duplicates
+from tidemark.llm.quality_rules import apply_rules
 from tidemark.llm.secrets import listed, scan_secrets
 from tidemark.llm.substring import drop_repeats
 from tidemark.llm.suffixes import drop_repeated_bytes
@@ -38,6 +41,10 @@ def op2_secrets(spark, folder):
     )
 
 
+def op3_classifier(spark, folder):
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_probminhash(spark, folder):
     return near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "keep", "n_class")
 
@@ -59,6 +66,12 @@ def op6_suffix_dedup(spark, folder):
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality_rules(spark, folder):
+    ruled = apply_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return ruled.select("doc_id", *counts, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
+
+
 def op8_mixing(spark, folder):
     mixed = mixing.mix(table(spark, folder, "documents"), importance=mixing.length_odds())
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -89,10 +102,13 @@ def op10_licenses(spark, folder):
 CATALOG = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_secrets": (op2_secrets, None),
+    "op3_classifier": (op3_classifier, None),
     "op4_probminhash": (op4_probminhash, None),
     "op5_decontamination": (op5_decontamination, decontamination.SQL),
     "op6_suffix_dedup": (op6_suffix_dedup, None),
+    "op7_quality_rules": (op7_quality_rules, None),
     "op8_mixing": (op8_mixing, mixing.SQL),
     "op9_token_files": (op9_token_files, None),
     "op10_licenses": (op10_licenses, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
