@@ -1,0 +1,238 @@
+"""Each text operator against plain code, on the given documents and on odd rows."""
+
+import zlib
+
+import numpy as np
+import plain
+import public_tokenizers
+import pytest
+from oracle import from_spark, from_sql
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tidemark.llm import queries
+from tidemark.llm.decontamination import decontaminate
+from tidemark.llm.licenses import rules as license_rules
+from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.mixing import mix
+from tidemark.llm.probminhash import near_duplicates, signatures, similarity
+from tidemark.llm.quality_rules import apply_rules, measured
+from tidemark.llm.secrets import listed, scan_secrets
+from tidemark.llm.substring import drop_repeats
+from tidemark.llm.suffixes import drop_repeated_bytes
+from tidemark.llm.tokens import encode_corpus, find_tokens, write_tokens
+
+
+def alike(found, wanted):
+    assert sorted(map(repr, found)) == sorted(map(repr, wanted))
+
+
+def pairs(rows):
+    return [(row[0], row[1]) for row in rows]
+
+
+@pytest.mark.parametrize("name", [name for name, (_, sql) in queries.CATALOG.items() if sql])
+def test_query_equals_sql(cluster, data, name):
+    query, sql = queries.CATALOG[name]
+    assert from_spark(query(cluster, data)) == from_sql(data, sql)
+
+
+def test_substring_of_given(cluster, data, given):
+    alike([tuple(r) for r in queries.op1_substring_dedup(cluster, data).collect()], plain.substring(given))
+
+
+def test_substring_of_odd(odd, odd_rows):
+    found = drop_repeats(odd).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
+    alike([tuple(r) for r in found.collect()], plain.substring(pairs(odd_rows)))
+
+
+def test_suffixes_of_given(cluster, data, given):
+    alike([tuple(r) for r in queries.op6_suffix_dedup(cluster, data).collect()], plain.suffixes(given))
+
+
+@pytest.mark.parametrize("length", [65, 200])
+def test_suffixes_of_odd(odd, odd_rows, length):
+    found = drop_repeated_bytes(odd, length).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    alike([tuple(r) for r in found.collect()], plain.suffixes(pairs(odd_rows), length))
+
+
+def test_suffixes_refuse_short_lengths(odd):
+    with pytest.raises(ValueError):
+        drop_repeated_bytes(odd, 64)
+
+
+def test_secrets(cluster, data, given, odd, odd_rows):
+    found = queries.op2_secrets(cluster, data).select("doc_id", "base_sha256").collect()
+    alike([tuple(r) for r in found], [(i, plain.sha(plain.secrets(t))) for i, t in given])
+    found = scan_secrets(odd).select("doc_id", listed(F.col("base"))).collect()
+    alike([tuple(r) for r in found], [(i, plain.secrets(t)) for i, t in pairs(odd_rows)])
+
+
+def test_weak_parts_need_their_complement(cluster):
+    secret = "Zx8Kq2Lm9Vt4Rw7Yp1Nc5Hd3"
+    texts = [
+        f"account: jane.doe and {secret}",
+        f"account: jane.doe {'. ' * 200} {secret}",
+        f"see https://host.example/path with {secret}",
+        "account: jane.doe at https://host.example/path",
+        f"{secret}",
+        f"account: jane.doe {'. ' * 85} {secret}",
+    ]
+    docs = cluster.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [s.kind for s in r.linked] for r in scan_secrets(docs).collect()}
+    assert found == {0: ["weak_id", "weak_secret"], 1: [], 2: ["endpoint", "weak_secret"], 3: [], 4: [], 5: ["weak_id", "weak_secret"]}
+
+
+def test_licenses(cluster, data, given, odd, odd_rows):
+    columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    alike([tuple(r) for r in queries.op10_licenses(cluster, data).select(*columns).collect()], [(i, *plain.licenses(t)) for i, t in given])
+    found = {(r.doc_id, r.n_words): r for r in scan_licenses(odd).collect()}
+    for i, t in pairs(odd_rows):
+        n_words, n_base, first, last, labels = plain.licenses(t)
+        row = found[i, n_words]
+        starts = [s.first for s in row.base]
+        assert (len(starts), min(starts, default=None), max(starts, default=None)) == (n_base, first, last)
+        assert ",".join(sorted({s.label for s in row.base})) == labels
+    labels = {s.label for s in found[17, plain.licenses(odd_rows[16][1])[0]].found}
+    assert labels == {"apache-2.0", "gpl", "cc-by-nc", "cc-by", "mit"}
+
+
+def test_license_rules_resolve_overlaps(cluster):
+    assert len(license_rules()) > 250
+    text = "This is licensed under the CC BY-NC-SA 4.0 license. Later: CC BY."
+    docs = cluster.createDataFrame([(1, text)], "doc_id long, text string")
+    found = scan_licenses(docs).first().found
+    assert [(s.first, s.label) for s in found] == [(2, "cc-by-nc-sa"), (13, "cc-by")]
+
+
+def test_decontamination_of_odd(cluster, odd, odd_rows):
+    shared = odd_rows[4][1].split()
+    items = [(1, " ".join(shared[20:45])), (2, "WORD"), (3, None), (4, ""), (None, "same same"), (5, "line two"), (6, "no such words here"), (7, "漢字 Straße")]
+    benchmark = cluster.createDataFrame([(*item, "k") for item in items], "item_id long, text string, _key string")
+    found = decontaminate(odd, benchmark)
+    found = [(r.doc_id, r.n_words, r.n_hit, len(r["items"]), plain.sha(",".join(r["items"])), r.n_hit > 0) for r in found.collect()]
+    alike(found, plain.contaminated(pairs(odd_rows), items))
+
+
+def test_mixing_of_odd(odd, odd_rows):
+    rows = mix(odd).collect()
+    assert len(rows) == len(odd_rows)
+    sizes = {}
+    for r in rows:
+        sizes.setdefault(r.source, []).append(r)
+        assert r.taken == r.copies * r["size"] and r.taken <= 3 * r["size"]
+    for members in sizes.values():
+        total, target = sum(r["size"] for r in members), members[0].target
+        assert members[0].source_size == total and target <= 3 * total
+        assert abs(sum(r.taken for r in members) - target) <= max(r["size"] for r in members)
+    assert sum(m[0].target for m in sizes.values()) == pytest.approx(sum(r["size"] for r in rows))
+    assert sorted(map(repr, mix(odd).collect())) == sorted(map(repr, rows))
+
+
+def test_near_duplicates_of_given(cluster, data, given):
+    found = {r.doc_id: r for r in queries.op4_probminhash(cluster, data).collect()}
+    wanted = plain.classes(given)
+    assert [found[i].class_id for i, _ in given] == wanted
+    assert all(r.keep == (r.doc_id == r.class_id) for r in found.values())
+
+
+def test_near_duplicates_of_odd(odd, odd_rows):
+    found = [(r.doc_id, r.class_id, r.keep, r.n_class) for r in near_duplicates(odd).collect()]
+    wanted = plain.classes(pairs(odd_rows))
+    words = [bool(plain.SPACED.search(t or "")) for _, t in pairs(odd_rows)]
+    alike([f[:2] for f in found], [(i, c if some else i) for (i, _), c, some in zip(pairs(odd_rows), wanted, words)])
+    assert sorted(f[3] for f in found if f[1] == 5) == [1, 3, 3, 3]
+    assert sorted((f[0], f[2]) for f in found if f[1] == 5 and f[3] == 3) == [(5, True), (5, True), (6, False)]
+
+
+def test_near_duplicates_reach_beyond_leaders(cluster):
+    """A chain of neighbours is one class, though its ends are far apart and any leader sees a part of it."""
+    base = [f"w{i}" for i in range(200)]
+    chain = []
+    for k in range(40):
+        base = [*base]
+        base[k * 5] = f"v{k}"
+        chain.append((k, " ".join(base)))
+    docs = cluster.createDataFrame(chain, "doc_id long, text string")
+    assert {r.class_id for r in near_duplicates(docs).collect()} == {0}
+
+
+def test_registers_agree_with_probability_jaccard():
+    draw = np.random.default_rng(5)
+    shingles = draw.integers(1, 2**63, 300, dtype=np.uint64)
+    a, b = (np.sort(draw.choice(300, 220, replace=False)) for _ in range(2))
+    wa, wb = (draw.integers(1, 6, 220).astype(float) for _ in range(2))
+    m = 4096
+    found = signatures(2, np.repeat([0, 1], 220), np.concatenate((shingles[a], shingles[b])), np.concatenate((wa, wb)), m)
+    by = lambda picked, w: (shingles[picked][np.argsort(shingles[picked])], w[np.argsort(shingles[picked])])
+    exact = similarity(by(a, wa), by(b, wb))
+    from collections import Counter
+
+    x, y = (Counter(dict(zip(shingles[p].tolist(), w))) for p, w in ((a, wa), (b, wb)))
+    assert exact == pytest.approx(plain.probability_jaccard(x, y))
+    assert (found[0] == found[1]).mean() == pytest.approx(exact, abs=0.04)
+
+
+def test_counts_of_rules(cluster, data, given, odd, odd_rows):
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    found = queries.op7_quality_rules(cluster, data).select(*columns, "base_failed").collect()
+    alike([tuple(r) for r in found], [(i, *plain.rules(t)) for i, t in given])
+    found = measured(odd, "doc_id", "text", "lang").select(*columns).collect()
+    alike([tuple(r) for r in found], [(i, *plain.rules(t)[:-1]) for i, t in pairs(odd_rows)])
+
+
+def _wanted_tokens(rows, end=2):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    at, out = 0, []
+    for i, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, end]
+        out.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    return out
+
+
+def test_token_files_of_given(cluster, data, given):
+    found = [tuple(r) for r in queries.op9_token_files(cluster, data).collect()]
+    alike(found, _wanted_tokens(sorted(given)))
+
+
+def test_token_files_of_odd(cluster, tmp_path, odd, odd_rows):
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    special = [(30, "a<|endoftext|>b <|ENDOFTEXT|> it's, İstanbul ΑΣ. ﬁ don't123"), (31, "Á.b, c'S!")]
+    docs = odd.select("doc_id", "text").unionByName(cluster.createDataFrame(special, "doc_id long, text string"))
+    found = encode_corpus(docs, vocabulary, str(tmp_path / "files")).collect()
+    rows = [*pairs(odd_rows), *special]
+    alike([(r.doc_id, r.n_tokens, r.ids_crc32) for r in found], [(i, n, c) for i, _, n, c in _wanted_tokens(rows)])
+    ordered = sorted(found, key=lambda r: r.start)
+    assert [r.start for r in ordered] == np.cumsum([0, *[r.n_tokens for r in ordered[:-1]]]).tolist()
+    keys = [-1 if r.doc_id is None else r.doc_id for r in ordered]
+    assert keys == sorted(keys)
+    few = find_tokens(cluster, str(tmp_path / "files"), [17]).collect()
+    assert len(few) == 1 and few[0].ids[-1] == 2
+
+
+def test_token_files_have_bloom_filters(odd, tmp_path):
+    write_tokens(odd, str(tmp_path / "files"), public_tokenizers.path("word_bpe_49k.json"))
+    from pyarrow import orc
+
+    files = sorted((tmp_path / "files").glob("*.orc"))
+    assert sum(orc.ORCFile(f).nrows for f in files) == 21
+
+
+def test_empty_tables(cluster, nothing, odd):
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    empty_labels = cluster.createDataFrame([], "doc_id long, quality int")
+    empty_items = cluster.createDataFrame([], "item_id long, text string")
+    results = [
+        drop_repeats(nothing),
+        drop_repeated_bytes(nothing),
+        scan_secrets(nothing),
+        scan_licenses(nothing),
+        near_duplicates(nothing),
+        decontaminate(nothing, empty_items),
+        mix(nothing),
+        apply_rules(nothing, empty_labels),
+        encode_corpus(nothing, vocabulary),
+    ]
+    assert [r.count() for r in results] == [0] * len(results)
+    assert decontaminate(odd, empty_items).where("n_hit > 0").count() == 0
