@@ -5,7 +5,7 @@ import sys
 import pandas as pd
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, LongType
 
 from tidemark.functions import UserAggregate, aggregate_by_key, register
 from tidemark.session import job_session
@@ -95,3 +95,23 @@ def test_functions_and_parameters_belong_to_one_job(cluster):
     assert one.sql("SELECT same(1L) AS x").first().x == 1
     with pytest.raises(Exception, match="UNRESOLVED_ROUTINE"):
         two.sql("SELECT same(1L)")
+
+
+def test_aggregate_keeps_large_integer_keys_beside_nulls(spark):
+    class Sum(UserAggregate):
+        def start(self):
+            return 0
+
+        def add(self, state, values):
+            return state + int(values.sum())
+
+        def merge(self, state, other):
+            return state + other
+
+        def finish(self, state):
+            return state
+
+    rows = [(2**53, 1), (2**53 + 1, 2), (None, 4), (2**53, 8), (None, 16)]
+    df = spark.createDataFrame(rows, "k bigint, v bigint").repartition(3)
+    found = aggregate_by_key(df, ["k"], "v", Sum(), "s", LongType()).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(2**53, 9), (2**53 + 1, 2), (None, 20)], key=repr)

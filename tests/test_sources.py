@@ -151,12 +151,12 @@ def test_snapshot_changes_nothing_but_the_folders_read(spark, tmp_path):
     for number in range(6):
         write(spark.createDataFrame([("c1", number, 0), (f"k{number}", 1, 1)], PV_UV), sink, "run-1", number)
         if number in (1, 3):
-            changes.snapshot(spark, sink.path, "parquet", PV_UV, ["category_id"], "run-1", number)
-    assert changes.newest_snapshot(spark, sink.path) == ("run-1", 3)
+            changes.snapshot(spark, sink.path, "parquet", PV_UV, ["category_id"])
+    assert changes.newest_snapshot(spark, sink.path).endswith("_snapshots/2")
     wanted = [("c1", 5, 0)] + [(f"k{n}", 1, 1) for n in range(6)]
     assert state(spark, sink) == wanted
     back = read_back(spark, sink)
-    assert any("_snapshots/run-1/3" in name for name in back.inputFiles())
+    assert any("_snapshots/2/rows" in name for name in back.inputFiles())
     assert not any("batch_id=3" in name or "batch_id=0" in name for name in back.inputFiles())
 
 
@@ -272,3 +272,25 @@ def test_database_options():
         jdbc._plain({"url": "jdbc:none"})
     assert jdbc._plain({"url": "u", "dbtable": "t"})["batchsize"] == "5000"
     assert jdbc._plain({"url": "u", "dbtable": "t", "batchsize": "1"})["batchsize"] == "1"
+
+
+def test_two_writers_of_a_keyed_sink(spark, tmp_path):
+    """Rows that an older run writes after a newer run's snapshot count; order columns decide before labels."""
+    sink = Table("s", "k string, v int", "parquet", path=str(tmp_path / "s"), keys=("k",), order=("v",), role="sink")
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k string, v int")
+    write(frame(("x", 1)), sink, "2-old", 0)
+    write(frame(("x", 2)), sink, "3-new", 0)
+    changes.snapshot(spark, sink.path, "parquet", sink.fields, ["k"], ["v"])
+    write(frame(("x", 3), ("z", 1)), sink, "2-old", 1)
+    assert sorted(map(tuple, read_back(spark, sink).collect())) == [("x", 3), ("z", 1)]
+    changes.snapshot(spark, sink.path, "parquet", sink.fields, ["k"], ["v"])
+    assert sorted(map(tuple, read_back(spark, sink).collect())) == [("x", 3), ("z", 1)]
+
+
+def test_microseconds_survive_and_blank_messages_fail(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01 00:00:00.123456' AS t, timestamp_ntz'2024-01-01 00:00:00.000001' AS n")
+    schema = "t timestamp, n timestamp_ntz"
+    assert decode_json(encode_json(df), schema).exceptAll(df).isEmpty()
+    for message in (None, "", " \n"):
+        with pytest.raises(Exception, match="blank"):
+            decode_json(spark.createDataFrame([(message,)], "value string"), "k string").collect()

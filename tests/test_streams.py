@@ -23,7 +23,7 @@ from tidemark.plans import Insert, Job, View
 from tidemark.queries.inputs import as_user_log
 from tidemark.sources import Table, read_back
 from tidemark.sources.changes import read_batches
-from tidemark.streaming.inspect import is_stateful
+from tidemark.streaming.inspect import is_row_wise
 from tidemark.streaming.settings import JobSettings
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
@@ -280,10 +280,10 @@ def test_state_is_recognised(spark, data, tmp_path):
     feeds.in_files(tmp_path / "in", feeds.events(data), 1)
     stream = spark.readStream.schema(feeds.EVENTS).parquet(str(tmp_path / "in"))
     static = spark.read.schema(feeds.EVENTS).parquet(str(tmp_path / "in"))
-    assert not is_stateful(stream.where("value > 0").select("event_id"))
-    assert not is_stateful(stream.join(static, "event_id"))
-    assert not is_stateful(stream.join(static.groupBy("event_id").count(), "event_id"))
-    assert is_stateful(stream.groupBy("event_type").count())
-    assert is_stateful(stream.dropDuplicates(["event_id"]))
-    assert is_stateful(stream.join(stream.select("event_id"), "event_id"))
-    assert is_stateful(pv_uv_running(stream, "event_type", "user_id", retention=DAY))
+    assert is_row_wise(stream.where("value > 0").select("event_id"))
+    assert is_row_wise(stream.join(static, "event_id"))
+    assert is_row_wise(stream.join(static.groupBy("event_id").count(), "event_id"))
+    assert not is_row_wise(stream.groupBy("event_type").count())
+    assert not is_row_wise(stream.dropDuplicates(["event_id"]))
+    assert not is_row_wise(stream.join(stream.select("event_id"), "event_id"))
+    assert not is_row_wise(pv_uv_running(stream, "event_type", "user_id", retention=DAY))

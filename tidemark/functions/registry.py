@@ -11,11 +11,16 @@ from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, DataType, StructField, StructType
 
 KINDS = ("scalar", "aggregate", "table")
+#: A key's states from all tasks meet in so many shares before they become one.
+MERGE_SHARES = 64
+NAN = float("nan")
 
 
 class UserAggregate:
@@ -74,39 +79,64 @@ def aggregate_by_key(
     rows = df.select(*keys, F.col(column).alias("_value"))
     key_fields = [df.schema[k] for k in keys]
 
-    def fold(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: dict[tuple, Any] = {}
-        for rows in gathered(chunks):
-            for key, values in rows.groupby(keys, dropna=False, sort=False)["_value"]:
-                key = tuple(None if pd.isna(k) else k for k in key)
+        for table in gathered(batches):
+            for key, values in by_key(table):
                 states[key] = aggregate.add(states.get(key, aggregate.start()), values)
             # Hand states on before they fill the worker; they are merged later anyway.
             if len(states) > 100_000:
-                yield frame(states)
+                yield packed(states)
                 states = {}
-        yield frame(states)
-
-    def gathered(chunks: Iterator[pd.DataFrame], rows: int = 200_000) -> Iterator[pd.DataFrame]:
-        """Fewer, larger chunks: each costs one call per key."""
-        held: list[pd.DataFrame] = []
-        for chunk in chunks:
-            held.append(chunk)
-            if sum(map(len, held)) >= rows:
-                yield pd.concat(held)
+        yield packed(states)
+
+    def gathered(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[pa.Table]:
+        """Fewer, larger tables: each costs one call per key."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(len(b) for b in held) >= rows:
+                yield pa.Table.from_batches(held)
                 held = []
         if held:
-            yield pd.concat(held)
-
-    def frame(states: dict[tuple, Any]) -> pd.DataFrame:
-        columns = {k: [key[i] for key in states] for i, k in enumerate(keys)}
-        columns["_state"] = [pickle.dumps(s) for s in states.values()]
-        return pd.DataFrame(columns, columns=[*keys, "_state"])
-
-    def finish(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+            yield pa.Table.from_batches(held)
+
+    def by_key(table: pa.Table) -> Iterator[tuple[tuple, pd.Series]]:
+        """Rows by key. Keys stay Arrow values: pandas would turn integers beside a null into floats."""
+        codes = pd.DataFrame(
+            {i: table.column(k).combine_chunks().dictionary_encode("encode").indices.to_numpy() for i, k in enumerate(keys)}
+        )
+        values = table.column("_value").to_pandas()
+        for rows in codes.groupby(list(codes.columns), sort=False).indices.values():
+            key = tuple(plain(table.column(k)[int(rows[0])].as_py()) for k in keys)
+            yield key, values.iloc[rows]
+
+    def plain(value: Any) -> Any:
+        """One NaN for all, so that equal keys meet in a dictionary."""
+        return NAN if isinstance(value, float) and value != value else value
+
+    def packed(states: dict[tuple, Any]) -> pa.RecordBatch:
+        columns = [pa.array([key[i] for key in states], type_) for i, type_ in enumerate(key_types)]
+        columns.append(pa.array([pickle.dumps(s) for s in states.values()], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, [*keys, "_state"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        """The states of a key and a share of the tasks become one."""
         state = aggregate.start()
-        for part in parts["_state"]:
+        for part in table.column("_state").to_pylist():
             state = aggregate.merge(state, pickle.loads(part))
-        return pd.DataFrame([[*key, aggregate.finish(state)]], columns=[*keys, name])
-
-    states = rows.mapInPandas(fold, StructType([*key_fields, StructField("_state", BinaryType())]))
-    return states.groupBy(*keys).applyInPandas(finish, StructType([*key_fields, StructField(name, returns)]))
+        first = table.select(keys).slice(0, 1)
+        return first.append_column("_state", pa.array([pickle.dumps(state)], pa.binary()))
+
+    def finish(table: pa.Table) -> pa.Table:
+        state = pickle.loads(merge(table).column("_state")[0].as_py())
+        return table.select(keys).slice(0, 1).append_column(name, pa.array([aggregate.finish(state)], result_type))
+
+    key_types = [to_arrow_type(f.dataType) for f in key_fields]
+    result_type = to_arrow_type(returns)
+    held = StructType([*key_fields, StructField("_state", BinaryType())])
+    states = rows.mapInArrow(fold, held)
+    # States of one key first meet in shares, so that none of many tasks' states fill one worker.
+    share = (F.spark_partition_id() % MERGE_SHARES).alias("_share")
+    shares = states.select("*", share).groupBy(*keys, "_share").applyInArrow(lambda t: merge(t), held)
+    return shares.groupBy(*keys).applyInArrow(lambda t: finish(t), StructType([*key_fields, StructField(name, returns)]))

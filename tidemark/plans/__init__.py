@@ -1,6 +1,6 @@
 """Jobs put together from tables, views and inserts."""
 
 from tidemark.plans.job import Insert, Job, View
-from tidemark.plans.preview import CAP, page, preview, preview_statement
+from tidemark.plans.preview import is_cut, page, preview, preview_statement
 
-__all__ = ["CAP", "Insert", "Job", "View", "page", "preview", "preview_statement"]
+__all__ = ["Insert", "Job", "View", "is_cut", "page", "preview", "preview_statement"]

@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import files
 from tidemark.operators.views import align, view
-from tidemark.plans.preview import CAP, evaluate, preview, preview_statement
+from tidemark.plans.preview import evaluate, preview, preview_statement
 from tidemark.session import job_session, shared_dir
 from tidemark.sources import changes
 from tidemark.sources.messages import split_undecoded
 from tidemark.sources.tables import Table, good_rows, read, write
 from tidemark.streaming import savepoints
 from tidemark.streaming.handle import JobHandle
-from tidemark.streaming.inspect import is_stateful
+from tidemark.streaming.inspect import is_row_wise
 from tidemark.streaming.settings import JobSettings
 
+#: Micro-batches of a keyed table in files between two snapshots.
+SNAPSHOT_EVERY = 100
+
 Query = Union[str, Callable[[SparkSession], DataFrame]]
 
 
@@ -42,6 +45,7 @@ class Insert:
     With ``each_batch`` the query sees every micro-batch as a table of its own. That
     is right when a row's result depends on that row and on static tables only,
     and it allows what Spark refuses on streams: an as-of join with a static history.
+    A query whose rows are not each made from one row of the stream is refused.
     """
 
     target: str
@@ -72,7 +76,11 @@ class Job:
     ):
         self.settings, self.statements = settings, list(statements)
         self.static, self.staged = set(static), set(staged)
-        self.tables = {s.name: s for s in self.statements if isinstance(s, Table)}
+        self.tables: dict[str, Table] = {}
+        for table in (s for s in self.statements if isinstance(s, Table)):
+            if table.name in self.tables:
+                raise ValueError(f"two tables are named {table.name}")
+            self.tables[table.name] = table
 
     # -- names --------------------------------------------------------------
 
@@ -172,14 +180,17 @@ class Job:
         streams = [t for t in self.tables.values() if t.is_source and t.name not in self.static]
         if any(i.each_batch for i in inserts) and len(streams) != 1:
             raise ValueError("inserts for each batch need exactly one stream")
+        for insert in (i for i in inserts if i.each_batch):
+            if not is_row_wise(evaluate(session, insert.query), lookups=True):
+                raise ValueError(f"insert into {insert.target}: its rows are not made from one row of the stream each")
         results = [None if i.each_batch else evaluate(session, i.query) for i in inserts]
         for insert, df in zip(inserts, results):
             if df is not None:
                 align(df, self.tables[insert.target].fields)
                 if not df.isStreaming:
                     raise ValueError(f"insert into {insert.target} reads no stream; run it as a batch")
-        keeps = [df is not None and is_stateful(df) for df in results]
-        # Inserts without state share one pass over their source; the others run by themselves.
+        keeps = [df is not None and not is_row_wise(df) for df in results]
+        # Inserts that are row by row share one pass over their source; Spark runs or refuses the others.
         together = [n for n, k in enumerate(keeps) if not k and len(streams) == 1]
         alone = [n for n in range(len(inserts)) if n not in together]
         names = {n: f"insert-{n}" for n in alone}
@@ -189,11 +200,24 @@ class Job:
         stateful.update({f"undecoded-{t.name}": False for t in aside})
         if together:
             stateful["shared"] = False
+        origin = None
         if self.settings.restore_from:
-            savepoints.restore(
+            origin = savepoints.restore(
                 session, self.settings.restore_from, checkpoint, stateful, self.settings.on_mismatch
             )
-        writer = self._writer(session, checkpoint)
+        writer = self._writer(session, checkpoint, new=origin is not None)
+        if origin is not None:
+            part_of = {n: "shared" if n in together else names[n] for n in range(len(inserts))}
+            for n, insert in enumerate(inserts):
+                target = self.tables[insert.target]
+                if target.path is not None:
+                    mine, theirs = self._label(writer, n, inserts), self._label(origin.writer, n, inserts)
+                    changes.note_restore(session, target.path, mine, theirs, origin.last[part_of[n]])
+            for table in streams:
+                if table.undecoded:
+                    part = "shared" if together else f"undecoded-{table.name}"
+                    changes.note_restore(session, table.undecoded, writer, origin.writer, origin.last[part])
+            savepoints.seeded(session, checkpoint, origin.savepoint)
 
         def starter(part: str, df: DataFrame, mode: str, each: Callable[[DataFrame, int], None]):
             def begin():
@@ -222,7 +246,7 @@ class Job:
                     inner = self.bind(batch.sparkSession, given={source.name: rows})
                     for n, insert in chosen:
                         df = evaluate(inner, insert.query)
-                        write(df, self.tables[insert.target], self._label(writer, n, inserts), batch_id)
+                        self._write(df, self.tables[insert.target], self._label(writer, n, inserts), batch_id)
                 finally:
                     if many:
                         batch.unpersist()
@@ -234,7 +258,7 @@ class Job:
                 names[n],
                 results[n],
                 inserts[n].mode,
-                lambda batch, batch_id, target=target, label=label: write(batch, target, label, batch_id),
+                lambda batch, batch_id, target=target, label=label: self._write(batch, target, label, batch_id),
             )
         for table in aside:
             _, bad = split_undecoded(read(session, table, streaming=True))
@@ -248,15 +272,22 @@ class Job:
             )
         return JobHandle(session, self.settings, checkpoint, parts)
 
-    def _writer(self, session: SparkSession, checkpoint: str) -> str:
-        """The label of this run: kept in the checkpoint, so restarts and restores go on under it."""
-        path = f"{checkpoint}/writer"
-        if not files.exists(session, path):
+    @staticmethod
+    def _write(df: DataFrame, target: Table, label: str, batch_id: int) -> None:
+        """One micro-batch; now and then the folders of a keyed table in files are folded into a snapshot."""
+        write(df, target, label, batch_id)
+        if target.keys and target.path and target.encoding is None and batch_id % SNAPSHOT_EVERY == SNAPSHOT_EVERY - 1:
+            changes.snapshot(df.sparkSession, target.path, target.connector, target.fields, target.keys, target.order)
+
+    def _writer(self, session: SparkSession, checkpoint: str, new: bool = False) -> str:
+        """The label of this run: kept in the checkpoint, so restarts go on under it. A restored run has a new one."""
+        path = f"{checkpoint}/{savepoints.WRITER}"
+        if new or not files.exists(session, path):
             files.write_text(session, path, changes.new_writer(self.settings.name))
         return files.read_text(session, path)
 
-    def preview(self, spark: SparkSession, cap: int = CAP) -> DataFrame:
-        """Rows of the one SELECT or insert among the statements, read as a batch."""
+    def preview(self, spark: SparkSession, cap: int | None = None) -> DataFrame:
+        """Rows of the one SELECT or insert among the statements, read as a batch; all of them, or up to ``cap``."""
         query = preview_statement(self.statements)
         session = self.bind(self._session(spark))
         return preview(evaluate(session, query), cap)

@@ -6,25 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-CAP = 1_000_000  # rows a preview may hold
 
+def preview(df: DataFrame, cap: int | None = None) -> DataFrame:
+    """All rows, or at most ``cap`` of them; ``is_cut`` tells whether that leaves any out."""
+    return df if cap is None else df.limit(cap)
 
-def preview(df: DataFrame, cap: int = CAP) -> DataFrame:
-    """At most ``cap`` rows. A stream is first run to its present end; see ``Job.preview``."""
-    return df.limit(cap)
 
+def is_cut(df: DataFrame, cap: int) -> bool:
+    """Whether there are more than ``cap`` rows."""
+    return not df.offset(cap).isEmpty()
 
-def page(df: DataFrame, order: Sequence[str], number: int, size: int, cap: int = CAP) -> DataFrame:
+
+def page(df: DataFrame, order: Sequence[str], number: int, size: int) -> DataFrame:
     """Page ``number`` (from 1) of the rows in the order given, ties by the other columns.
 
     Spark keeps the first ``number * size`` rows of each task and merges those, so
-    nothing is sorted as a whole; the cap bounds what is merged.
+    the first pages of a large result sort little. Far pages sort more.
     """
     if number < 1 or size < 1:
         raise ValueError("pages are numbered from 1 and hold at least one row")
     start = (number - 1) * size
     rest = [c for c in df.columns if c not in order]
-    return df.orderBy(*order, *rest).offset(min(start, cap)).limit(max(0, min(size, cap - start)))
+    return df.orderBy(*order, *rest).offset(start).limit(size)
 
 
 def preview_statement(statements: Sequence) -> "str | callable":

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import align, view, with_route
@@ -11,6 +14,7 @@ from tidemark.session import shared_dir
 from tidemark.sources import Table, decode_json, decode_raw, encode_json, encode_raw, read_back
 from tidemark.streaming.settings import JobSettings
 
+REST = "unrouted"
 ROUTES = {"people": ["dbo.signup"], "sales": ["dbo.purchase"], "traffic": ["dbo.view", "dbo.click"]}
 
 
@@ -82,6 +86,10 @@ def _feed_job(folder, out, streaming):
         statements.append(
             Insert(name, f"SELECT cast(key AS binary), cast(ums AS binary) FROM feed WHERE `table` IN ({names})")
         )
+    known = ", ".join(f"'{v}'" for values in ROUTES.values() for v in values)
+    statements.append(Table(REST, sink, "parquet", path=f"{out}/{REST}", role="sink"))
+    rest = f"SELECT cast(key AS binary), cast(ums AS binary) FROM feed WHERE coalesce(`table` NOT IN ({known}), true)"
+    statements.append(Insert(REST, rest))
     return Job(JobSettings("feed", streaming=streaming, bounded=True, attached=True), statements)
 
 
@@ -94,9 +102,9 @@ def _fan_out(spark, folder, streaming):
             F.col("messageKey").cast("string").alias("key"),
             F.col("message").cast("string").alias("ums"),
         )
-        for name in ROUTES
+        for name in [*ROUTES, REST]
     ]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return reduce(DataFrame.unionAll, parts)
 
 
 def multi_sink(spark, folder):
@@ -131,12 +139,14 @@ _ROUTED = " UNION ALL ".join(
     f"""SELECT '{name}' AS {{label}}, key, ums FROM {FEED_SQL} WHERE "table" IN ({", ".join(f"'{v}'" for v in values)})"""
     for name, values in ROUTES.items()
 )
+_ROUTED += f""" UNION ALL SELECT '{REST}' AS {{label}}, key, ums FROM {FEED_SQL}
+               WHERE "table" NOT IN ('dbo.signup', 'dbo.purchase', 'dbo.view', 'dbo.click')"""
 
 CATALOG = {
     "json_decode": (json_decode, "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"),
     "encode_json_roundtrip": (
         json_messages,
-        f"SELECT user_id, item_id, category_id, behavior, date_trunc('millisecond', ts) AS ts FROM {USER_LOG_SQL}",
+        f"SELECT user_id, item_id, category_id, behavior, ts FROM {USER_LOG_SQL}",
     ),
     "bytes_cast": (bytes_cast, "SELECT event_id, hex(CAST(event_type AS BLOB)) AS type_hex FROM events"),
     "raw_messages": (
@@ -165,12 +175,7 @@ CATALOG = {
                   o_orderkey * 2 + 1 AS odd
            FROM orders WHERE o_totalprice > 1000 AND o_orderstatus <> 'P'""",
     ),
-    "route_by_table": (
-        route_by_table,
-        _ROUTED.format(label="route")
-        + f""" UNION ALL SELECT 'unrouted' AS route, key, ums FROM {FEED_SQL}
-               WHERE "table" NOT IN ('dbo.signup', 'dbo.purchase', 'dbo.view', 'dbo.click')""",
-    ),
+    "route_by_table": (route_by_table, _ROUTED.format(label="route")),
     "multi_sink": (multi_sink, _ROUTED.format(label="sink")),
     "multi_sink_stream": (multi_sink_stream, _ROUTED.format(label="sink")),
     "preview_page": (

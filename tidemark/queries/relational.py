@@ -342,7 +342,7 @@ def array_map_fns(spark, folder):
 
 def udf_scalar(spark, folder):
     def taxed_cents(price: pd.Series, tax: pd.Series) -> pd.Series:
-        return (price * 100).round().astype("int64") * (100 + (tax * 100).round().astype("int64"))
+        return (price * 100).round().astype("Int64") * (100 + (tax * 100).round().astype("Int64"))
 
     register(spark, "taxed_cents", taxed_cents, "scalar", "long")
     table(spark, folder, "lineitem").createOrReplaceTempView("lineitem")

@@ -40,11 +40,6 @@ def job_session(spark: SparkSession, params: Mapping[str, str] | None = None) ->
     for key, value in spark.conf.getAll.items():
         if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             session.conf.set(key, value)
-    if spark.sparkContext.master.startswith("local"):
-        # Each partition of a stream keeps a state store open: no more than there are threads.
-        threads = spark.sparkContext.defaultParallelism
-        partitions = min(int(session.conf.get("spark.sql.shuffle.partitions")), threads)
-        session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # Each batch uploads its changes of state instead of whole snapshots.

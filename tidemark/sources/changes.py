@@ -2,17 +2,21 @@
 
 Every micro-batch has a folder of its own, ``writer=<run>/batch_id=<n>``, which is
 overwritten when the batch is replayed: writing a batch twice is the same as
-writing it once. Run labels begin with their start time, so a later run is newer
-than all batches of an earlier one. A keyed table is the newest row per key.
+writing it once. A keyed table is the newest row per key: by the table's own order
+columns if it has any, then by run and batch. Run labels begin with their start time.
+
+A run restored from a savepoint has a label of its own and notes beside each sink
+which run it goes on from and after which batch. Later batches of that run are then
+no longer part of the table: the restored run writes the same rows again.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark import files
@@ -34,45 +38,60 @@ def _stamped(schema: StructType | str) -> StructType:
 
 
 def read_batches(
-    spark: SparkSession, path: str, fmt: str, schema: StructType | str, after: tuple[str, int] | None = None
+    spark: SparkSession, path: str, fmt: str, schema: StructType | str, without: frozenset[tuple[str, int]] = frozenset()
 ) -> DataFrame:
-    """All rows with ``writer`` and ``batch_id``, of completely written batches only.
+    """All rows with ``writer`` and ``batch_id``, of completely written batches that count.
 
-    ``after`` names a (writer, batch); folders up to it are not even listed.
+    ``without`` names batches, as (writer, batch), that a snapshot has already.
     """
-    done = [m.rsplit("/", 1)[0] for m in files.glob(spark, f"{path}/writer=*/batch_id=*/_SUCCESS")]
-    if after is not None:
-        done = [d for d in done if _place(d) > after]
+    done = [d for d in _counted(spark, path) if _place(d) not in without]
     if not done:
         return spark.createDataFrame([], _stamped(schema))
     return spark.read.format(fmt).schema(_stamped(schema)).option("basePath", path).load(done)
 
 
+def note_restore(spark: SparkSession, path: str, writer: str, parent: str, last: int) -> None:
+    """From now on ``writer`` goes on from batch ``last`` of ``parent`` (-1: from its start)."""
+    files.write_text(spark, f"{path}/_restored/{writer}.json", json.dumps({"parent": parent, "last": last}))
+
+
+def _counted(spark: SparkSession, path: str) -> list[str]:
+    """Folders of complete batches, but those that a restored run has superseded."""
+    ends: dict[str, int] = {}
+    for name in files.glob(spark, f"{path}/_restored/*.json"):
+        note = json.loads(files.read_text(spark, name))
+        ends[note["parent"]] = min(note["last"], ends.get(note["parent"], note["last"]))
+    done = [m.rsplit("/", 1)[0] for m in files.glob(spark, f"{path}/writer=*/batch_id=*/_SUCCESS")]
+    places = {d: _place(d) for d in done}
+    return [d for d, (writer, batch) in places.items() if writer not in ends or batch <= ends[writer]]
+
+
 def _place(folder: str) -> tuple[str, int]:
     writer, batch = folder.split("/")[-2:]
     return writer.removeprefix("writer="), int(batch.removeprefix("batch_id="))
 
 
-def newest_snapshot(spark: SparkSession, path: str) -> tuple[str, int] | None:
-    """Writer and batch of the newest complete snapshot."""
-    marks = files.glob(spark, f"{path}/_snapshots/*/*/_SUCCESS")
-    cuts = [(m.split("/")[-3], int(m.split("/")[-2])) for m in marks]
-    return max(cuts, default=None)
+def newest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest complete snapshot; their names count up."""
+    marks = files.glob(spark, f"{path}/_snapshots/*/folded.json")
+    return max((m.rsplit("/", 1)[0] for m in marks), key=lambda d: int(d.rsplit("/", 1)[1]), default=None)
 
 
-def _upto(writer: str, batch_id: int) -> Column:
-    same = (F.col("writer") == writer) & (F.col("batch_id") <= batch_id)
-    return (F.col("writer") < writer) | same
+def _folded(spark: SparkSession, snapshot: str) -> frozenset[tuple[str, int]]:
+    return frozenset((w, b) for w, b in json.loads(files.read_text(spark, f"{snapshot}/folded.json")))
 
 
 def _rows(spark: SparkSession, path: str, fmt: str, schema: StructType | str) -> DataFrame:
-    """The newest snapshot and all batches after it."""
-    cut = newest_snapshot(spark, path)
-    rows = read_batches(spark, path, fmt, schema, after=cut)
-    if cut is None:
-        return rows
-    base = spark.read.format(fmt).schema(_stamped(schema)).load(f"{path}/_snapshots/{cut[0]}/{cut[1]}")
-    return base.unionByName(rows)
+    """The newest snapshot and all batches that it does not hold.
+
+    A snapshot that holds a batch which a restored run has superseded does not count.
+    """
+    counted = {_place(d) for d in _counted(spark, path)}
+    base = newest_snapshot(spark, path)
+    if base is None or not _folded(spark, base) <= counted:
+        return read_batches(spark, path, fmt, schema)
+    rows = read_batches(spark, path, fmt, schema, without=_folded(spark, base))
+    return spark.read.format(fmt).schema(_stamped(schema)).load(f"{base}/rows").unionByName(rows)
 
 
 def read_keyed(
@@ -83,22 +102,22 @@ def read_keyed(
     keys: Sequence[str],
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """Newest row per key: last batch first, then greatest by ``order`` within it."""
-    newest = latest_per_key(_rows(spark, path, fmt, schema), keys, ["writer", "batch_id", *order])
+    """Newest row per key: greatest by ``order`` first, then of the last run and batch."""
+    newest = latest_per_key(_rows(spark, path, fmt, schema), keys, [*order, "writer", "batch_id"])
     return newest.select(*as_schema(schema).names)
 
 
 def snapshot(
-    spark: SparkSession,
-    path: str,
-    fmt: str,
-    schema: StructType | str,
-    keys: Sequence[str],
-    writer: str,
-    batch_id: int,
-    order: Sequence[str] = (),
+    spark: SparkSession, path: str, fmt: str, schema: StructType | str, keys: Sequence[str], order: Sequence[str] = ()
 ) -> None:
-    """Fold all batches up to this one, so that readers skip their folders."""
-    rows = _rows(spark, path, fmt, schema).where(_upto(writer, batch_id))
-    newest = latest_per_key(rows, keys, ["writer", "batch_id", *order])
-    newest.write.format(fmt).mode("overwrite").save(f"{path}/_snapshots/{writer}/{batch_id}")
+    """Fold all batches of now, so that readers skip their folders.
+
+    The snapshot names the batches it holds, so batches that other runs write later count
+    whatever their labels. Of two snapshots taken at once under one number the last stays whole.
+    """
+    held = sorted(_place(d) for d in _counted(spark, path))
+    newest = latest_per_key(_rows(spark, path, fmt, schema), keys, [*order, "writer", "batch_id"])
+    last = newest_snapshot(spark, path)
+    target = f"{path}/_snapshots/{int(last.rsplit('/', 1)[1]) + 1 if last else 1}"
+    newest.write.format(fmt).mode("overwrite").save(f"{target}/rows")
+    files.write_text(spark, f"{target}/folded.json", json.dumps(held))

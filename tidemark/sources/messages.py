@@ -15,6 +15,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.operators.views import as_schema
 
 UNDECODED = "_undecoded"
+#: By default Spark writes milliseconds; it reads any number of digits.
+MICROSECONDS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def decode_json(
@@ -29,6 +34,9 @@ def decode_json(
     schema = as_schema(schema)
     text = F.col(value).cast("string")
     if not keep_undecoded:
+        # The parser takes a message without any text for a missing value.
+        blank = F.coalesce(F.regexp_replace(text, r"\s+", "") == "", F.lit(True))
+        text = F.when(blank, F.raise_error(F.lit("a message is null or blank"))).otherwise(text)
         parsed = F.from_json(text, schema, {"mode": "FAILFAST", "timeZone": "UTC"})
         return df.select(parsed.alias("_message")).select("_message.*")
     marked = StructType([*schema.fields, StructField(UNDECODED, StringType())])
@@ -55,9 +63,9 @@ def split_undecoded(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def encode_json(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows to ``value`` bytes, one JSON object each, and ``key`` bytes if a key column is named.
 
-    Nulls are written, so that a decoded row equals the row encoded.
+    Nulls and microseconds are written, so that a decoded row equals the row encoded.
     """
-    body = F.to_json(F.struct(*df.columns), {"timeZone": "UTC", "ignoreNullFields": "false"})
+    body = F.to_json(F.struct(*df.columns), {"timeZone": "UTC", "ignoreNullFields": "false", **MICROSECONDS})
     columns = [body.cast("binary").alias("value")]
     if key is not None:
         columns.insert(0, F.col(key).cast("string").cast("binary").alias("key"))

@@ -94,7 +94,7 @@ def read(spark: SparkSession, table: Table, streaming: bool = False) -> DataFram
         else:
             df = decode_json(df, table.fields, keep_undecoded=table.undecoded is not None)
     if streaming and table.event_time:
-        df = df.withWatermark(table.event_time, f"{int(table.lateness.total_seconds())} seconds")
+        df = df.withWatermark(table.event_time, f"{table.lateness // timedelta(microseconds=1)} microseconds")
     return df
 
 

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import SparkSession
 
 from tidemark import files
 from tidemark.session import shared_dir
 
 
+WRITER, SEEDING, SEEDED = "writer", "seeding", "seeded"
+
+
+@dataclass(frozen=True)
+class Origin:
+    """What a restored run goes on from: the run of the savepoint, and its last batch of each part."""
+
+    savepoint: str
+    writer: str
+    last: dict[str, int]
+
+
 def _part_and_rest(name: str) -> tuple[str, str]:
     part, _, rest = name.partition("/")
     return part, rest
@@ -35,8 +49,12 @@ def has_state(spark: SparkSession, savepoint: str, part: str) -> bool:
 
 def restore(
     spark: SparkSession, savepoint: str, checkpoint: str, stateful: dict[str, bool], on_mismatch: str
-) -> None:
-    """Seed a new checkpoint from a savepoint.
+) -> Origin | None:
+    """Seed a new checkpoint from a savepoint; returns the run and batches it goes on from.
+
+    A checkpoint that this savepoint has seeded goes on as it is, and None is returned. One
+    that was begun otherwise is an error, as the savepoint could not be applied; one that
+    was seeded half is seeded again.
 
     ``stateful`` says for each part of the new job whether it keeps state. State that
     no part can take over is an error, unless ``drop_state`` is given and the part is
@@ -64,7 +82,27 @@ def restore(
 
     def keep(name: str) -> bool:
         part, rest = _part_and_rest(name)
-        return not (part in dropped and rest.startswith("state/"))
-
-    if not files.exists(spark, checkpoint):
-        files.copy_tree(spark, savepoint, checkpoint, keep)
+        return part not in (WRITER, SEEDING, SEEDED) and not (part in dropped and rest.startswith("state/"))
+
+    mark = f"{checkpoint}/{SEEDED}"
+    if files.exists(spark, mark):
+        if files.read_text(spark, mark) != savepoint:
+            raise ValueError(f"{checkpoint} goes on from another savepoint")
+        return None
+    begun = f"{checkpoint}/{SEEDING}"
+    if files.exists(spark, f"{checkpoint}/{WRITER}") and not files.exists(spark, begun):
+        raise ValueError(f"{checkpoint} is a checkpoint already; restore into a new one")
+    files.write_text(spark, begun, savepoint)
+    files.copy_tree(spark, savepoint, checkpoint, keep)
+    last = {part: _last_batch(spark, savepoint, part) for part in stateful}
+    return Origin(savepoint, files.read_text(spark, f"{savepoint}/{WRITER}"), last)
+
+
+def seeded(spark: SparkSession, checkpoint: str, savepoint: str) -> None:
+    """Note that the checkpoint is complete and the sinks know of it."""
+    files.write_text(spark, f"{checkpoint}/{SEEDED}", savepoint)
+
+
+def _last_batch(spark: SparkSession, savepoint: str, part: str) -> int:
+    names = [p.rsplit("/", 1)[1] for p in files.glob(spark, f"{savepoint}/{part}/commits/*")]
+    return max((int(n) for n in names if n.isdigit()), default=-1)
