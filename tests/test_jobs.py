@@ -358,9 +358,9 @@ def test_a_job_fails_when_restarts_are_used_up(spark, data, tmp_path):
     tries = []
 
     def broken(s):
-        tries.append(1)
         if s.table("events").isStreaming:
             return s.table("events").select("event_id")
+        tries.append(1)
         raise RuntimeError("always")
 
     statements = [feeds.source(tmp_path / "in"), out, Insert("out", broken, each_batch=True)]
