@@ -17,12 +17,12 @@ SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_marks")
 #: Measures that are bad when large. Each is a share; bins of a cutoff are 1 / BINS wide.
 RULES = {
-    "symbols": F.least(F.col("n_symbols") / F.greatest("n_words", F.lit(1)), F.lit(2.0)) / 2,
-    "dup_lines": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
-    "repeats": F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
-    "capitals": F.col("n_capitals") / F.greatest("word_chars", F.lit(1)),
-    "marks": F.col("n_marks") / F.greatest("word_chars", F.lit(1)),
-    "word_length": F.least(F.col("word_chars") / F.greatest("n_words", F.lit(1)), F.lit(40.0)) / 40,
+    "symbols": "least(n_symbols / greatest(n_words, 1), 2.0D) / 2",
+    "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
+    "repeats": "n_repeat_words / greatest(n_words, 1)",
+    "capitals": "n_capitals / greatest(word_chars, 1)",
+    "marks": "n_marks / greatest(word_chars, 1)",
+    "word_length": "least(word_chars / greatest(n_words, 1), 40.0D) / 40",
 }
 BINS = 200
 #: Share of good documents that the rules together may reject in a stratum, and the chance that any stratum exceeds it.
@@ -130,7 +130,7 @@ def cutoffs(measured_docs: DataFrame, labels: DataFrame, risk: float, chance: fl
     """
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("k")).agg(F.max(label_col).alias("good"))
     joined = measured_docs.join(known, F.col("doc_id") == F.col("k"))
-    bins = F.array(*[F.struct(F.lit(i).alias("rule"), _bin(value).alias("bin")) for i, value in enumerate(RULES.values())])
+    bins = F.array(*[F.struct(F.lit(i).alias("rule"), _bin(F.expr(value)).alias("bin")) for i, value in enumerate(RULES.values())])
     counted = joined.select("stratum", "good", F.explode(bins).alias("r")).groupBy("stratum", "r.rule", "r.bin")
     counted = cut(counted.agg(F.sum("good").cast("long").alias("good"), F.sum(1 - F.col("good")).cast("long").alias("bad")))
     strata = counted.select("stratum").distinct().count()
@@ -181,7 +181,7 @@ def apply_rules(
     rows = cut(measured(docs, id_col, text_col, stratum_col))
     made = cutoffs(rows, labels, risk, chance, id_col, label_col)
     joined = rows.join(made, F.expr("stratum <=> of"), "left")
-    names = [F.when(_bin(value) >= F.get("cut", i), F.lit(name)) for i, (name, value) in enumerate(RULES.items())]
+    names = [F.when(_bin(F.expr(value)) >= F.get("cut", i), F.lit(name)) for i, (name, value) in enumerate(RULES.items())]
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     broken = F.array_compact(F.array(*names))
     return joined.select("doc_id", "stratum", *COUNTS, failed.alias("base_failed"), broken.alias("broken"), (~failed & (F.size(broken) == 0)).alias("kept"))
