@@ -219,14 +219,21 @@ class Job:
                     changes.note_restore(session, table.undecoded, writer, origin.writer, origin.last[part])
             savepoints.seeded(session, checkpoint, origin.savepoint)
 
+        handles: list[JobHandle] = []
+
         def starter(part: str, df: DataFrame, mode: str, each: Callable[[DataFrame, int], None]):
+            def each_noted(batch: DataFrame, batch_id: int) -> None:
+                each(batch, batch_id)
+                for handle in handles:
+                    handle.note_last(part)
+
             def begin():
                 return (
                     df.writeStream.queryName(f"{self.settings.name}.{part}")
                     .outputMode(mode)
                     .option("checkpointLocation", f"{checkpoint}/{part}")
                     .trigger(**self.settings.trigger())
-                    .foreachBatch(each)
+                    .foreachBatch(each_noted)
                     .start()
                 )
 
@@ -270,7 +277,8 @@ class Job:
                     batch, path, "parquet", writer, batch_id
                 ),
             )
-        return JobHandle(session, self.settings, checkpoint, parts)
+        handles.append(JobHandle(session, self.settings, checkpoint, parts))
+        return handles[0]
 
     @staticmethod
     def _write(df: DataFrame, target: Table, label: str, batch_id: int) -> None:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from tidemark.streaming import savepoints
 from tidemark.streaming.settings import JobSettings
@@ -66,10 +67,10 @@ class JobHandle:
             query = self._queries[name]
             try:
                 query.awaitTermination()
-                self._note(name, query)
+                self._note(name, query.recentProgress)
                 return
             except Exception as error:  # noqa: BLE001 - any failure of the query counts
-                self._note(name, query)
+                self._note(name, query.recentProgress)
                 if self._halt.is_set():
                     return
                 while True:
@@ -155,8 +156,15 @@ class JobHandle:
             return "RUNNING"
         return "FINISHED" if self._threads else "CREATED"
 
-    def _note(self, name: str, query: StreamingQuery) -> None:
-        for p in query.recentProgress:
+    def note_last(self, name: str) -> None:
+        """Keep the report of the batch before the running one; Spark forgets old reports."""
+        query = self._queries.get(name)
+        report = query.lastProgress if query else None
+        if report is not None:
+            self._note(name, [report])
+
+    def _note(self, name: str, reports: Iterable[StreamingQueryProgress]) -> None:
+        for p in reports:
             operators, times = p["stateOperators"] or [], p["eventTime"] or {}
             row = (
                 self.settings.name,
@@ -175,13 +183,13 @@ class JobHandle:
             self._progress[(name, str(p["runId"]), row[3])] = row
 
     def metrics(self) -> DataFrame:
-        """One row per micro-batch and part, as far as Spark still remembers it.
+        """One row per micro-batch and part since the start.
 
         ``delay_seconds`` is how far the newest event of the batch was behind its start;
         it needs a watermark.
         """
         for name, query in self._queries.items():
-            self._note(name, query)
+            self._note(name, query.recentProgress)
         return self.session.createDataFrame(list(self._progress.values()), METRICS)
 
     def append_metrics(self, path: str) -> None:
