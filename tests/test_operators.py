@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tidemark.operators import (
     align,
@@ -335,3 +336,26 @@ def test_rate_and_gap(log):
     assert rows(found) == sorted(
         [(T0, 3, 3 / 3600, None), (T0 + timedelta(hours=1), 2, 2 / 3600, 45 * 60.0)], key=repr
     )
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "decimal(10,2)", "double"])
+def test_windows_give_one_type_and_value_whatever_the_algorithm(spark, kind):
+    """Sliding windows from parts, of half a second, against Spark's own windows."""
+    measures = {"s": ("sum", "v"), "a": ("avg", "v"), "n": ("count", "v"), "x": ("max", "v")}
+    df = spark.range(200).selectExpr(
+        "'k' AS k", f"CAST(id * 1.25 AS {kind}) AS v", "timestamp_micros(1700000000000000 + id * 130000) AS ts"
+    )
+    width, step = timedelta(seconds=1), timedelta(milliseconds=500)
+    ours = slide(df, "ts", width, step, ["k"], measures)
+    own = df.groupBy(F.window("ts", "1 second", "500 milliseconds").alias("w"), "k").agg(F.sum("v").alias("s"), F.avg("v").alias("a"), F.count("v").alias("n"), F.max("v").alias("x"))
+    own = own.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "k", "s", "a", "n", "x")
+    assert ours.dtypes == own.dtypes
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, own.collect()))
+    runs = session(df, "ts", timedelta(milliseconds=100), ["k"], measures)
+    assert runs.count() == 200 and runs.select("s", "a").dtypes == own.select("s", "a").dtypes
+
+
+def test_averages_of_large_whole_numbers_do_not_overflow(spark):
+    df = spark.range(4).selectExpr("1 AS k", "9000000000000000000 AS v", "timestamp_seconds(id) AS ts")
+    found = slide(df, "ts", timedelta(seconds=10), timedelta(seconds=5), ["k"], {"a": ("avg", "v")})
+    assert {r.a for r in found.collect()} == {9e18}

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.times import epoch, same_clock, seconds, slot
+from tidemark.operators.times import epoch, micros, same_clock, slot
 
 
 def as_of_join(
@@ -39,13 +39,13 @@ def as_of_join(
     if clash := set(take) & set(probes.columns):
         raise ValueError(f"columns {sorted(clash)} are already in the probes")
     same_clock(probes, probe_time, history, history_time)
-    keys, width = list(keys), seconds(slice_width)
+    keys, width = list(keys), micros(slice_width)
 
     def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
 
-    to_seconds = epoch(probes, probe_time)
-    in_slice = slot(to_seconds(F.col("_at")), width).alias("_slice")
+    to_micros = epoch(probes, probe_time)
+    in_slice = slot(to_micros(F.col("_at")), width).alias("_slice")
     # A version is wrapped in a struct, so one whose values are null still counts.
     version = F.struct(*[F.col(old).alias(new) for new, old in take.items()])
     versions = known(history, [*keys, history_time]).select(

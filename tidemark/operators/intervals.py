@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.times import epoch, same_clock, seconds, shift, slot
+from tidemark.operators.times import epoch, micros, same_clock, shift, slot
 
 
 def interval_join(
@@ -37,7 +37,7 @@ def interval_join(
     if clash := set(take) & set(left.columns):
         raise ValueError(f"columns {sorted(clash)} are already on the left")
     same_clock(left, left_time, right, right_time)
-    width = max(seconds(before + after) if before + after else 1, 1)
+    width = micros(before + after) if before + after else 1_000_000
     keys = list(keys)
 
     of_left, of_right = epoch(left, left_time), epoch(right, right_time)

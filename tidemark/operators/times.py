@@ -9,15 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def seconds(width: timedelta) -> int:
-    whole = int(width.total_seconds())
-    if whole <= 0 or whole != width.total_seconds():
-        raise ValueError(f"need a whole, positive number of seconds, got {width}")
-    return whole
+def micros(width: timedelta) -> int:
+    """The width in microseconds, as fine as Spark's times are."""
+    if width <= timedelta(0):
+        raise ValueError(f"need a positive width, got {width}")
+    return width // timedelta(microseconds=1)
 
 
 def text(width: timedelta) -> str:
-    return f"{seconds(width)} seconds"
+    return f"{micros(width)} microseconds"
 
 
 def shift(width: timedelta) -> Column:
@@ -33,20 +33,19 @@ def same_clock(left: DataFrame, left_time: str, right: DataFrame, right_time: st
 
 
 def epoch(df: DataFrame, column: str) -> Callable[[Column], Column]:
-    """A function from a time column of ``df``'s type to whole seconds.
+    """A function from a time column of ``df``'s type to microseconds.
 
     It never decreases as time grows. Zone-free times are counted from their
     calendar fields, so the session time zone has no say in them.
     """
     if dict(df.dtypes)[column] == "timestamp_ntz":
         return lambda c: (
-            F.unix_date(c.cast("date")).cast("long") * 86400
-            + F.hour(c) * 3600
-            + F.minute(c) * 60
-            + F.second(c)
+            (F.unix_date(c.cast("date")).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60) * 1_000_000
+            + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
         )
-    return lambda c: F.unix_seconds(c)
+    return lambda c: F.unix_micros(c)
 
 
-def slot(seconds_column: Column, width_seconds: int) -> Column:
-    return F.floor(seconds_column / F.lit(width_seconds))
+def slot(time: Column, width: int) -> Column:
+    """The number of the slot of ``width`` microseconds, in whole numbers throughout."""
+    return ((time - F.pmod(time, F.lit(width).cast("long"))) / F.lit(width)).cast("long")

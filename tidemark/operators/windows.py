@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.measures import Measures, direct, merged, partial
-from tidemark.operators.times import epoch, seconds, shift, slot, text
+from tidemark.operators.times import epoch, micros, shift, slot, text
 
 
 def _bounds(df: DataFrame, column: str, keys: Sequence[str], measures: Measures, label: str) -> DataFrame:
@@ -38,18 +38,18 @@ def slide(
     df: DataFrame, ts: str, width: timedelta, step: timedelta, keys: Sequence[str], measures: Measures
 ) -> DataFrame:
     """Fixed windows of ``width`` that start every ``step``."""
-    if df.isStreaming or seconds(width) % seconds(step):
+    if df.isStreaming or micros(width) % micros(step):
         grouped = df.groupBy(F.window(ts, text(width), text(step)).alias("w"), *keys).agg(*direct(measures))
         return _bounds(grouped, "w", keys, measures, "window")
     # One aggregate per step, then each step joins the windows that cover it: the
     # rows themselves are never copied into the overlapping windows.
-    count = seconds(width) // seconds(step)
-    panes = df.groupBy(F.window(ts, text(step)).alias("w"), *keys).agg(*partial(measures))
+    count = micros(width) // micros(step)
+    panes = df.groupBy(F.window(ts, text(step)).alias("w"), *keys).agg(*partial(measures, df))
     starts = F.array(*[F.col("w.start") - shift(step * i) for i in range(count)])
     return (
         panes.withColumn("window_start", F.explode(starts))
         .groupBy("window_start", *keys)
-        .agg(*merged(measures))
+        .agg(*merged(measures, df))
         .select("window_start", (F.col("window_start") + shift(width)).alias("window_end"), *keys, *measures)
     )
 
@@ -61,11 +61,11 @@ def session(df: DataFrame, ts: str, gap: timedelta, keys: Sequence[str], measure
         return _bounds(grouped, "w", keys, measures, "session")
     # Rows in one slot of length ``gap`` always share a session, so a key needs at
     # most one row per slot to find where its sessions break.
-    to_seconds = epoch(df, ts)
+    to_micros = epoch(df, ts)
     slots = (
         df.where(F.col(ts).isNotNull())
-        .groupBy(*keys, slot(to_seconds(F.col(ts)), seconds(gap)).alias("_slot"))
-        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), *partial(measures))
+        .groupBy(*keys, slot(to_micros(F.col(ts)), micros(gap)).alias("_slot"))
+        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), *partial(measures, df))
     )
     by_key = Window.partitionBy(*keys).orderBy("_slot")
     breaks = F.coalesce(F.col("_first") > F.lag("_last").over(by_key) + shift(gap), F.lit(True))
@@ -74,7 +74,7 @@ def session(df: DataFrame, ts: str, gap: timedelta, keys: Sequence[str], measure
     )
     return (
         numbered.groupBy(*keys, "_session")
-        .agg(F.min("_first").alias("session_start"), F.max("_last").alias("_last"), *merged(measures))
+        .agg(F.min("_first").alias("session_start"), F.max("_last").alias("_last"), *merged(measures, df))
         .select("session_start", (F.col("_last") + shift(gap)).alias("session_end"), *keys, *measures)
     )
 
@@ -93,7 +93,7 @@ def rate_and_gap(df: DataFrame, ts: str, width: timedelta, keys: Sequence[str])
     silence = F.expr("timestampdiff(MICROSECOND, _before, first_ts)") / F.lit(1e6)
     return (
         per_window.withColumn("_before", F.lag("last_ts").over(by_key))
-        .withColumn("rate", F.col("n") / F.lit(float(seconds(width))))
+        .withColumn("rate", F.col("n") / F.lit(width.total_seconds()))
         .withColumn("gap_seconds", silence)
         .select("window_start", *keys, "n", "rate", "gap_seconds")
     )
