@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,8 +21,10 @@ from tidemark.session import shared_dir
 FILE_BYTES = 32 << 20
 #: Bytes of text that are encoded at once.
 PIECE_BYTES = 2 << 20
-#: Pieces of text a worker remembers the ids of; then it forgets them all and starts anew.
-MEMORY = 600_000
+#: Words of which a worker remembers the ids; beyond, it starts anew.
+WORDS = 1_500_000
+#: The number of a file, from its name.
+FILE = "CAST(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) AS INT)"
 #: ORC settings: ids are integers under run-length encoding, ``doc_id`` has an index and a Bloom filter.
 ORC = {
     "compression": "zstd",
@@ -33,8 +36,8 @@ ORC = {
 }
 
 
-#: Marks after a word that the vocabulary's splitting always parts from it.
-MARKS = b'.,;:!?|%&#*$"()'
+#: Between a letter or digit and a mark after it, where the vocabulary's splitting always parts them.
+PART = re.compile(rb'(?<=[0-9a-z])(?=[.,;:!?|%&#*$"()])')
 WORD_END = "</w>"
 
 
@@ -43,12 +46,12 @@ class Encoder:
 
     The vocabulary must never join or look across white space and must drop it; must take
     A-Z for a-z; must part a run of letters from marks after it; and must mark the last id of
-    such a run. Then the ids of a text are those of its pieces in a row, and those of a piece
-    are its word's and its marks'. Most words come again and again, so their ids are kept,
-    and the library encodes only new ones, many plain words in one call.
+    such a run. Then the ids of a text are those of its words and marks in a row. Most words
+    come again and again, so their ids are kept, and the library encodes only new ones, many
+    plain words in one call.
     """
 
-    def __init__(self, vocabulary: str, memory: int = MEMORY):
+    def __init__(self, vocabulary: str, memory: int = WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already take all cores
         from tokenizers import Tokenizer
 
@@ -57,52 +60,46 @@ class Encoder:
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith(WORD_END)]] = True
         self.memory = memory
-        self.known: dict[bytes, bytes] = {}  # 4 bytes for each id
+        self.words: dict[bytes, bytes] = {}  # 4 bytes for each id
 
     def _encode(self, pieces: list[bytes]) -> None:
         texts = [p.decode() for p in pieces]
         # Latin letters only: a run of them is one word to any version of the tables of letters.
-        plain = [t.lower().isalpha() and max(t) < "\u0250" for t in texts]
+        plain = [t.lower().isalpha() and (t.isascii() or max(t) < "\u0250") for t in texts]
         words = [(p, t) for p, t, is_plain in zip(pieces, texts, plain) if is_plain]
         if words:
-            ids = np.array(self.tokenizer.encode(" ".join(t for _, t in words), add_special_tokens=False).ids, np.uint32)
+            joined = self.tokenizer.encode_batch_fast([" ".join([t for _, t in words])], add_special_tokens=False)[0]
+            ids = np.array(joined.ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(words):
                 raise ValueError("the vocabulary must mark the last id of each word, and no other")
             raw, start = ids.tobytes(), 0
             for (piece, _), stop in zip(words, (stops * 4).tolist()):
-                self.known[piece] = raw[start:stop]
+                self.words[piece] = raw[start:stop]
                 start = stop
         rest = [(p, t) for p, t, is_plain in zip(pieces, texts, plain) if not is_plain]
         for (piece, _), found in zip(rest, self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, np.uint32).tobytes()
+            self.words[piece] = np.array(found.ids, np.uint32).tobytes()
 
     @staticmethod
-    def _parts(piece: bytes) -> list[bytes]:
-        """A word and the marks after it; pieces that may hold a special token stay whole."""
-        if b"<|" in piece:
-            return [piece]
-        word = piece.rstrip(MARKS)
-        if not word or len(word) == len(piece) or not chr(word[-1]).isalnum() or word[-1] >= 0x80:
-            return [piece.lower()]
-        return [word.lower(), piece[len(word) :]]
+    def _split(text: bytes) -> list[bytes]:
+        """Words and marks. Pieces that may hold a special token stay as they are."""
+        if b"<|" not in text:
+            return PART.sub(b" ", text.lower()).split()
+        parted = [[p] if b"<|" in p else PART.sub(b" ", p.lower()).split() for p in text.split()]
+        return [x for some in parted for x in some]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as 4 bytes each."""
-        pieces = [text.split() for text in texts]
-        known = self.known
-        distinct = set().union(*pieces)
-        fresh = distinct.difference(known)
-        if len(known) + 2 * len(fresh) > self.memory:
-            known.clear()
-            fresh = distinct
-        parts = {p: self._parts(p) for p in fresh}
-        new = {x for some in parts.values() for x in some}.difference(known)
+        split = [self._split(text) for text in texts]
+        distinct = set().union(*split)
+        new = distinct.difference(self.words)
+        if len(self.words) + len(new) > self.memory:
+            self.words.clear()
+            new = distinct
         if new:
             self._encode(list(new))
-        for piece, some in parts.items():
-            known[piece] = b"".join([known[x] for x in some])
-        return [b"".join(map(known.__getitem__, some)) for some in pieces]
+        return [b"".join(map(self.words.__getitem__, some)) for some in split]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -118,7 +115,7 @@ def encoder(vocabulary: str) -> Encoder:
 def write_tokens(
     docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES
 ) -> None:
-    """ORC files under ``folder`` with (doc_id, ids), in ascending order of doc_id over all files.
+    """ORC files under ``folder`` with (doc_id, size, ids), in ascending order of doc_id over all files.
 
     Texts are dealt into ranges of ids and sorted before they are encoded, so each file is
     written as its texts are encoded. The numbers of files are in order. Every document ends
@@ -142,10 +139,11 @@ def write_tokens(
                 offsets = np.concatenate(([0], np.cumsum([len(x) // 4 + 1 for x in ids])))
                 flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(end.join(ids) + end)])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, stop - at), lists], ["doc_id", "ids"])
+                sizes = pa.array(np.diff(offsets), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, stop - at), sizes, lists], ["doc_id", "size", "ids"])
                 at = stop
 
-    rows.mapInArrow(encode, "doc_id long, ids array<int>").write.options(**ORC).orc(folder)
+    rows.mapInArrow(encode, "doc_id long, size long, ids array<int>").write.options(**ORC).orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,7 +153,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     files are read in parallel, stripe by stripe, and no task sees more than one file's rows.
     """
     stored = spark.read.schema("doc_id long, ids array<int>").orc(folder)
-    stored = stored.select("doc_id", "ids", F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).cast("int").alias("file"))
+    stored = stored.select("doc_id", "ids", F.expr(FILE).alias("file"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +165,9 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "file", "n_tokens", "ids_crc32"])
 
     rows = stored.mapInArrow(check, "doc_id long, file int, n_tokens long, ids_crc32 long")
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
+    # Sums of files take the column of sizes alone; the ids are read once.
+    sizes = spark.read.schema("size long").orc(folder).select("size", F.expr(FILE).alias("file"))
+    files = sizes.groupBy("file").agg(F.sum("size").alias("tokens"))
     ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     files = files.select("file", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("before"))
     within = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
