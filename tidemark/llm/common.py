@@ -16,6 +16,9 @@ PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PLAIN_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Parts are not made smaller than this for the sake of parallel tasks.
+LEAST_BYTES = 1 << 20
+
 KEY, BODY, TWIN = "_key", "_body", "_twin"
 
 
@@ -36,8 +39,9 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
 
 
 def parts_for(spark: SparkSession, size: int, each: int) -> int:
-    """As many parts as keep each near ``each`` bytes, and no fewer than Spark shuffles to."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(size / each), 1)
+    """As many parts as keep each near ``each`` bytes, and as many as Spark shuffles to unless they got tiny."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(usual, ceil(size / LEAST_BYTES)), ceil(size / each), 1)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -161,19 +161,22 @@ def _repeated_contexts(table: pa.Table, parts: int) -> pa.Table:
     to = (opened >> np.uint64(24)) % np.uint64(parts)
     by = np.argsort(to, kind="stable")
     rows += dealt(0, OPEN_GRAMS, to[by], opened[by])
-    for _, source, _, grams, contexts, _ in _pick(table, sizes, speaks, SPOKESMAN, gram, context):
-        to = (grams >> np.uint64(24)) % np.uint64(parts)
-        by = np.argsort(to, kind="stable")
-        rows += dealt(source, SPOKESMAN, to[by], grams[by], contexts[by])
+    # Spokesmen meet their grams in a row for each pair of parts, with the group beside each entry.
+    source = np.repeat(table.column("source").to_numpy(), sizes)[speaks].astype(np.int32)
+    to = (gram[speaks] >> np.uint64(24)) % np.uint64(parts)
+    by = np.argsort(to, kind="stable")
+    rows += dealt(0, SPOKESMAN, to[by], gram[speaks][by], context[speaks][by], source[by])
     return lists(rows)
 
 
 def _spokesmen(table: pa.Table) -> pa.Table:
     opened = np.unique(column(of_kind(table, OPEN_GRAMS), "a", np.uint64)[0])
     speak = of_kind(table, SPOKESMAN)
-    grams, sizes = column(speak, "a", np.uint64)
-    contexts, _ = column(speak, "b", np.uint64)
-    return lists(_pick(speak, sizes, found_in(grams, opened)[0], SPOKESMAN, contexts))
+    grams, contexts, sources = column(speak, "a", np.uint64)[0], column(speak, "b", np.uint64)[0], column(speak, "c", np.int32)[0]
+    asked = found_in(grams, opened)[0]
+    by = np.argsort(sources[asked], kind="stable")
+    answers = dealt(0, SPOKESMAN, sources[asked][by], contexts[asked][by])
+    return lists([(0, source, kind, *rest) for source, _, kind, *rest in answers])
 
 
 def _strings(docs: pa.Table, answers: pa.Table, length: int, parts: int) -> pa.Table:
