@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,13 @@ from tidemark.session import shared_dir
 SHINGLE = 5
 #: 20 bands of 4 registers: a pair of similarity 0.8 meets in some band but for 3 cases in 100,000.
 BANDS, ROWS = 20, 4
-REGISTERS = BANDS * ROWS
-#: Pairs that leaders leave open are verified from this estimate on: 3 deviations below 0.8.
-MARGIN = 3.0
+#: Bands take the first 80 registers; the estimate of a pair takes all.
+REGISTERS = 240
+#: Turns in which the classes of a band are compared with its leader, before pairs of members.
+LEADER_TURNS = 2
+#: Pairs that leaders leave open are verified, those first that are estimated to reach the
+#: threshold, then, of what is still apart, those from 3 deviations below it.
+MARGINS = (0.0, 3.0)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,7 +104,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             registers = signatures(n, text, shingle, weight)
             sums = np.zeros((n, BANDS), np.uint64)
             for k in range(ROWS):
-                sums = mixed(sums * _STEP + registers[:, k::ROWS])
+                sums = mixed(sums * _STEP + registers[:, k : BANDS * ROWS : ROWS])
             sums = mixed(sums + np.arange(BANDS, dtype=np.uint64))
             some = hi > lo
             fixed = lambda values, width, kind: pa.ListArray.from_arrays(
@@ -179,16 +184,17 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     ``keep`` marks the row that stands for it; rows alike in id and text share the mark.
     ``twin`` is a hash of the text, which tells rows of one id apart.
 
-    Nodes that meet in a band are compared with two leaders of it: the one with most copies,
-    and the least. What then still lies in different classes within a band is compared pair
-    by pair on registers, and verified from three deviations below the threshold, so no pair
-    is left out because a band is large, and few are made because most are linked by then.
+    Classes grow in turns. In each, one member of every class in a band is compared with the
+    leader of the band's largest class. What then still lies in different classes within a
+    band is compared pair by pair on registers, and verified from three deviations below the
+    threshold, so no pair is left out because a band is large, and few are made because most
+    are linked by then.
 
     A text of one to four words is one shingle. Texts without words, or null, are each alone
     and kept. A null id is carried through; a class of null ids has a null ``class_id``. Only
     the two named columns are read. An empty table gives an empty table.
     """
-    rows = keyed(docs, id_col, text_col)
+    spark, rows = docs.sparkSession, keyed(docs, id_col, text_col)
     sketched = rows.mapInArrow(_sketch, f"{KEY} long, {TWIN} long, node binary, bands array<long>, registers array<smallint>")
     sketched = _stored(sketched, "sketches")
     nodes = sketched.where("node IS NOT NULL").groupBy("node")
@@ -201,23 +207,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     nodes = _stored(nodes, "nodes")
 
     met = nodes.select("node", "copies", F.explode("bands").alias("bucket"))
-    crowd = met.groupBy("bucket").agg(F.max(F.struct("copies", "node"))["node"].alias("first"), F.min("node").alias("second"), F.count("*").alias("n"))
-    crowd = crowd.where("n > 1").drop("n")
-    led = met.join(crowd, "bucket").select(F.col("node").alias("b"), F.explode(F.array("first", "second")).alias("a"))
-    pairs = _stored(led.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    crowd = met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    met = _stored(met.join(crowd, "bucket"), "met")
 
     # A text of each node that may be compared, by the row that stands for the node.
-    busy = met.join(crowd.select("bucket"), "bucket", "left_semi").select("node").distinct()
-    wanted = nodes.join(busy, "node", "left_semi").select("node", F.col(f"keeper.{KEY}").alias("k"), F.col(f"keeper.{TWIN}").alias("t"))
+    wanted = nodes.join(met.select("node").distinct(), "node").select("node", F.col(f"keeper.{KEY}").alias("k"), F.col(f"keeper.{TWIN}").alias("t"))
     texts = rows.join(wanted, F.expr(f"{KEY} <=> k AND {TWIN} = t")).select("node", F.col(BODY).alias("body"))
     texts = _stored(texts.dropDuplicates(["node"]), "texts")
 
-    links = _stored(verified(pairs, texts, threshold), "links")
-    roots = components(links)
-    open_pairs = _open(nodes, crowd, roots, threshold)
-    more = _stored(verified(open_pairs, texts, threshold), "links")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    roots = spark.createDataFrame([], "node binary, root binary")
+    links: list[DataFrame] = []
+    for margin in [None] * LEADER_TURNS + list(MARGINS):
+        pairs = _led(met, roots) if margin is None else _open(nodes, met, roots, threshold, margin)
+        found = _stored(verified(_stored(pairs, "pairs"), texts, threshold), "links")
+        if not found.isEmpty():
+            links.append(found)
+            roots = components(reduce(DataFrame.unionByName, links))
 
     classed = nodes.select("node", "copies", "keeper").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     whole = classed.groupBy("root").agg(F.min("keeper").alias("stands"), F.sum("copies").alias("n_class"))
@@ -234,26 +239,38 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     )
 
 
-def _open(nodes: DataFrame, crowd: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+def _classed(met: DataFrame, roots: DataFrame) -> DataFrame:
+    return met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _led(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """For each class the pair (a, b) of a member and a leader that it meets in most bands."""
+    best = F.max(F.struct("copies", "node"))
+    per_class = _classed(met, roots).groupBy("bucket", "root").agg(best["node"].alias("member"), F.count("*").alias("n"), best["copies"].alias("copies"))
+    main = per_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "copies", "root", "member")).alias("main"))
+    met_main = per_class.join(main.where("classes > 1"), "bucket").where(F.col("root") != F.col("main.root"))
+    pairs = met_main.groupBy("root", "member", F.col("main.member").alias("leader")).agg(F.count("*").alias("bands"))
+    chosen = pairs.groupBy("root").agg(F.max(F.struct("bands", "leader", "member")).alias("m")).select("m.leader", "m.member")
+    return chosen.select(F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b")).distinct()
+
+
+def _open(nodes: DataFrame, met: DataFrame, roots: DataFrame, threshold: float, margin: float) -> DataFrame:
     """Pairs (a, b) of one band and different classes whose registers agree often enough.
 
     In each band, members of its largest class need no comparison among themselves: the
     others are compared with everything there. A pair counts in the first band it shares.
     """
-    least = int(np.ceil((threshold - MARGIN * (threshold * (1 - threshold) / REGISTERS) ** 0.5) * REGISTERS))
-    placed = nodes.select("node", "bands", "registers").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = placed.select("node", "root", F.posexplode("bands").alias("band", "bucket")).join(crowd.select("bucket"), "bucket", "left_semi")
+    least = int(np.ceil((threshold - margin * (threshold * (1 - threshold) / REGISTERS) ** 0.5) * REGISTERS))
+    members = _classed(met, roots).select("bucket", "node", "root")
     per_class = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     torn = per_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "root"))["root"].alias("main")).where("classes > 1")
-    torn = members.join(torn, "bucket")
-    few = torn.where("root <> main").select("bucket", "band", F.col("node").alias("a"), F.col("root").alias("ra"))
-    all_ = torn.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), "main")
-    sketch = placed.select("node", "bands", "registers")
-    few = few.join(sketch.select(F.col("node").alias("a"), F.col("bands").alias("xa"), F.col("registers").alias("ga")), "a")
-    all_ = all_.join(sketch.select(F.col("node").alias("b"), F.col("bands").alias("xb"), F.col("registers").alias("gb")), "b")
+    sketch = nodes.select("node", "bands", "registers")
+    torn = members.join(torn, "bucket").join(sketch, "node")
+    few = torn.where("root <> main").select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("bands").alias("xa"), F.col("registers").alias("ga"))
+    all_ = torn.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), "main", F.col("bands").alias("xb"), F.col("registers").alias("gb"))
     agree = F.expr("aggregate(zip_with(ga, gb, (x, y) -> IF(x = y, 1, 0)), 0, (s, x) -> s + x)")
-    shared = F.expr("array_position(zip_with(xa, xb, (x, y) -> x = y), true) - 1")
+    shared = F.expr("get(filter(xa, (x, i) -> x = get(xb, i)), 0)")
     # Two members outside the main class meet twice; once is enough.
     once = (F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))
-    joined = few.join(all_, "bucket").where((F.col("ra") != F.col("rb")) & once & (shared == F.col("band")) & (agree >= least))
+    joined = few.join(all_, "bucket").where((F.col("ra") != F.col("rb")) & once & (shared == F.col("bucket")) & (agree >= least))
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
