@@ -1,6 +1,8 @@
 """Each text operator against plain code, on the given documents and on odd rows."""
 
+import random
 import zlib
+from re import _parser as re_parser
 
 import numpy as np
 import plain
@@ -10,7 +12,7 @@ from oracle import from_spark, from_sql
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import queries
+from tidemark.llm import licenses, queries
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.licenses import rules as license_rules
 from tidemark.llm.licenses import scan_licenses
@@ -105,6 +107,70 @@ def test_license_rules_resolve_overlaps(cluster):
     assert [(s.first, s.label) for s in found] == [(2, "cc-by-nc-sa"), (13, "cc-by")]
 
 
+STATEMENTS = {
+    "distributed under the General Public License version 2": {"gpl-2.0"},
+    "This file is GPLv2+.": {"gpl-2.0"},
+    "GNU GPLv3": {"gpl-3.0"},
+    "uses LGPLv2.1 code": {"lgpl-2.1"},
+    "AGPLv3": {"agpl-3.0"},
+    "the GNU Lesser General Public License as published": {"lgpl"},
+    "Lesser General Public License, version 2.1": {"lgpl-2.1"},
+    "MPLv2 code": {"mpl-2.0"},
+    "SPDX-License-Identifier: MIT": {"mit"},
+    "SPDX-License-Identifier: ISC": {"isc"},
+    "SPDX-License-Identifier: Zlib": {"zlib"},
+    "SPDX-License-Identifier: BSD-3-Clause": {"bsd-3-clause"},
+    "License: MIT": {"mit"},
+    "Licensed under MIT.": {"mit"},
+    "Released under the MIT": {"mit"},
+    "Released under BSD": {"bsd"},
+    "Licensed under the GPL": {"gpl"},
+    "Wir gehen mit ihm under way": set(),
+}
+
+
+def test_license_statements(cluster):
+    texts = list(STATEMENTS)
+    docs = cluster.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {texts[r.doc_id]: {s.label for s in r.found} for r in scan_licenses(docs).collect()}
+    assert found == STATEMENTS
+
+
+def _written(draw, parsed):
+    """A random text that a regex matches."""
+    out = ""
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, value = draw.choice(arg)
+            out += "w" if str(kind) == "CATEGORY" else chr(value[0] if str(kind) == "RANGE" else value)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(_written(draw, arg[2]) for _ in range(draw.randint(arg[0], min(arg[1], arg[0] + 1))))
+        elif name == "SUBPATTERN":
+            out += _written(draw, arg[3])
+        elif name == "BRANCH":
+            out += _written(draw, draw.choice(arg[1]))
+        else:
+            assert name == "ASSERT_NOT", name
+    return out
+
+
+def test_license_gates_lose_nothing(cluster, monkeypatch):
+    draw = random.Random(3)
+    regexes = sorted({rule[2] for rule in license_rules()})
+    texts = [_written(draw, re_parser.parse(regex)).upper().replace(" ", draw.choice([" ", "-", ",\n"])) for regex in regexes for _ in range(2)]
+    docs = cluster.createDataFrame([*enumerate([*texts, *STATEMENTS])], "doc_id long, text string").repartition(8)
+    gated = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    assert all(gated[i].found for i in range(len(texts)))
+    picked = docs.where("doc_id % 8 = 0")
+    monkeypatch.setattr(licenses, "_may_have", lambda text: F.lit(True))
+    monkeypatch.setattr(licenses, "_opens", lambda norm, gate: F.lit(True))
+    for row in scan_licenses(picked).collect():
+        assert row == gated[row.doc_id]
+
+
 def test_decontamination_of_odd(cluster, odd, odd_rows):
     shared = odd_rows[4][1].split()
     items = [(1, " ".join(shared[20:45])), (2, "WORD"), (3, None), (4, ""), (None, "same same"), (5, "line two"), (6, "no such words here"), (7, "漢字 Straße")]

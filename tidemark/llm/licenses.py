@@ -14,16 +14,26 @@ BASE = (
     ("cc by", "cc-by"),
     ("mit license", "mit"),
 )
-#: label, word that a text must have, how the name is written (over words with one space between)
+#: A version's number may have a word or letter ahead of it: "version 2", "v2", "v. 2".
+_V = r"(?:version )?(?:v ?)?"
+#: The lesser, library and Affero licences have labels of their own.
+_GENERAL = r"(?<!lesser )(?<!library )(?<!affero )general public licen[cs]e"
+_GPL = rf"(?:gnu )?(?:gpl(?: licen[cs]e)? ?|{_GENERAL} ){_V}"
+_LGPL = r"(?:lesser|library) general public licen[cs]e"
+_AGPL = r"affero general public licen[cs]e"
+#: label, gates, how the name is written (over words with one space between). Every way to write a
+#: name has one of its gates: a word or phrase, with * the beginning of one, or a name of BESIDE.
 FAMILIES = (
-    ("gpl-1.0", "gpl|gnu", r"(?:gnu )?(?:gpl|general public license)(?: version)? v?1(?: 0)?"),
-    ("gpl-2.0", "gpl|gnu", r"(?:gnu )?(?:gpl|general public license)(?: version)? v?2(?: 0)?"),
-    ("gpl-3.0", "gpl|gnu", r"(?:gnu )?(?:gpl|general public license)(?: version)? v?3(?: 0)?"),
-    ("gpl", "gpl|gnu", r"gnu (?:gpl|general public licen[cs]e)"),
-    ("lgpl-2.1", "lgpl|lesser|library", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version)? v?2(?: [01])?"),
-    ("lgpl-3.0", "lgpl|lesser", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? v?3(?: 0)?"),
-    ("agpl-3.0", "agpl|affero", r"(?:gnu )?(?:agpl|affero general public license)(?: version)? v?3(?: 0)?"),
-    ("fdl", "gfdl|documentation", r"(?:gfdl|gnu free documentation license)(?: version)?(?: v?1 [123])?"),
+    ("gpl-1.0", "gpl*|general public licen*", rf"{_GPL}1(?: 0)?"),
+    ("gpl-2.0", "gpl*|general public licen*", rf"{_GPL}2(?: 0)?"),
+    ("gpl-3.0", "gpl*|general public licen*", rf"{_GPL}3(?: 0)?"),
+    ("gpl", "gpl*|general public licen*", r"(?:gnu (?:gpl|general public licen[cs]e)|gpl licen[cs]e)"),
+    ("lgpl-2.1", "lgpl*|lesser general*|library general*", rf"(?:gnu )?(?:lgpl ?|{_LGPL} ){_V}2(?: [01])?"),
+    ("lgpl-3.0", "lgpl*|lesser general*", rf"(?:gnu )?(?:lgpl ?|lesser general public licen[cs]e ){_V}3(?: 0)?"),
+    ("lgpl", "lgpl*|lesser general*|library general*", rf"(?:gnu )?(?:lgpl|{_LGPL})"),
+    ("agpl-3.0", "agpl*|affero general*", rf"(?:gnu )?(?:agpl ?|{_AGPL} ){_V}3(?: 0)?"),
+    ("agpl", "agpl*|affero general*", rf"(?:gnu )?(?:agpl|{_AGPL})"),
+    ("fdl", "gfdl*|free documentation*", rf"(?:gfdl|gnu free documentation licen[cs]e)(?: version)?(?: ?{_V}1 [123])?"),
     ("apache-1.1", "apache", r"apache (?:software )?license(?: version)? 1 1"),
     ("apache-2.0", "apache", r"apache(?: software)?(?: license)?(?: version)? v?2(?: 0)?"),
     ("apache", "apache", r"apache (?:software )?licen[cs]e"),
@@ -35,18 +45,18 @@ FAMILIES = (
     ("bsd", "bsd", r"bsd (?:style )?licen[cs]e"),
     ("isc", "isc", r"isc licen[cs]e"),
     ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e"),
-    ("mpl-1.1", "mozilla|mpl", r"(?:mozilla public license|mpl)(?: version)? v?1 1"),
-    ("mpl-2.0", "mozilla|mpl", r"(?:mozilla public license|mpl)(?: version)? v?2(?: 0)?"),
-    ("epl-1.0", "eclipse|epl", r"(?:eclipse public license|epl)(?: version)? v?1(?: 0)?"),
-    ("epl-2.0", "eclipse|epl", r"(?:eclipse public license|epl)(?: version)? v?2(?: 0)?"),
-    ("cddl", "cddl|development", r"(?:cddl|common development and distribution license)(?: version)?(?: 1 [01])?"),
-    ("eupl", "eupl|european", r"(?:eupl|european union public licen[cs]e)(?: version)?(?: v?1 [012])?"),
+    ("mpl-1.1", "mozilla|mpl*", rf"(?:mozilla public license |mpl ?){_V}1 1"),
+    ("mpl-2.0", "mozilla|mpl*", rf"(?:mozilla public license |mpl ?){_V}2(?: 0)?"),
+    ("epl-1.0", "eclipse|epl*", rf"(?:eclipse public license |epl ?){_V}1(?: 0)?"),
+    ("epl-2.0", "eclipse|epl*", rf"(?:eclipse public license |epl ?){_V}2(?: 0)?"),
+    ("cddl", "cddl*|common development*", rf"(?:cddl|common development and distribution license)(?: version)?(?: ?{_V}1 [01])?"),
+    ("eupl", "eupl*|european union*", rf"(?:eupl|european union public licen[cs]e)(?: version)?(?: ?{_V}1 [012])?"),
     ("artistic", "artistic", r"artistic license(?: version)?(?: [12](?: 0)?)?"),
-    ("bsl-1.0", "boost|bsl", r"(?:boost software license|bsl)(?: version)? v?1(?: 0)?"),
+    ("bsl-1.0", "boost|bsl*", rf"(?:boost software license |bsl ?){_V}1(?: 0)?"),
     ("unlicense", "unlicense", r"(?:the )?unlicense"),
-    ("wtfpl", "wtfpl", r"wtfpl(?: version)?(?: 2)?"),
-    ("odbl", "odbl|odc|database", r"(?:odbl|odc odbl|open (?:data commons open )?database license)(?: v?1(?: 0)?)?"),
-    ("ofl", "ofl|font", r"(?:sil )?(?:ofl|open font license)(?: version)?(?: 1 [01])?"),
+    ("wtfpl", "wtfpl*", rf"wtfpl(?: version)?(?: ?{_V}2)?"),
+    ("odbl", "odbl*|database", rf"(?:odbl|odc odbl|open (?:data commons open )?database license)(?: ?{_V}1(?: 0)?)?"),
+    ("ofl", "ofl*|font", rf"(?:sil )?(?:ofl|open font license)(?: version)?(?: ?{_V}1 [01])?"),
     ("psf", "python|psf", r"(?:python software foundation|psf) license(?: version)?(?: 2)?"),
     ("cc0", "cc0|creative", r"(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?"),
     ("cc-by", "cc|creative", r"(?:cc by|creative commons attribution)(?: [1-4] [05])?(?: (?:international|unported|generic))?"),
@@ -56,6 +66,16 @@ FAMILIES = (
     ("cc-by-nc-sa", "cc|creative", r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1-4] [05])?"),
     ("cc-by-nc-nd", "cc|creative", r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)(?: [1-4] [05])?"),
 )
+#: Names too short to tell by themselves; they count in the forms of BARE_FORMS.
+BARE = (
+    ("gpl", "gpl|general public licen*", r"(?:gnu )?(?:gpl|general public licen[cs]e)"),
+    ("mit", "bare mit|bare expat", r"(?:mit|expat)(?: x11)?"),
+    ("bsd", "bsd", r"bsd"),
+    ("isc", "bare isc", r"isc"),
+    ("zlib", "bare zlib", r"zlib(?: libpng)?"),
+    ("artistic", "bare artistic", r"artistic(?: [12](?: 0)?)?"),
+    ("psf", "bare psf", r"psf(?: 2(?: 0)?)?"),
+)
 #: what stands around a name, confidence; earlier forms are stronger
 FORMS = (
     (r"spdx license identifier {name}", 1.0),
@@ -66,6 +86,10 @@ FORMS = (
     (r"(?:permissions?|rights) (?:are |is )?(?:granted|given) (?:by|under) (?:the )?{name}", 0.8),
     (r"{name}", 0.6),
 )
+#: As above, but "under" alone is weaker, as it may tell of a system or a school.
+BARE_FORMS = tuple((form, 0.7 if form.startswith("under") else trust) for form, trust in FORMS[:-1])
+#: The words that may stand right before a name in these forms.
+_AHEAD = "identifier|under|the|an?|of|to|by|with|per|licen[cs]e|is|as|name|type"
 #: signatures that stand alone: label, word, regex, confidence
 ALONE = (
     ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this software", 0.95),
@@ -82,12 +106,13 @@ ALONE = (
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
-    """(priority, word, regex, label, confidence), the strongest first: every form of every name, and the rest.
+    """(priority, gate, regex, label, confidence), the strongest first: every form of every name, and the rest.
 
     Within a form, names with more parts come first, so "cc by nc sa" beats "cc by".
     """
     names = sorted(FAMILIES, key=lambda f: (-f[0].count("-"), f[0]))
     forms = [(words, form.format(name=f"(?:{name})"), label, trust) for form, trust in FORMS for label, words, name in names]
+    forms += [(words, form.format(name=f"(?:{name})"), label, trust) for form, trust in BARE_FORMS for label, words, name in BARE]
     alone = [(word, regex, label, trust) for label, word, regex, trust in ALONE]
     ordered = sorted(forms + alone, key=lambda r: -r[3])
     return [(i, word, regex, label, trust) for i, (words, regex, label, trust) in enumerate(ordered) for word in words.split("|")]
@@ -114,13 +139,16 @@ def _found(pairs: DataFrame, *carry: str) -> DataFrame:
     return each.select(KEY, TWIN, *carry, first.alias("first"), (F.col("len") + 1).alias("words"))
 
 
-#: Every match of a rule or phrase has one of these within a word, or the short name of a CC or MIT licence.
+#: Every match of a rule or phrase has one of these within a word, or a short name as in SHORT.
 ROOTS = (
     "licen|gpl|gfdl|apache|spdx|commons|cc0|mpl|epl|bsl|cddl|eupl|odbl|ofl|wtfpl|bsd|domain|reserved|hereby"
     "|redistribution|altered|fuck|unencumbered|confidential|prohibited|attribution"
 ).split("|")
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SHORT = (("cc", rf"cc{_GAP}by"), ("mit", rf"mit{_GAP}0"))
+#: Short names that are words of other languages, or too common, count after a word of a form only.
+_SHORT_NAMES = ("mit", "expat", "isc", "zlib", "artistic", "psf")
+SHORT = (("cc", rf"cc{_GAP}by"), ("mit", rf"mit{_GAP}0"), *((name, rf"(?:{_AHEAD}){_GAP}{name}") for name in _SHORT_NAMES))
+BESIDE = {f"bare {name}": (f" {name} ", rf" (?:{_AHEAD}) {name} ") for name in _SHORT_NAMES}
 
 
 def _may_have(text: Column) -> Column:
@@ -132,6 +160,14 @@ def _may_have(text: Column) -> Column:
     return held
 
 
+def _opens(norm: Column, gate: str) -> Column:
+    """Whether a text in words has what a gate asks for."""
+    if gate in BESIDE:
+        name, regex = BESIDE[gate]
+        return F.contains(norm, F.lit(name)) & norm.rlike(regex)
+    return F.contains(norm, F.lit(f" {gate[:-1]}" if gate.endswith("*") else f" {gate} "))
+
+
 def _rule_table(spark: SparkSession) -> DataFrame:
     """Its size is fixed by the lists above: a few hundred rows, whatever is scanned."""
     return spark.createDataFrame(rules(), "priority int, word string, regex string, label string, trust double")
@@ -142,7 +178,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``base``: array of (first, label) of all places of the base phrases. ``found``: array of
     (first, words, label, trust) of the rules' detections. A rule is tried only on texts that
-    have its keyword. A detection that lies within one of higher priority is dropped; of two
+    have one of its gates, without which it can't match. A detection that lies within one of higher priority is dropped; of two
     equal stretches the stronger rule's stays. Higher priority means a higher level of confidence, or
     the longer of two detections of one level.
 
@@ -156,7 +192,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = texts.select(KEY, TWIN, F.concat(F.lit(" "), plain, F.lit(" ")).alias("_norm"))
 
     spark = docs.sparkSession
-    has = F.array_compact(F.array(*[F.when(F.contains("_norm", F.lit(f" {w} ")), F.lit(w)) for w in keywords]))
+    has = F.array_compact(F.array(*[F.when(_opens(F.col("_norm"), w), F.lit(w)) for w in keywords]))
     gated = texts.select("*", F.explode(has).alias("_word"))
     table = _rule_table(spark)
     tried = gated.join(F.broadcast(table), F.col("_word") == table["word"]).drop("word")
