@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from math import comb
 from re import _parser as re_parser
 
 import numpy as np
@@ -12,7 +13,7 @@ from oracle import from_spark, from_sql
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import licenses, queries
+from tidemark.llm import licenses, probminhash, queries
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.licenses import rules as license_rules
 from tidemark.llm.licenses import scan_licenses
@@ -239,6 +240,22 @@ def test_registers_agree_with_probability_jaccard():
     assert (found[0] == found[1]).mean() == pytest.approx(exact, abs=0.04)
 
 
+def test_registers_lose_fewer_links_than_bands(cluster):
+    """A pair at the threshold whose registers agree less than expected is still verified."""
+    n, p = probminhash.REGISTERS, 0.8
+    missed = (1 - p**probminhash.ROWS) ** probminhash.BANDS
+    bands = list(range(probminhash.BANDS))
+    for agree in range(n):
+        if sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(agree + 1)) > missed / 10:
+            break
+    rows = [(b"a", bands, [1] * n), (b"b", bands, [1] * agree + [2] * (n - agree))]
+    nodes = cluster.createDataFrame(rows, "node binary, bands array<long>, registers array<smallint>")
+    met = nodes.select("node", F.lit(1).cast("long").alias("copies"), F.explode("bands").alias("bucket"))
+    roots = cluster.createDataFrame([], "node binary, root binary")
+    found = probminhash._open(nodes, met, roots, p, probminhash.MARGINS[-1]).collect()
+    assert [(r.a, r.b) for r in found] == [(b"a", b"b")]
+
+
 def test_counts_of_rules(cluster, data, given, odd, odd_rows):
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     found = queries.op7_quality_rules(cluster, data).select(*columns, "base_failed").collect()
