@@ -1,5 +1,7 @@
 """The classifier, certified cutoffs, and the pipeline."""
 
+import os
+import uuid
 import zlib
 
 import numpy as np
@@ -7,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import queries
+from tidemark.llm import classifier, queries
 from tidemark.llm.classifier import classify, score, train
 from tidemark.llm.components import components
 from tidemark.llm.quality_rules import apply_rules, at_most, certified
@@ -38,6 +40,29 @@ def test_classifier_of_odd(cluster, odd, odd_rows):
     assert {r.score for r in classify(odd, none).collect()} == {0.5}
 
 
+def test_repeated_rows_teach_once(cluster, monkeypatch):
+    """An id with many rows is learned from like any other."""
+    words = "an be the of in or st er on th".split()
+    single = [(i, " ".join(words[(i * k) % 10] for k in range(30))) for i in range(1, 40)]
+    taught = [row for row in single if zlib.crc32(str(row[0]).encode()) % 5]
+    several = [*single, *[taught[0]] * 300]
+    labels = cluster.createDataFrame([(i, i % 2) for i, _ in single], "doc_id long, quality int")
+    models = [train(cluster.createDataFrame(rows, "doc_id long, text string").repartition(4), labels) for rows in (single, several)]
+    assert models[0].any() and np.allclose(*models)
+    other = cluster.createDataFrame([*single, *[(taught[0][0], f"text {k}") for k in range(300)]], "doc_id long, text string").repartition(4)
+    learned, seen = classifier._learn, str(cluster.sparkContext._temp_dir) + "/taught"
+    os.mkdir(seen)
+
+    def noted(table, *rest):
+        with open(f"{seen}/{uuid.uuid4()}", "w") as out:
+            out.write(str(table.num_rows))
+        return learned(table, *rest)
+
+    monkeypatch.setattr(classifier, "_learn", noted)
+    train(other, labels)
+    assert sum(int(open(f"{seen}/{name}").read()) for name in os.listdir(seen)) == len(taught)
+
+
 def test_held_out_labels_teach_nothing(cluster, data):
     docs, labels = (cluster.read.parquet(f"{data}/{name}.parquet") for name in ("documents", "labels"))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BODY, KEY, keyed
+from tidemark.llm.common import BODY, KEY, TWIN, keyed
 from tidemark.llm.spans import IN_WORD, Sums, Texts, Words, binary, in_pieces, mixed
 
 #: Features are hashed to so many places; the model is two arrays of that length.
@@ -128,7 +128,8 @@ def train(
 ) -> np.ndarray:
     """Weights for all places and, last, the constant.
 
-    Learns from at most ``sample_rows`` labelled rows outside the held-out fold. Each of
+    Learns from at most ``sample_rows`` labelled ids outside the held-out fold, each with one
+    text, however many rows it has: of several texts the one with the least hash. Each of
     four learners takes a share of them through some passes; an average of their weights is
     the model. Its size is fixed, so it may pass the driver.
     """
@@ -137,7 +138,9 @@ def train(
     known = known.withColumn("turn", F.xxhash64("k", F.lit("turn"))).orderBy("turn").limit(sample_rows)
     rows = keyed(docs, id_col, text_col)
     # The sample's size is bounded by its parameter, so the documents need no shuffle.
-    taught = rows.join(F.broadcast(known), F.col(KEY) == F.col("k")).select(BODY, "goal", "turn")
+    taught = rows.join(F.broadcast(known), F.col(KEY) == F.col("k"))
+    # Combined in the map tasks, so that an id of many rows never meets in one share.
+    taught = taught.groupBy("k", "goal", "turn").agg(F.min(F.struct(TWIN, BODY))[BODY].alias(BODY)).select(BODY, "goal", "turn")
     taught = taught.withColumn("share", F.pmod(F.col("turn"), F.lit(SHARES)).cast("int"))
     shares = taught.groupBy("share").applyInArrow(lambda t: _learn(t, settings, passes), "place int, weight double")
     model = np.zeros((1 << BITS) + 1)
@@ -173,8 +176,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **names
 
     A null or empty text has no features; the constant alone scores it. A null id belongs to
     no fold and is scored like any other. Of several labels of one id the greatest counts;
-    null labels teach nothing, and without any label every score is 0.5. Rows with equal
-    texts have equal scores. Only the named columns of either table are read.
+    null labels teach nothing, and without any label every score is 0.5. Of several texts of a
+    labelled id the one with the least hash is learned, once. Rows with equal texts have equal
+    scores. Only the named columns of either table are read.
     """
     scored = score(docs, train(docs, labels, **names))
     return scored.select(
