@@ -6,9 +6,10 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, mixing
+from tidemark.llm import decontamination, mixing, spellings, vector_codes
 from tidemark.llm.classifier import classify
 from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.merges import count_tokens
 from tidemark.llm.probminhash import near_duplicates
 from tidemark.llm.quality_rules import apply_rules
 from tidemark.llm.secrets import listed, scan_secrets
@@ -99,6 +100,19 @@ def op10_licenses(spark, folder):
     )
 
 
+def op11_token_counts(spark, folder):
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_vector_codes(spark, folder):
+    coded = vector_codes.encode_vectors(table(spark, folder, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_spellings(spark, folder):
+    return spellings.group_spellings(table(spark, folder, "documents"))
+
+
 CATALOG = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_secrets": (op2_secrets, None),
@@ -110,5 +124,8 @@ CATALOG = {
     "op8_mixing": (op8_mixing, mixing.SQL),
     "op9_token_files": (op9_token_files, None),
     "op10_licenses": (op10_licenses, None),
+    "op11_token_counts": (op11_token_counts, None),
+    "op12_vector_codes": (op12_vector_codes, vector_codes.sql()),
+    "op13_spellings": (op13_spellings, spellings.SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
