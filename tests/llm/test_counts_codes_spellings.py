@@ -4,7 +4,6 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
-from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -50,15 +49,14 @@ def test_token_counts_of_odd(odd, odd_rows, nothing, library):
     assert empty.collect() == [] and empty.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
 
 
+LIBRARY = Tokenizer.from_file(VOCABULARY)
 PARTS = ["a", "the", " the", "  ", "\n", "\t", "'s", "'LL", "12", "½", "é", "漢字", "\U0001f600", "<|endoftext|>", "<|", "̀", " ", "\x85", "ꟍ", "!!", "x" * 90]
 
 
 @settings(max_examples=300, deadline=None)
 @drawn(st.lists(st.one_of(st.sampled_from(PARTS), st.characters(exclude_categories=["Cs"])), max_size=30).map("".join))
 def test_token_counts_of_any_text(text):
-    library = Tokenizer.from_file(VOCABULARY) if not hasattr(test_token_counts_of_any_text, "t") else test_token_counts_of_any_text.t
-    test_token_counts_of_any_text.t = library
-    assert merges.counter(VOCABULARY)(text) == len(library.encode(text, add_special_tokens=False).ids)
+    assert merges.counter(VOCABULARY)(text) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
 
 
 def test_long_pieces_and_long_texts(library, monkeypatch):
@@ -220,11 +218,13 @@ def test_spellings_of_given(cluster, data, given):
     alike(queries.op13_spellings(cluster, data).collect(), plain_spellings(given))
 
 
-@pytest.mark.parametrize("shortest, least, ratio", [(5, 3, 2), (1, 1, 1), (2, 1, 3)])
+@pytest.mark.parametrize("shortest, least, ratio", [(5, 3, 2), (1, 1, 2), (2, 1, 3)])
 def test_spellings_of_odd(odd, odd_rows, nothing, shortest, least, ratio):
     rows = [r[:2] for r in odd_rows if r[0] != 14]
     found = group_spellings(odd.where("doc_id IS NULL OR doc_id <> 14"), shortest, least, ratio)
-    alike(found.collect(), plain_spellings(rows, shortest, least, ratio) if ratio > 1 else [tuple(r) for r in found.collect()])
+    alike(found.collect(), plain_spellings(rows, shortest, least, ratio))
+    with pytest.raises(ValueError):
+        group_spellings(odd, ratio=1)
     empty = group_spellings(nothing)
     assert empty.collect() == [] and empty.columns == ["word", "form", "root", "n", "n_near", "form_n"]
 
@@ -238,11 +238,8 @@ def test_neighbours_of_close_words(cluster):
 
 
 def test_chains_of_forms_end_at_their_roots(cluster):
-    chain = ["abcdef", "abcdeg", "abcdhg", "abciþg"[:4] + "hg", "xbcdhg", "xbcyhg", "xzcyhg"]
-    chain = list(dict.fromkeys(chain))
+    chain = ["abcdef", "abcdeg", "abcdhg", "abcyhg", "xbcyhg", "xbcyhgs", "xzcyhgs"]
     text = " ".join(w for k, w in enumerate(chain) for _ in range(3 * 2**k))
-    rows = [(1, text)]
-    found = group_spellings(cluster.createDataFrame(rows, "doc_id long, text string")).collect()
-    alike(found, plain_spellings(rows))
-    assert any(a.root != a.form for a in found if a.form) or len(found) < 3
-    assert all(len(a) >= 5 for a, _ in pairwise(chain))
+    found = group_spellings(cluster.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    alike(found, plain_spellings([(1, text)]))
+    assert any(row.form and row.root != row.form for row in found)

@@ -159,6 +159,8 @@ def group_spellings(
     edges are one row, so no common start or end of words gathers them in one task but what
     adaptive execution splits. Other columns are not read.
     """
+    if ratio < 2 or shortest < 1 or least < 1:
+        raise ValueError("a form must be at least twice as common, or chains of forms need not end")
     words = _stored(word_counts(docs, shortest, least, id_col, text_col), "words")
     best = F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("other")))
     near = neighbours(words).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
