@@ -67,14 +67,8 @@ def register(spark: SparkSession, name: str, function: Any, kind: str, returns:
         raise ValueError(f"{name}: unknown kind {kind!r} of {type(function).__name__}; known are {KINDS}")
 
 
-def aggregate_by_key(
-    df: DataFrame, keys: Sequence[str], column: str, aggregate: UserAggregate, name: str, returns: DataType
-) -> DataFrame:
-    """``aggregate`` of ``column`` per key, in two phases.
-
-    Every input partition first folds its rows to one state per key; only the states
-    are shuffled. A busy key then costs one small state per partition.
-    """
+def partial_states(df: DataFrame, keys: Sequence[str], column: str, aggregate: UserAggregate) -> DataFrame:
+    """(keys, ``_state``): every input partition's rows folded to one state per key; batch or stream."""
     keys = list(keys)
     rows = df.select(*keys, F.col(column).alias("_value"))
     key_fields = [df.schema[k] for k in keys]
@@ -120,6 +114,20 @@ def aggregate_by_key(
         columns.append(pa.array([pickle.dumps(s) for s in states.values()], pa.binary()))
         return pa.RecordBatch.from_arrays(columns, [*keys, "_state"])
 
+    key_types = [to_arrow_type(f.dataType) for f in key_fields]
+    return rows.mapInArrow(fold, StructType([*key_fields, StructField("_state", BinaryType())]))
+
+
+def aggregate_by_key(
+    df: DataFrame, keys: Sequence[str], column: str, aggregate: UserAggregate, name: str, returns: DataType
+) -> DataFrame:
+    """``aggregate`` of ``column`` per key, in two phases.
+
+    Every input partition first folds its rows to one state per key; only the states
+    are shuffled. A busy key then costs one small state per partition.
+    """
+    keys = list(keys)
+
     def merge(table: pa.Table) -> pa.Table:
         """The states of a key and a share of the tasks become one."""
         state = aggregate.start()
@@ -132,11 +140,11 @@ def aggregate_by_key(
         state = pickle.loads(merge(table).column("_state")[0].as_py())
         return table.select(keys).slice(0, 1).append_column(name, pa.array([aggregate.finish(state)], result_type))
 
-    key_types = [to_arrow_type(f.dataType) for f in key_fields]
     result_type = to_arrow_type(returns)
-    held = StructType([*key_fields, StructField("_state", BinaryType())])
-    states = rows.mapInArrow(fold, held)
+    states = partial_states(df, keys, column, aggregate)
+    held = states.schema
     # States of one key first meet in shares, so that none of many tasks' states fill one worker.
     share = (F.spark_partition_id() % MERGE_SHARES).alias("_share")
     shares = states.select("*", share).groupBy(*keys, "_share").applyInArrow(lambda t: merge(t), held)
-    return shares.groupBy(*keys).applyInArrow(lambda t: finish(t), StructType([*key_fields, StructField(name, returns)]))
+    result = StructType([*[df.schema[k] for k in keys], StructField(name, returns)])
+    return shares.groupBy(*keys).applyInArrow(lambda t: finish(t), result)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.streaming.combine import count_within_task
-from tidemark.streaming.retained import first_visits
+from tidemark.streaming.retained import first_visits, visits_by_time
 
 
 def pv_uv(df: DataFrame, key: str, user: str) -> DataFrame:
@@ -46,28 +46,33 @@ def pv_uv_running(
     user: str,
     retention: timedelta | tuple[timedelta, timedelta] | None = None,
     buckets: int = 64,
+    by: str | None = None,
 ) -> DataFrame:
     """Exact page views and visitors per key, kept up to date on a stream (update mode).
 
-    State is held per (key, user), so no task owns all users of a busy key, and equal
-    pairs are combined before the shuffle, so none gets all rows of a busy user.
+    One pass over the source: one operator holds the visitors of each (key, bucket of users)
+    and gives both counts. So no task owns all users of a busy key, and equal pairs are
+    combined before the shuffle, so none gets all rows of a busy user.
 
     With ``retention`` a (key, user) pair that stays silent for that long is
     forgotten, and the user counts as new when coming back: ``uv`` then means
     visitors with pauses shorter than the retention. Given as (least, most), a pair
     is kept for the first and forgotten by the second; the wider apart, the fewer writes.
-    State for this form is split into ``buckets`` per key by user. Zero or no retention
-    keeps every pair for ever.
+    Silence is by the wall clock, or with ``by`` by the rows' own times in that column, which
+    needs a watermark; then the counts are the same whenever and in whatever order rows
+    come. Zero or no retention keeps every pair for ever.
     """
     least, most = retention if isinstance(retention, tuple) else (retention, retention)
     if least is not None and most < least:
         raise ValueError(f"retention of at least {least} and at most {most}")
-    if most:
-        if not df.isStreaming:
-            raise ValueError("retention forgets by wall clock, so it needs a stream")
-        steps = first_visits(df, key, user, least, most, buckets)
+    if not df.isStreaming:
+        if most:
+            raise ValueError("retention forgets as a stream goes on, so it needs a stream")
+        return pv_uv(df, key, user)
+    if by is not None and not most:
+        raise ValueError(f"{by} says when visitors are forgotten, so it needs a retention")
+    if by is not None:
+        steps = visits_by_time(df, key, user, by, most, buckets)
     else:
-        one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-        views = df.select(key, one.alias("pv"), none.alias("uv"))
-        steps = views.unionAll(_pairs(df, key, user).select(key, none.alias("pv"), one.alias("uv")))
+        steps = first_visits(df, key, user, least, most, buckets)
     return steps.groupBy(key).agg(F.sum("pv").alias("pv"), F.sum("uv").alias("uv"))

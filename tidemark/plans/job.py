@@ -14,10 +14,11 @@ from tidemark.plans.preview import evaluate, preview, preview_statement
 from tidemark.session import job_session, shared_dir
 from tidemark.sources import changes
 from tidemark.sources.messages import split_undecoded
-from tidemark.sources.tables import Table, good_rows, read, write
+from tidemark.sources.tables import Table, good_rows, read, rows_in_time, write
 from tidemark.streaming import savepoints
 from tidemark.streaming.handle import JobHandle
 from tidemark.streaming.inspect import is_row_wise
+from tidemark.streaming.late import Watermark, newest_time
 from tidemark.streaming.settings import JobSettings
 
 #: Micro-batches of a keyed table in files between two snapshots.
@@ -176,8 +177,9 @@ class Job:
 
     def _stream(self, session: SparkSession, inserts: Sequence[Insert]) -> JobHandle:
         checkpoint = self.settings.checkpoint or shared_dir(session, self.settings.name)
-        self.bind(session, streaming=True)
         streams = [t for t in self.tables.values() if t.is_source and t.name not in self.static]
+        carries = self.settings.restore_from and self.settings.on_mismatch == "carry_state"
+        self.bind(session, streaming=True, given=self._after_savepoint(session, streams) if carries else None)
         if any(i.each_batch for i in inserts) and len(streams) != 1:
             raise ValueError("inserts for each batch need exactly one stream")
         for insert in (i for i in inserts if i.each_batch):
@@ -200,8 +202,14 @@ class Job:
         stateful.update({f"undecoded-{t.name}": False for t in aside})
         if together:
             stateful["shared"] = False
+        if any(t.late for t in streams) and alone:
+            raise ValueError("late rows are set apart in a pass row by row; insert into a table and read that with state")
         origin = None
-        if self.settings.restore_from:
+        if carries:
+            if together or aside:
+                raise ValueError("a job that carries state over has inserts with state only")
+            origin = self._carried_origin(session, checkpoint)
+        elif self.settings.restore_from:
             origin = savepoints.restore(
                 session, self.settings.restore_from, checkpoint, stateful, self.settings.on_mismatch
             )
@@ -212,11 +220,12 @@ class Job:
                 target = self.tables[insert.target]
                 if target.path is not None:
                     mine, theirs = self._label(writer, n, inserts), self._label(origin.writer, n, inserts)
-                    changes.note_restore(session, target.path, mine, theirs, origin.last[part_of[n]])
+                    last = origin.last.get(part_of[n], -1) if carries else origin.last[part_of[n]]
+                    changes.note_restore(session, target.path, mine, theirs, last)
             for table in streams:
-                if table.undecoded:
+                for folder in filter(None, (table.undecoded, table.late)):
                     part = "shared" if together else f"undecoded-{table.name}"
-                    changes.note_restore(session, table.undecoded, writer, origin.writer, origin.last[part])
+                    changes.note_restore(session, folder, writer, origin.writer, origin.last[part])
             savepoints.seeded(session, checkpoint, origin.savepoint)
 
         handles: list[JobHandle] = []
@@ -244,16 +253,22 @@ class Job:
             source = streams[0]
             chosen = [(n, inserts[n]) for n in together]
 
+            lateness = Watermark(session, f"{checkpoint}/late-{source.name}", source.lateness)
+
             def all_inserts(batch: DataFrame, batch_id: int) -> None:
-                many = len(chosen) > 1 or source.undecoded
+                many = len(chosen) > 1 or source.undecoded or source.late
                 if many:
                     batch.persist()
                 try:
-                    rows = good_rows(batch, source, writer, batch_id)
+                    rows = good = good_rows(batch, source, writer, batch_id)
+                    if source.late:
+                        rows = rows_in_time(good, source, writer, batch_id, lateness)
                     inner = self.bind(batch.sparkSession, given={source.name: rows})
                     for n, insert in chosen:
                         df = evaluate(inner, insert.query)
                         self._write(df, self.tables[insert.target], self._label(writer, n, inserts), batch_id)
+                    if source.late:
+                        lateness.after(batch_id, newest_time(good, source.event_time))
                 finally:
                     if many:
                         batch.unpersist()
@@ -280,6 +295,26 @@ class Job:
         handles.append(JobHandle(session, self.settings, checkpoint, parts))
         return handles[0]
 
+    def _after_savepoint(self, session: SparkSession, streams: Sequence[Table]) -> dict[str, DataFrame]:
+        """The one stream of a job that carries state over, from where the savepoint's job has stopped."""
+        savepoint = self.settings.restore_from
+        parts = [p for p, last in savepoints.origin(session, savepoint).last.items() if last >= 0]
+        if len(streams) != 1 or len(parts) != 1 or streams[0].undecoded:
+            raise ValueError("state is carried over between jobs with one part and one stream that decodes whole")
+        session.conf.set("job.savepoint", savepoint)
+        source = streams[0]
+        done = savepoints.done(session, savepoint, parts[0], 0, source.connector == "kafka")
+        return {source.name: read(session, source, True, done)}
+
+    def _carried_origin(self, session: SparkSession, checkpoint: str) -> savepoints.Origin | None:
+        """None if this checkpoint has been begun from the savepoint already."""
+        savepoint, mark = self.settings.restore_from, f"{checkpoint}/{savepoints.SEEDED}"
+        if not files.exists(session, mark):
+            return savepoints.origin(session, savepoint)
+        if files.read_text(session, mark) != savepoint:
+            raise ValueError(f"{checkpoint} goes on from another savepoint")
+        return None
+
     @staticmethod
     def _write(df: DataFrame, target: Table, label: str, batch_id: int) -> None:
         """One micro-batch; now and then the folders of a keyed table in files are folded into a snapshot."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import interval_join, pv_uv_approx, pv_uv_running, slide, tumble, uv_running
 from tidemark.plans import Insert, Job, View
+from tidemark.queries.feed import fed_in_order
 from tidemark.queries.inputs import EVENTS, USER_LOG, USER_LOG_SQL, as_user_log, table
 from tidemark.queries.timeline import INTERVAL_SQL, MEASURES, SLIDE_SQL, TUMBLE_SQL
 from tidemark.queries.visits import PV_UV_SQL
@@ -17,47 +18,22 @@ from tidemark.sources.changes import read_batches
 from tidemark.streaming.settings import JobSettings
 
 HOUR = timedelta(hours=1)
-#: Micro-batches of the streams that are fed in order of time.
-BATCHES = 5
-#: A stream keeps its number of state partitions for life, so its job names one.
-STATE_PARTITIONS = 8
-
-
 def _events(folder):
     # The table comes in batches of about a terabyte.
     return Table("events", EVENTS, "parquet", {"maxBytesPerTrigger": str(2**40)}, path=f"{folder}/event[s].parquet")
 
 
-def _events_in_order(spark, folder, out, late=None):
-    """The events as a stream of micro-batches in order of time: one folder of files after the other.
-
-    Rows for which ``late`` holds come in a batch of their own at the end.
-    """
-    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    in_time = events if late is None else events.where(~late)
-    at = F.unix_micros("ts")
-    least, most = in_time.select(F.min(at), F.max(at)).first()
-    bounds = [least + (most - least) * i // BATCHES for i in range(BATCHES)] + [most + 1]
-    slices = [in_time.where((at >= a) & (at < b)) for a, b in zip(bounds, bounds[1:])]
-    for number, rows in enumerate(slices + ([events.where(late)] if late is not None else [])):
-        rows.coalesce(1).write.parquet(f"{out}/events/part={number}")  # each is newer than the last
-    schema = EVENTS.replace("timestamp_ntz", "timestamp")
-    return Table(
-        "events", schema, "parquet", {"maxFilesPerTrigger": "1", "recursiveFileLookup": "true"}, path=f"{out}/events",
-        event_time="ts", lateness=timedelta(minutes=1),
-    )
-
-
-def run_into(spark, folder, name, schema, keys, query, mode="update", in_order=False, late=None):
+def run_into(spark, folder, name, schema, keys, query, mode="update", feed=None):
     """Run ``query`` over the events as a stream into a sink; returns the sink's rows and the job's handle.
 
-    ``in_order`` feeds them in several batches by time, with a watermark of a minute.
+    ``feed`` makes the source from a session, the folder of tables and a new one; by default
+    the table is the source.
     """
     out = shared_dir(spark, name)
-    source = _events_in_order(spark, folder, out, late) if in_order else _events(folder)
+    source = feed(spark, folder, out) if feed else _events(folder)
     sink = Table("out", schema, "parquet", path=f"{out}/rows", keys=keys, role="sink")
     job = Job(
-        JobSettings(name, bounded=True, attached=True, checkpoint=f"{out}/checkpoint", parallelism=STATE_PARTITIONS),
+        JobSettings(name, bounded=True, attached=True, checkpoint=f"{out}/checkpoint"),
         [
             source,
             View("user_log", lambda s: as_user_log(s.table("events"))),
@@ -171,24 +147,10 @@ def interval_stream(spark, folder):
         )
 
     schema = "user_id bigint, view_id bigint, ts timestamp, click_id bigint, click_ts timestamp"
-    rows, _ = run_into(spark, folder, "pairs", schema, (), pairs, "append", in_order=True)
+    rows, _ = run_into(spark, folder, "pairs", schema, (), pairs, "append", feed=fed_in_order)
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "click_ts")})
 
 
-#: Every seventh event is held back until all others have passed.
-LATE = "event_id % 7 = 0"
-
-
-def late_rows(spark, folder):
-    """Hourly counts of a stream whose late rows come at the end: rows in, and rows that came too late."""
-    _, handle = run_into(
-        spark, folder, "late", "window_start timestamp, n bigint", (),
-        lambda s: s.sql("SELECT window(ts, '1 hour').start AS window_start, count(*) AS n FROM events GROUP BY window(ts, '1 hour')"),
-        "append", in_order=True, late=F.expr(LATE),
-    )
-    return handle.metrics().agg(F.sum("rows_in").alias("rows_in"), (F.sum("late_rows") > 0).alias("some_late"))
-
-
 def job_overview(spark, folder):
     _, handle = run_into(
         spark, folder, "overview", "user_id string, behavior string", (), "SELECT user_id, behavior FROM user_log", "append"
@@ -223,7 +185,6 @@ CATALOG = {
         f"""SELECT substring('{{"user_id":"' || user_id || '","item_id":"0"', 1, 20) AS value, count(*) AS count
             FROM {USER_LOG_SQL} WHERE item_id = '0' GROUP BY 1""",
     ),
-    "late_rows": (late_rows, "SELECT count(*) AS rows_in, true AS some_late FROM events"),
     "job_overview": (
         job_overview,
         "SELECT 'overview' AS job, count(*) AS rows_in, 0 AS late_rows, 'FINISHED' AS status FROM events",

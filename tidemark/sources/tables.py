@@ -7,11 +7,13 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tidemark.operators.views import align, as_schema
 from tidemark.sources import changes, jdbc
 from tidemark.sources.messages import decode_json, decode_raw, encode_json, encode_raw, split_undecoded
+from tidemark.streaming.late import Watermark, split_late
 
 
 @dataclass(frozen=True)
@@ -24,7 +26,9 @@ class Table:
     sink an upsert; ``order`` tells the newest of several rows of a key in one batch.
     ``event_time`` and ``lateness`` set a stream's watermark.
     ``undecoded`` is a folder for messages that do not decode; without it the first
-    one fails the job.
+    one fails the job. ``late`` is a folder for rows behind the watermark, with
+    ``late_by_seconds``, and for rows without a time; inserts then see the others only.
+    With ``late_width`` a row is late once its whole window of that width is behind.
     """
 
     name: str
@@ -39,8 +43,12 @@ class Table:
     event_time: str | None = None
     lateness: timedelta = timedelta(0)
     undecoded: str | None = None
+    late: str | None = None
+    late_width: timedelta | None = None
 
     def __post_init__(self):
+        if self.late is not None and self.event_time is None:
+            raise ValueError(f"table {self.name}: only rows with an event time can be late")
         if self.role not in ("source", "sink", "both"):
             raise ValueError(f"table {self.name}: role {self.role!r}")
         if self.encoding not in (None, "json", "raw"):
@@ -63,6 +71,14 @@ class Table:
         return self.role in ("sink", "both")
 
 
+@dataclass(frozen=True)
+class Done:
+    """What an earlier run has read: the offsets of a topic as Spark writes them, or (path) of files."""
+
+    offsets: str | None = None
+    files: DataFrame | None = None
+
+
 def json_topic(name: str, schema: StructType | str, topic: str, servers: str, group: str, **more) -> Table:
     """A topic of JSON messages, read from its start."""
     options = {
@@ -77,18 +93,25 @@ def json_topic(name: str, schema: StructType | str, topic: str, servers: str, gr
 MESSAGE_SCHEMA = StructType([StructField("key", BinaryType()), StructField("value", BinaryType())])
 
 
-def read(spark: SparkSession, table: Table, streaming: bool = False) -> DataFrame:
-    """The table as a batch or a streaming ``DataFrame``."""
+def read(spark: SparkSession, table: Table, streaming: bool = False, done: Done | None = None) -> DataFrame:
+    """The table as a batch or a streaming ``DataFrame``; a stream goes on after what is ``done``."""
     reader = (spark.readStream if streaming else spark.read).format(table.connector).options(**table.options)
+    if done is not None and table.connector == "kafka":
+        reader = reader.option("startingOffsets", done.offsets)
+
+    def load(fields: StructType | None) -> DataFrame:
+        loader = reader if fields is None else reader.schema(fields)
+        df = loader.load(table.path) if table.path else loader.load()
+        if done is None or table.connector == "kafka":
+            return df
+        # An address without a host is written with one slash or with three.
+        plain = lambda path: F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+        return df.join(done.files, plain(df["_metadata.file_path"]) == plain(done.files["path"]), "left_anti")
+
     if table.encoding is None:
-        if table.connector not in ("jdbc", "kafka"):
-            reader = reader.schema(table.fields)
-        df = reader.load(table.path) if table.path else reader.load()
-        df = df.select(*table.fields.names)
+        df = load(None if table.connector in ("jdbc", "kafka") else table.fields).select(*table.fields.names)
     else:
-        if table.connector != "kafka":
-            reader = reader.schema(MESSAGE_SCHEMA)
-        df = reader.load(table.path) if table.path else reader.load()
+        df = load(None if table.connector == "kafka" else MESSAGE_SCHEMA)
         if table.encoding == "raw":
             df = decode_raw(df, table.fields.names)
         else:
@@ -107,6 +130,13 @@ def good_rows(df: DataFrame, table: Table, writer: str, batch_id: int) -> DataFr
     return good
 
 
+def rows_in_time(df: DataFrame, table: Table, writer: str, batch_id: int, watermark: Watermark) -> DataFrame:
+    """Write the late and the untimed rows to the side folder; return the others."""
+    in_time, late = split_late(df, table.event_time, watermark.before(batch_id), table.late_width)
+    changes.write_batch(late, table.late, "parquet", writer, batch_id)
+    return in_time
+
+
 def write(df: DataFrame, table: Table, writer: str, batch_id: int = 0) -> None:
     """Write one batch, rows fitted to the table by position.
 

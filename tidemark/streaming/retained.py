@@ -1,16 +1,19 @@
-"""First visits with a retention time, from keyed state that expires."""
+"""First visits from keyed state: kept for ever, or for a time by the clock or by the rows' own times."""
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
+from tidemark.operators.times import epoch
 from tidemark.streaming.combine import count_within_task
 
 # Reading all entries of a bucket in bulk beats asking for single ones up to this many
@@ -23,16 +26,17 @@ class FirstVisits(StatefulProcessor):
 
     State holds when each visitor was last noted. A visit within ``slack`` of that is
     not noted again, which saves most writes; entries live for ``least + slack``, so a
-    visitor is kept for ``least`` and forgotten by then.
+    visitor is kept for ``least`` and forgotten by then. Without ``least`` for ever.
     """
 
-    def __init__(self, least_ms: int, slack_ms: int):
+    def __init__(self, least_ms: int | None, slack_ms: int):
         self.least_ms, self.slack_ms = least_ms, slack_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         visitor = StructType([StructField("visitor", StringType())])
         number = StructType([StructField("number", LongType())])
-        self.noted = handle.getMapState("noted", visitor, number, self.least_ms + self.slack_ms)
+        life = None if self.least_ms is None else self.least_ms + self.slack_ms
+        self.noted = handle.getMapState("noted", visitor, number, life)
         self.size = handle.getValueState("size", number)  # about how many entries there are
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -40,7 +44,7 @@ class FirstVisits(StatefulProcessor):
         for chunk in rows:
             visits += int(chunk["visits"].sum())
             visitors.update(chunk["visitor"].dropna())
-        now = timerValues.getCurrentProcessingTimeInMs()
+        now = 0 if self.least_ms is None else timerValues.getCurrentProcessingTimeInMs()
         size = self.size.get()[0] if self.size.exists() else 0
         known = {}
         if size <= SCAN_RATIO * len(visitors):
@@ -54,7 +58,7 @@ class FirstVisits(StatefulProcessor):
                 if (noted := self.noted.getValue((visitor,))) is not None:
                     known[visitor] = noted[0]
         for visitor in visitors:
-            if visitor not in known or now - known[visitor] >= self.slack_ms:
+            if visitor not in known or (self.least_ms is not None and now - known[visitor] >= self.slack_ms):
                 self.noted.updateValue((visitor,), (now,))
         fresh = len(visitors) - len(known)
         self.size.update((size + fresh,))
@@ -64,10 +68,115 @@ class FirstVisits(StatefulProcessor):
         pass
 
 
+class VisitsByTime(StatefulProcessor):
+    """Per (place, bucket): how many visits came in, and how many more times a visitor was new, by event time.
+
+    A visitor is new if no earlier visit is nearer than the retention. State holds the stretches
+    of a visitor's visits without such a pause that the watermark has not left behind. A row out
+    of order may join two stretches, which takes one back: the sums of the steps are right
+    in the end whatever the order. A timer for the earliest end removes stretches that no row
+    in time can join any more.
+    """
+
+    def __init__(self, retention_us: int):
+        self.retention = retention_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        visitor = StructType([StructField("visitor", StringType())])
+        self.open = handle.getMapState("open", visitor, StructType([StructField("stretches", BinaryType())]))
+        self.wake = handle.getValueState("wake", StructType([StructField("at", LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        visits, times = 0, defaultdict(set)
+        for chunk in rows:
+            # By place: Spark does not always hand on the names.
+            for visitor, at, n in zip(*[chunk.iloc[:, i] for i in (-4, -3, -2)]):
+                visits += int(n)
+                if visitor is not None and not pd.isna(at):
+                    times[visitor].add(int(at))
+        step, soonest = 0, None
+        for visitor, mine in times.items():
+            held = self.open.getValue((visitor,))
+            before = np.frombuffer(held[0], np.int64).reshape(-1, 2).tolist() if held is not None else []
+            after = self._joined(before + [[t, t] for t in mine])
+            step += len(after) - len(before)
+            self.open.updateValue((visitor,), (np.array(after, np.int64).tobytes(),))
+            soonest = min(after[0][1], soonest) if soonest is not None else after[0][1]
+        if soonest is not None:
+            self._wake_at(soonest)
+        yield pd.DataFrame({"place": [key[0]], "pv": [visits], "uv": [step]})
+
+    def _joined(self, stretches: list[list[int]]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for begin, end in sorted(stretches):
+            if out and begin - out[-1][1] < self.retention:
+                out[-1][1] = max(out[-1][1], end)
+            else:
+                out.append([begin, end])
+        return out
+
+    def _wake_at(self, end: int) -> None:
+        """Once for the earliest end; one timer at a time."""
+        at = (end + self.retention) // 1000 + 1
+        held = self.wake.get()
+        if held is None or at < held[0]:
+            if held is not None:
+                self.handle.deleteTimer(held[0])
+            self.handle.registerTimer(at)
+            self.wake.update((at,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = timerValues.getCurrentWatermarkInMs() * 1000
+        self.wake.clear()
+        left, gone = [], []
+        for (visitor,), (held,) in list(self.open.iterator()):
+            stretches = np.frombuffer(held, np.int64).reshape(-1, 2)
+            alive = stretches[stretches[:, 1] + self.retention > known]
+            if not len(alive):
+                gone.append(visitor)
+            else:
+                left.append(int(alive[0, 1]))
+                if len(alive) < len(stretches):
+                    self.open.updateValue((visitor,), (alive.tobytes(),))
+        for visitor in gone:
+            self.open.removeKey((visitor,))
+        if left:
+            self._wake_at(min(left))
+        yield pd.DataFrame({"place": pd.Series([], dtype=object), "pv": pd.Series([], dtype="int64"), "uv": pd.Series([], dtype="int64")})
+
+    def close(self) -> None:
+        pass
+
+
+STEPS = "place string, pv long, uv long"
+
+
+def visits_by_time(df: DataFrame, key: str, user: str, time: str, retention: timedelta, buckets: int) -> DataFrame:
+    """A stream of steps ``(key, pv, uv)``: a visitor counts again after a pause of ``retention`` or more.
+
+    ``time`` needs a watermark. Rows without a user or a time count as views only.
+    """
+    at = epoch(df, time)(F.col(time))
+    text = df.select(
+        F.col(key).cast("string").alias("place"), F.col(user).cast("string").alias("visitor"), at.alias("at"), F.col(time).alias("when")
+    )
+    rows = count_within_task(text, ["place", "visitor", "at", "when"], "visits")
+    bucket = F.pmod(F.xxhash64("visitor"), F.lit(buckets)).alias("bucket")
+    rows = rows.select("place", bucket, "visitor", "at", "visits", "when")
+    steps = rows.groupBy("place", "bucket").transformWithStateInPandas(
+        VisitsByTime(retention // timedelta(microseconds=1)),
+        outputStructType=StructType.fromDDL(STEPS),
+        outputMode="Update",
+        timeMode="EventTime",
+    )
+    return steps.select(F.col("place").cast(df.schema[key].dataType).alias(key), "pv", "uv")
+
+
 def first_visits(
-    df: DataFrame, key: str, user: str, least: timedelta, most: timedelta, buckets: int
+    df: DataFrame, key: str, user: str, least: timedelta | None, most: timedelta | None, buckets: int
 ) -> DataFrame:
-    """A stream of steps ``(key, pv, uv)`` whose sums are the counts so far.
+    """A stream of steps ``(key, pv, uv)`` whose sums are the counts so far, from one pass.
 
     Needs the RocksDB state store. With an "available now" trigger also set
     ``spark.sql.streaming.noDataMicroBatches.enabled`` to false: a clock-driven
@@ -78,12 +187,12 @@ def first_visits(
         "bucket", F.pmod(F.xxhash64("visitor"), F.lit(buckets))
     )
     steps = rows.groupBy("place", "bucket").transformWithStateInPandas(
-        FirstVisits(_ms(least), _ms(most - least)),
-        outputStructType=StructType.fromDDL("place string, pv long, uv long"),
+        FirstVisits(_ms(least), _ms(most - least)) if most else FirstVisits(None, 0),
+        outputStructType=StructType.fromDDL(STEPS),
         outputMode="Update",
-        timeMode="ProcessingTime",
+        timeMode="ProcessingTime" if most else "None",
     )
-    return steps.withColumnRenamed("place", key)
+    return steps.select(F.col("place").cast(df.schema[key].dataType).alias(key), "pv", "uv")
 
 
 def _ms(time: timedelta) -> int:

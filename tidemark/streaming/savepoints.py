@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import files
 from tidemark.session import shared_dir
-
+from tidemark.sources.tables import Done
 
 WRITER, SEEDING, SEEDED = "writer", "seeding", "seeded"
 
@@ -106,3 +108,25 @@ def seeded(spark: SparkSession, checkpoint: str, savepoint: str) -> None:
 def _last_batch(spark: SparkSession, savepoint: str, part: str) -> int:
     names = [p.rsplit("/", 1)[1] for p in files.glob(spark, f"{savepoint}/{part}/commits/*")]
     return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
+def done(spark: SparkSession, savepoint: str, part: str, source: int, topic: bool) -> Done:
+    """What ``part`` had read of its source number ``source`` when the savepoint was taken."""
+    last = _last_batch(spark, savepoint, part)
+    if last < 0:
+        raise ValueError(f"{part}: the savepoint has no finished batch")
+    offset = files.read_text(spark, f"{savepoint}/{part}/offsets/{last}").splitlines()[2 + source]
+    if topic:
+        return Done(offsets=offset)
+    # The log of a file source: each file with the number of the offset it came with.
+    entries = spark.read.schema("path string, batchId long").json(f"{savepoint}/{part}/sources/{source}/*")
+    read = entries.where(F.col("path").isNotNull() & (F.col("batchId") <= json.loads(offset)["logOffset"]))
+    return Done(files=read.select("path").distinct())
+
+
+def origin(spark: SparkSession, savepoint: str) -> Origin:
+    """The run of a savepoint and the last batch of each of its parts."""
+    if not files.exists(spark, savepoint):
+        raise FileNotFoundError(f"no savepoint at {savepoint}")
+    parts = [p.split("/")[-2] for p in files.glob(spark, f"{savepoint}/*/commits")]
+    return Origin(savepoint, files.read_text(spark, f"{savepoint}/{WRITER}"), {p: _last_batch(spark, savepoint, p) for p in parts})

@@ -18,7 +18,9 @@ class JobSettings:
     ``checkpoint_interval`` is the trigger; unset or not positive means ten minutes.
     ``bounded`` processes what is there now and ends. ``restore_from`` names a savepoint;
     ``on_mismatch="drop_state"`` lets a stateless job start from the savepoint of a
-    stateful one, from its offsets alone. ``parallelism`` is the number of shuffle
+    stateful one, from its offsets alone. ``on_mismatch="carry_state"`` starts a changed job
+    with new state after what the savepoint's job has read; its queries read the old state
+    from ``job.savepoint`` with ``carried_states`` and hand it to their own. ``parallelism`` is the number of shuffle
     partitions; a stream keeps it for the life of its checkpoint. ``catalog`` is made current.
     ``artifacts`` are Python files or archives and jars that only this job sees.
     ``params`` can be read by its functions as ``job.<name>`` settings.
@@ -41,7 +43,7 @@ class JobSettings:
     params: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
-        if self.on_mismatch not in ("fail", "drop_state"):
+        if self.on_mismatch not in ("fail", "drop_state", "carry_state"):
             raise ValueError(f"on_mismatch {self.on_mismatch!r}")
 
     def trigger(self) -> dict:
