@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BODY, KEY, TWIN, keyed
@@ -23,9 +23,13 @@ REGISTERS = 240
 #: Turns in which the classes of a band are compared with its leader, before pairs of members.
 LEADER_TURNS = 2
 #: Pairs that leaders leave open are verified, those first that are estimated to reach the
-#: threshold, then, of what is still apart, those from 5 deviations below it. At 0.8 that loses
-#: 2 pairs in a million, so bands and margin together lose 3 in 100,000.
+#: threshold, then, of what is still apart, those from 5 deviations below it, both on these
+#: registers and on finer ones that only texts still apart get. At 0.8 each loses 2 pairs in a
+#: million, so bands and margins together lose 3 in 100,000.
 MARGINS = (0.0, 5.0)
+FINE = 1024
+#: Bytes of text that are sketched at once; work arrays take a hundred times as much.
+PIECE_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -96,7 +100,7 @@ def _arrivals(n, text, shingle, weight, m, horizon):
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, texts in in_pieces(binary(batch.column(BODY)), 4 << 20):
+        for row, texts in in_pieces(binary(batch.column(BODY)), PIECE_BYTES):
             words = Words(texts)
             n = len(texts)
             lo, hi = words.bounds[:-1], words.bounds[1:]
@@ -123,6 +127,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, fine): the finer registers of a text, in 16 bits each."""
+    for batch in batches:
+        for row, texts in in_pieces(binary(batch.column("body")), PIECE_BYTES // 4):
+            n = len(texts)
+            registers = signatures(n, *shingles(Words(texts)), FINE).astype(np.uint16)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * FINE, pa.int32()), pa.array(registers.ravel().view(np.int16)))
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(row, n), lists], ["node", "fine"])
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Probability Jaccard of two texts, each given as ordered shingles and their weights.
 
@@ -186,11 +200,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     ``twin`` is a hash of the text, which tells rows of one id apart.
 
     Classes grow in turns. In each, one member of every class in a band is compared with the
-    leader of the band's largest class. What then still lies in different classes within a
-    band is compared pair by pair on registers, and verified from five deviations below the
-    threshold, so no pair is left out because a band is large, and few are made because most
-    are linked by then. Of pairs at exactly 0.8, 2.6 in 100,000 meet in no band and 0.2 in 100,000
-    fall below the margin, if registers are independent; more similar pairs are lost less.
+    leader of the band's largest class: the text that meets most others over all its bands, so
+    of many variants the one in their middle. What then still lies in different classes within
+    a band is compared pair by pair on registers, and verified from five deviations below the
+    threshold; the last turn asks 1,024 finer registers too, which leave little but pairs that
+    are linked. So no pair is left out because a band is large, and verified pairs do not grow
+    with a group's square unless its similarities lie at the threshold. Of pairs at exactly
+    0.8, 2.6 in 100,000 meet in no band and 0.4 in 100,000 fall below a margin, if registers are
+    independent; more similar pairs are lost less.
 
     A text of one to four words is one shingle. Texts without words, or null, are each alone
     and kept. A null id is carried through; a class of null ids has a null ``class_id``. Only
@@ -209,8 +226,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     nodes = _stored(nodes, "nodes")
 
     met = nodes.select("node", "copies", F.explode("bands").alias("bucket"))
-    crowd = met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    met = _stored(met.join(crowd, "bucket"), "met")
+    crowd = met.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    met = met.join(crowd, "bucket")
+    central = met.groupBy("node").agg(F.sum("crowd").alias("central"))
+    met = _stored(met.drop("crowd").join(central, "node"), "met")
 
     # A text of each node that may be compared, by the row that stands for the node.
     wanted = nodes.join(met.select("node").distinct(), "node").select("node", F.col(f"keeper.{KEY}").alias("k"), F.col(f"keeper.{TWIN}").alias("t"))
@@ -218,10 +237,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     texts = _stored(texts.dropDuplicates(["node"]), "texts")
 
     roots = spark.createDataFrame([], "node binary, root binary")
+    tested = spark.createDataFrame([], "a binary, b binary")
     links: list[DataFrame] = []
-    for margin in [None] * LEADER_TURNS + list(MARGINS):
-        pairs = _led(met, roots) if margin is None else _open(nodes, met, roots, threshold, margin)
-        found = _stored(verified(_stored(pairs, "pairs"), texts, threshold), "links")
+    for turn, margin in enumerate([None] * LEADER_TURNS + list(MARGINS)):
+        last = turn == LEADER_TURNS + len(MARGINS) - 1
+        pairs = _led(met, roots, tested) if margin is None else _open(nodes, met, roots, threshold, margin, texts if last else None)
+        pairs = _stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        found = _stored(verified(pairs, texts, threshold), "links")
         if not found.isEmpty():
             links.append(found)
             roots = components(reduce(DataFrame.unionByName, links))
@@ -245,34 +268,56 @@ def _classed(met: DataFrame, roots: DataFrame) -> DataFrame:
     return met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _led(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """For each class the pair (a, b) of a member and a leader that it meets in most bands."""
-    best = F.max(F.struct("copies", "node"))
-    per_class = _classed(met, roots).groupBy("bucket", "root").agg(best["node"].alias("member"), F.count("*").alias("n"), best["copies"].alias("copies"))
-    main = per_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "copies", "root", "member")).alias("main"))
+def _led(met: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
+    """For each class the pair (a, b) of a member and a leader that it meets in most bands, of those not tested yet."""
+    best = F.max(F.struct("central", "copies", "node"))
+    per_class = _classed(met, roots).groupBy("bucket", "root").agg(best["node"].alias("member"), F.count("*").alias("n"), best["central"].alias("central"))
+    main = per_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "central", "root", "member")).alias("main"))
     met_main = per_class.join(main.where("classes > 1"), "bucket").where(F.col("root") != F.col("main.root"))
     pairs = met_main.groupBy("root", "member", F.col("main.member").alias("leader")).agg(F.count("*").alias("bands"))
-    chosen = pairs.groupBy("root").agg(F.max(F.struct("bands", "leader", "member")).alias("m")).select("m.leader", "m.member")
-    return chosen.select(F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b")).distinct()
+    pairs = pairs.select("root", "bands", F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b"))
+    pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    chosen = pairs.groupBy("root").agg(F.max(F.struct("bands", "a", "b")).alias("m"))
+    return chosen.select("m.a", "m.b").distinct()
+
 
+def _enough(threshold: float, margin: float, registers: int) -> int:
+    """Registers that must agree: the threshold's share less ``margin`` deviations."""
+    return int(np.ceil((threshold - margin * (threshold * (1 - threshold) / registers) ** 0.5) * registers))
 
-def _open(nodes: DataFrame, met: DataFrame, roots: DataFrame, threshold: float, margin: float) -> DataFrame:
+
+def _agree(one: str, other: str) -> Column:
+    return F.expr(f"aggregate(zip_with({one}, {other}, (x, y) -> IF(x = y, 1, 0)), 0, (s, x) -> s + x)")
+
+
+def _open(nodes: DataFrame, met: DataFrame, roots: DataFrame, threshold: float, margin: float, texts: DataFrame | None) -> DataFrame:
     """Pairs (a, b) of one band and different classes whose registers agree often enough.
 
     In each band, members of its largest class need no comparison among themselves: the
     others are compared with everything there. A pair counts in the first band it shares.
+    With ``texts``, nodes of torn bands get finer registers, which must agree too.
     """
-    least = int(np.ceil((threshold - margin * (threshold * (1 - threshold) / REGISTERS) ** 0.5) * REGISTERS))
     members = _classed(met, roots).select("bucket", "node", "root")
     per_class = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     torn = per_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "root"))["root"].alias("main")).where("classes > 1")
-    sketch = nodes.select("node", "bands", "registers")
-    torn = members.join(torn, "bucket").join(sketch, "node")
-    few = torn.where("root <> main").select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("bands").alias("xa"), F.col("registers").alias("ga"))
-    all_ = torn.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), "main", F.col("bands").alias("xb"), F.col("registers").alias("gb"))
-    agree = F.expr("aggregate(zip_with(ga, gb, (x, y) -> IF(x = y, 1, 0)), 0, (s, x) -> s + x)")
+    torn = members.join(torn, "bucket")
+    sketch = nodes.select("node", "bands", "registers", F.lit(None).cast("array<smallint>").alias("fine"))
+    if texts is not None:
+        torn = _stored(torn, "torn")
+        fine = texts.join(torn.select("node").distinct(), "node").mapInArrow(_fine, "node binary, fine array<smallint>")
+        sketch = _stored(sketch.drop("fine").join(fine, "node"), "fine")
+    torn = torn.join(sketch, "node")
+    few = torn.where("root <> main").select(
+        "bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("bands").alias("xa"), F.col("registers").alias("ga"), F.col("fine").alias("fa")
+    )
+    all_ = torn.select(
+        "bucket", F.col("node").alias("b"), F.col("root").alias("rb"), "main", F.col("bands").alias("xb"), F.col("registers").alias("gb"), F.col("fine").alias("fb")
+    )
     shared = F.expr("get(filter(xa, (x, i) -> x = get(xb, i)), 0)")
     # Two members outside the main class meet twice; once is enough.
     once = (F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))
-    joined = few.join(all_, "bucket").where((F.col("ra") != F.col("rb")) & once & (shared == F.col("bucket")) & (agree >= least))
+    near = _agree("ga", "gb") >= _enough(threshold, margin, REGISTERS)
+    if texts is not None:
+        near = near & (_agree("fa", "fb") >= _enough(threshold, margin, FINE))
+    joined = few.join(all_, "bucket").where((F.col("ra") != F.col("rb")) & once & (shared == F.col("bucket")) & near)
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
