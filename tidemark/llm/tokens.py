@@ -115,7 +115,7 @@ def encoder(vocabulary: str) -> Encoder:
 def write_tokens(
     docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES
 ) -> None:
-    """ORC files under ``folder`` with (doc_id, size, ids), in ascending order of doc_id over all files.
+    """ORC files under ``folder`` with (doc_id, size, place, ids), in ascending order of doc_id over all files.
 
     Texts are dealt into ranges of ids and sorted before they are encoded, so each file is
     written as its texts are encoded. The numbers of files are in order. Every document ends
@@ -124,11 +124,14 @@ def write_tokens(
     spark = docs.sparkSession
     files = parts_for(spark, text_bytes(docs, text_col), file_bytes)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id, or without one, may fill several files: in order of a hash of their texts.
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    rows = rows.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(vocabulary)
         end = np.array([end_id], np.uint32).tobytes()
+        ahead = 0  # ids of this file so far
         for batch in batches:
             texts = binary(batch.column("text"))
             places = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
@@ -139,11 +142,13 @@ def write_tokens(
                 offsets = np.concatenate(([0], np.cumsum([len(x) // 4 + 1 for x in ids])))
                 flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(end.join(ids) + end)])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
-                sizes = pa.array(np.diff(offsets), pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, stop - at), sizes, lists], ["doc_id", "size", "ids"])
+                sizes, places_in_file = pa.array(np.diff(offsets), pa.int64()), pa.array(ahead + offsets[:-1], pa.int64())
+                ahead += int(offsets[-1])
+                columns = [batch.column("doc_id").slice(at, stop - at), sizes, places_in_file, lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "place", "ids"])
                 at = stop
 
-    rows.mapInArrow(encode, "doc_id long, size long, ids array<int>").write.options(**ORC).orc(folder)
+    rows.mapInArrow(encode, "doc_id long, size long, place long, ids array<int>").write.options(**ORC).orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,8 +157,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     ``start`` counts the ids of all documents before it. Sums over each file come first, so
     files are read in parallel, stripe by stripe, and no task sees more than one file's rows.
     """
-    stored = spark.read.schema("doc_id long, ids array<int>").orc(folder)
-    stored = stored.select("doc_id", "ids", F.expr(FILE).alias("file"))
+    stored = spark.read.schema("doc_id long, place long, ids array<int>").orc(folder)
+    stored = stored.select("doc_id", "place", "ids", F.expr(FILE).alias("file"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,17 +166,16 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
             at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             raw = memoryview(np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False), "<u4")).cast("B")
             sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at[:-1], at[1:])]
-            columns = [batch.column("doc_id"), batch.column("file"), pa.array(np.diff(at), pa.int64()), pa.array(sums, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "file", "n_tokens", "ids_crc32"])
+            columns = [batch.column(c) for c in ("doc_id", "file", "place")] + [pa.array(np.diff(at), pa.int64()), pa.array(sums, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "file", "place", "n_tokens", "ids_crc32"])
 
-    rows = stored.mapInArrow(check, "doc_id long, file int, n_tokens long, ids_crc32 long")
+    rows = stored.mapInArrow(check, "doc_id long, file int, place long, n_tokens long, ids_crc32 long")
     # Sums of files take the column of sizes alone; the ids are read once.
     sizes = spark.read.schema("size long").orc(folder).select("size", F.expr(FILE).alias("file"))
     files = sizes.groupBy("file").agg(F.sum("size").alias("tokens"))
     ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     files = files.select("file", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("before"))
-    within = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("before") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))
+    start = F.col("before") + F.col("place")  # a file's rows know where they begin in it
     return rows.join(files, "file").select("doc_id", "file", start.alias("start"), "n_tokens", "ids_crc32")
 
 
@@ -183,8 +187,8 @@ def find_tokens(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFra
 def encode_corpus(docs: DataFrame, vocabulary: str, folder: str | None = None, **options) -> DataFrame:
     """Writes the files, by default in a new folder of the cluster's shared one, and reads them back.
 
-    Rows of one id stay next to each other, shorter ones first among equal ids in the count
-    of ``start``; rows that are alike in all are alike in the result. An empty table makes an
+    Rows of one id, or without one, lie next to each other, in order of a hash of their texts;
+    ``start`` is where each lies. An empty table makes an
     empty result. Only the two named columns are read.
     """
     folder = folder or shared_dir(docs.sparkSession, "tokens")
