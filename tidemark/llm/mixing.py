@@ -53,6 +53,7 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    twin: Column | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with its ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
 
@@ -62,16 +63,18 @@ def mix(
     function of ``_size``) multiplies a document's inclusion odds.
 
     A null text has no words. Rows without a source are a source of their own, placed last.
-    Rows with equal id and size are alike; which of them is taken makes no difference. An
+    Rows with equal id and size share a rank; rows without an id have ranks by their texts.
+    ``twin``, a column of ``docs`` that tells rows of one id apart, comes out as ``twin``. An
     empty table gives an empty table; if no document has a word, every target is 0. Only the
     three named columns are read. The result has ``doc_id`` and ``source`` under those names.
     """
     size = F.coalesce(F.regexp_count(docs[text_col], F.lit(SPACED_WORD)), F.lit(0)).cast("long")
-    sizes = docs.select(docs[id_col].alias("_key"), docs[source_col].alias("_source"), size.alias("_size"))
-    chance = uniform(F.coalesce(F.col("_key").cast("string"), F.lit("null")), F.lit(str(seed)))
+    named = F.coalesce(docs[id_col].cast("string"), F.concat(F.lit("null"), F.md5(F.coalesce(docs[text_col], F.lit("")))))
+    chance = uniform(named, F.lit(str(seed))).alias("_chance")
+    sizes = docs.select(docs[id_col].alias("_key"), docs[source_col].alias("_source"), size.alias("_size"), chance, (F.lit(None) if twin is None else twin).alias("_twin"))
     odds = F.lit(1.0) if importance is None else importance
-    rank = (chance / (F.lit(1.0) - chance)) / odds
-    ranked = cut(sizes.select("*", rank.alias("_odds")))
+    rank = (F.col("_chance") / (F.lit(1.0) - F.col("_chance"))) / odds
+    ranked = cut(sizes.select("*", rank.alias("_odds")).drop("_chance"))
 
     # Inclusion odds have the common factor f / (1 - f) within a source: it moves no rank there.
     ranked = ranked.withColumn("_rank", F.col("_odds") / (F.lit(1.0) + F.col("_odds")))
@@ -104,6 +107,7 @@ def mix(
         "target",
         copies,
         (copies * F.col("_size")).alias("taken"),
+        *([] if twin is None else [F.col("_twin").alias("twin")]),
     )
 
 
@@ -115,10 +119,10 @@ def length_odds() -> Column:
 #: The query's rows in DuckDB.
 SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  SELECT doc_id, source, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 drawn AS (
-  SELECT *, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|0'), 1, 13))::BIGINT::DOUBLE + 0.5)
+  SELECT *, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null' || md5(coalesce(text, ''))) || '|0'), 1, 13))::BIGINT::DOUBLE + 0.5)
             / 4503599627370496.0 AS u FROM sized),
 odds AS (SELECT *, (u / (1.0 - u)) / (1.0 + least(size, 1000) / 1000.0::DOUBLE) AS q FROM drawn),
 ranked AS (SELECT *, q / (1.0 + q) AS z FROM odds),
