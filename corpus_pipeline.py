@@ -1,4 +1,8 @@
-"""The corpus pipeline: from documents to token files, one stage after the other."""
+"""The corpus pipeline: from documents to token files, one stage after the other.
+
+In every stage a null text is an empty one; ids may be null, tied or repeated, as rows are told
+apart by a hash besides; an empty table gives an empty table. Further columns are dropped.
+"""
 
 from __future__ import annotations
 
@@ -60,11 +64,16 @@ def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes."""
-    taken = mix(docs, importance=length_odds()).where("copies > 0").groupBy("doc_id", "size").agg(F.max("copies").alias("copies"))
-    size = F.coalesce(F.regexp_count("text", F.lit(SPACED_WORD)), F.lit(0))
-    d, t = docs.select(*COLUMNS, size.alias("s")).alias("d"), taken.alias("t")
-    joined = d.join(t, F.expr("d.doc_id <=> t.doc_id AND d.s = t.size")).select("d.*", "copies")
+    """As many copies of each document as the mix takes.
+
+    Rows alike in all columns count together: each of them is in the mix, and their copies are
+    added. Null and repeated ids are told apart by a hash of all columns.
+    """
+    alike = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in COLUMNS])
+    taken = mix(docs, importance=length_odds(), twin=alike).where("copies > 0")
+    taken = taken.groupBy("doc_id", "twin").agg(F.sum("copies").alias("copies")).alias("t")
+    d = docs.select(*COLUMNS, alike.alias("twin")).dropDuplicates(["doc_id", "twin"]).alias("d")
+    joined = d.join(taken, F.expr("d.doc_id <=> t.doc_id AND d.twin = t.twin")).select("d.*", "copies")
     return joined.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
