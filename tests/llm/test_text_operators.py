@@ -241,19 +241,42 @@ def test_registers_agree_with_probability_jaccard():
 
 
 def test_registers_lose_fewer_links_than_bands(cluster):
-    """A pair at the threshold whose registers agree less than expected is still verified."""
-    n, p = probminhash.REGISTERS, 0.8
+    """A pair at the threshold whose registers, or their bits, agree less than expected is still verified."""
+    n, p = probminhash.FINE, 0.8
     missed = (1 - p**probminhash.ROWS) ** probminhash.BANDS
     bands = list(range(probminhash.BANDS))
-    for agree in range(n):
-        if sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(agree + 1)) > missed / 10:
-            break
-    rows = [(b"a", bands, [1] * n), (b"b", bands, [1] * agree + [2] * (n - agree))]
-    nodes = cluster.createDataFrame(rows, "node binary, bands array<long>, registers array<smallint>")
-    met = nodes.select("node", F.lit(1).cast("long").alias("copies"), F.explode("bands").alias("bucket"))
-    roots = cluster.createDataFrame([], "node binary, root binary")
-    found = probminhash._open(nodes, met, roots, p, probminhash.MARGINS[-1]).collect()
-    assert [(r.a, r.b) for r in found] == [(b"a", b"b")]
+
+    def fewest(odds):
+        total = 0.0
+        for agree in range(n):
+            total += comb(n, agree) * odds**agree * (1 - odds) ** (n - agree)
+            if total > missed / 10:
+                return agree
+
+    def pairs(agree, bits):
+        words = [0] * (n // 64)
+        other = [sum(1 << b for b in range(63) if 63 * k + b < bits) for k in range(n // 64)]
+        rows = [(0, b"a", b"a", b"a", bands, [1] * n, words), (0, b"b", b"b", b"a", bands, [1] * agree + [3] * (n - agree), other)]
+        kind = "bucket long, node binary, root binary, main binary, bands array<long>, fine array<smallint>, bits array<long>"
+        return [tuple(r) for r in probminhash._alike(cluster.createDataFrame(rows, kind), p).collect()]
+
+    least, differ = fewest(p), n - fewest((1 + p) / 2)
+    assert pairs(least, differ) == [(b"a", b"b")]
+    assert pairs(least - 60, 0) == [] and pairs(n, differ + 60) == []
+
+
+def test_a_group_of_variants_is_joined_by_the_one_in_the_middle(cluster):
+    """Variants of one text: verified pairs number texts, not their square, and classes are exact."""
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 200):
+        words = list(base)
+        for _ in range(draw.choice([1, 1, 2, 3, 5])):
+            words[draw.randrange(150)] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    found = near_duplicates(cluster.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "class_id").collect()
+    assert sorted(tuple(r) for r in found) == list(zip(range(200), plain.classes(rows)))
 
 
 def test_counts_of_rules(cluster, data, given, odd, odd_rows):

@@ -18,16 +18,13 @@ from tidemark.session import shared_dir
 SHINGLE = 5
 #: 20 bands of 4 registers: a pair of similarity 0.8 meets in some band but for 3 cases in 100,000.
 BANDS, ROWS = 20, 4
-#: Bands take the first 80 registers; the estimate of a pair takes all.
-REGISTERS = 240
+REGISTERS = BANDS * ROWS
 #: Turns in which the classes of a band are compared with its leader, before pairs of members.
 LEADER_TURNS = 2
-#: Pairs that leaders leave open are verified, those first that are estimated to reach the
-#: threshold, then, of what is still apart, those from 5 deviations below it, both on these
-#: registers and on finer ones that only texts still apart get. At 0.8 each loses 2 pairs in a
-#: million, so bands and margins together lose 3 in 100,000.
-MARGINS = (0.0, 5.0)
-FINE = 1024
+#: Pairs that leaders leave open are verified if finer registers, which only texts still apart get,
+#: agree to 5 deviations below the threshold: first one bit of each, then 16. At 0.8 each loses 2
+#: pairs in a million, so bands and margins together lose 3 in 100,000.
+FINE, MARGIN = 1024, 5.0
 #: Bytes of text that are sketched at once; work arrays take a hundred times as much.
 PIECE_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -121,20 +118,23 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column(TWIN).slice(row, n),
                     pa.array([p.tobytes() if ok else None for p, ok in zip(prints, some)], pa.binary()),
                     fixed(sums, BANDS, np.int64),
-                    fixed(registers.astype(np.uint16), REGISTERS, np.int16),
                 ],
-                [KEY, TWIN, "node", "bands", "registers"],
+                [KEY, TWIN, "node", "bands"],
             )
 
 
 def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, fine): the finer registers of a text, in 16 bits each."""
+    """(node, fine, bits): the finer registers of a text, in 16 bits each and in one."""
     for batch in batches:
-        for row, texts in in_pieces(binary(batch.column("body")), PIECE_BYTES // 4):
+        for row, texts in in_pieces(binary(batch.column("body")), PIECE_BYTES):
             n = len(texts)
             registers = signatures(n, *shingles(Words(texts)), FINE).astype(np.uint16)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * FINE, pa.int32()), pa.array(registers.ravel().view(np.int16)))
-            yield pa.RecordBatch.from_arrays([batch.column("node").slice(row, n), lists], ["node", "fine"])
+            bits = np.packbits((registers & 1).astype(np.uint8), axis=1).view(np.int64)
+            fixed = lambda values, width: pa.ListArray.from_arrays(
+                pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(values.ravel())
+            )
+            columns = [batch.column("node").slice(row, n), fixed(registers.view(np.int16), FINE), fixed(bits, FINE // 64)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "fine", "bits"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -202,9 +202,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     Classes grow in turns. In each, one member of every class in a band is compared with the
     leader of the band's largest class: the text that meets most others over all its bands, so
     of many variants the one in their middle. What then still lies in different classes within
-    a band is compared pair by pair on registers, and verified from five deviations below the
-    threshold; the last turn asks 1,024 finer registers too, which leave little but pairs that
-    are linked. So no pair is left out because a band is large, and verified pairs do not grow
+    a band is compared pair by pair on 1,024 finer registers, and verified from five deviations
+    below the threshold, which leaves little but pairs that are linked. So no pair is left out because a band is large, and verified pairs do not grow
     with a group's square unless its similarities lie at the threshold. Of pairs at exactly
     0.8, 2.6 in 100,000 meet in no band and 0.4 in 100,000 fall below a margin, if registers are
     independent; more similar pairs are lost less.
@@ -214,14 +213,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     the two named columns are read. An empty table gives an empty table.
     """
     spark, rows = docs.sparkSession, keyed(docs, id_col, text_col)
-    sketched = rows.mapInArrow(_sketch, f"{KEY} long, {TWIN} long, node binary, bands array<long>, registers array<smallint>")
+    sketched = rows.mapInArrow(_sketch, f"{KEY} long, {TWIN} long, node binary, bands array<long>")
     sketched = _stored(sketched, "sketches")
     nodes = sketched.where("node IS NOT NULL").groupBy("node")
     nodes = nodes.agg(
         F.count("*").alias("copies"),
         F.min(F.struct(F.col(KEY).isNull(), KEY, TWIN)).alias("keeper"),
         F.any_value("bands").alias("bands"),
-        F.any_value("registers").alias("registers"),
     )
     nodes = _stored(nodes, "nodes")
 
@@ -239,9 +237,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     roots = spark.createDataFrame([], "node binary, root binary")
     tested = spark.createDataFrame([], "a binary, b binary")
     links: list[DataFrame] = []
-    for turn, margin in enumerate([None] * LEADER_TURNS + list(MARGINS)):
-        last = turn == LEADER_TURNS + len(MARGINS) - 1
-        pairs = _led(met, roots, tested) if margin is None else _open(nodes, met, roots, threshold, margin, texts if last else None)
+    for turn in range(LEADER_TURNS + 1):
+        pairs = _led(met, roots, tested) if turn < LEADER_TURNS else _open(nodes, met, roots, threshold, texts)
         pairs = _stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         found = _stored(verified(pairs, texts, threshold), "links")
@@ -281,43 +278,38 @@ def _led(met: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
     return chosen.select("m.a", "m.b").distinct()
 
 
-def _enough(threshold: float, margin: float, registers: int) -> int:
-    """Registers that must agree: the threshold's share less ``margin`` deviations."""
-    return int(np.ceil((threshold - margin * (threshold * (1 - threshold) / registers) ** 0.5) * registers))
-
-
-def _agree(one: str, other: str) -> Column:
-    return F.expr(f"aggregate(zip_with({one}, {other}, (x, y) -> IF(x = y, 1, 0)), 0, (s, x) -> s + x)")
-
-
-def _open(nodes: DataFrame, met: DataFrame, roots: DataFrame, threshold: float, margin: float, texts: DataFrame | None) -> DataFrame:
-    """Pairs (a, b) of one band and different classes whose registers agree often enough.
+def _open(nodes: DataFrame, met: DataFrame, roots: DataFrame, threshold: float, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one band and different classes whose finer registers agree often enough.
 
     In each band, members of its largest class need no comparison among themselves: the
-    others are compared with everything there. A pair counts in the first band it shares.
-    With ``texts``, nodes of torn bands get finer registers, which must agree too.
+    others are compared with everything there.
     """
     members = _classed(met, roots).select("bucket", "node", "root")
     per_class = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     torn = per_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "root"))["root"].alias("main")).where("classes > 1")
-    torn = members.join(torn, "bucket")
-    sketch = nodes.select("node", "bands", "registers", F.lit(None).cast("array<smallint>").alias("fine"))
-    if texts is not None:
-        torn = _stored(torn, "torn")
-        fine = texts.join(torn.select("node").distinct(), "node").mapInArrow(_fine, "node binary, fine array<smallint>")
-        sketch = _stored(sketch.drop("fine").join(fine, "node"), "fine")
-    torn = torn.join(sketch, "node")
-    few = torn.where("root <> main").select(
-        "bucket", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("bands").alias("xa"), F.col("registers").alias("ga"), F.col("fine").alias("fa")
-    )
-    all_ = torn.select(
-        "bucket", F.col("node").alias("b"), F.col("root").alias("rb"), "main", F.col("bands").alias("xb"), F.col("registers").alias("gb"), F.col("fine").alias("fb")
-    )
-    shared = F.expr("get(filter(xa, (x, i) -> x = get(xb, i)), 0)")
+    torn = _stored(members.join(torn, "bucket"), "torn")
+    fine = texts.join(torn.select("node").distinct(), "node").mapInArrow(_fine, "node binary, fine array<smallint>, bits array<long>")
+    fine = _stored(nodes.select("node", "bands").join(fine, "node"), "fine")
+    return _alike(torn.join(fine, "node"), threshold)
+
+
+def _alike(torn: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of the rows (bucket, node, root, main, bands, fine, bits) whose registers agree often enough.
+
+    A pair counts in the first band it shares. One bit of each register comes first, as whole
+    numbers compare fast; where registers differ, half of their bits agree by chance.
+    """
+    side = lambda s, *more: [F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "bands", "fine", "bits")] + list(more)
+    few = torn.where("root <> main").select("bucket", *side("a"))
+    all_ = torn.select("bucket", *side("b", "main"))
     # Two members outside the main class meet twice; once is enough.
-    once = (F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))
-    near = _agree("ga", "gb") >= _enough(threshold, margin, REGISTERS)
-    if texts is not None:
-        near = near & (_agree("fa", "fb") >= _enough(threshold, margin, FINE))
-    joined = few.join(all_, "bucket").where((F.col("ra") != F.col("rb")) & once & (shared == F.col("bucket")) & near)
-    return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    once = (F.col("root_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))
+    differ = reduce(Column.__add__, [F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(FINE // 64)])
+    odds = (1 + threshold) / 2
+    most = int(FINE * (1 - odds) + MARGIN * (FINE * odds * (1 - odds)) ** 0.5)
+    least = int(np.ceil(FINE * threshold - MARGIN * (FINE * threshold * (1 - threshold)) ** 0.5))
+    shared = F.expr("get(filter(bands_a, (x, i) -> x = get(bands_b, i)), 0)")
+    agree = F.expr("aggregate(zip_with(fine_a, fine_b, (x, y) -> IF(x = y, 1, 0)), 0, (s, x) -> s + x)")
+    near = (F.col("root_a") != F.col("root_b")) & once & (differ <= most) & (shared == F.col("bucket")) & (agree >= least)
+    joined = few.join(all_, "bucket").where(near)
+    return joined.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
