@@ -12,7 +12,6 @@ from tidemark.operators import pv_uv_running, tumble
 from tidemark.plans import Insert, Job, View
 from tidemark.queries.feed import INSTANTS, LATENESS, SLICES, add_slices, slice_sql, sliced, source
 from tidemark.queries.inputs import USER_LOG_SQL, as_user_log
-from tidemark.queries.relational import Mean
 from tidemark.queries.timeline import _ASOF, HOUR
 from tidemark.session import shared_dir
 from tidemark.sources import Table, read_back
@@ -138,16 +137,33 @@ FORGETTING_SQL = f"""
     GROUP BY category_id"""
 
 
+class MeanOfCents(UserAggregate):
+    """The mean of values in hundredths, summed as whole numbers: the same in any order."""
+
+    def start(self):
+        return 0, 0
+
+    def add(self, state, values):
+        known = values.dropna()
+        return state[0] + int((known * 100).round().astype("int64").sum()), state[1] + len(known)
+
+    def merge(self, state, other):
+        return state[0] + other[0], state[1] + other[1]
+
+    def finish(self, state):
+        return state[0] / (100 * state[1]) if state[1] else None
+
+
 def udaf_stream(spark, folder):
     """The mean of a user's values by a user aggregate, kept up to date on a stream."""
     out = shared_dir(spark, "means")
     rows, _, _ = sliced(spark, folder)
     events, sink = source(f"{out}/events"), _sink(out, "user_id bigint, mean double", ("user_id",))
-    query = lambda s: aggregate_running(s.table("events"), ["user_id"], "value", Mean(), "mean", DoubleType())
+    query = lambda s: aggregate_running(s.table("events"), ["user_id"], "value", MeanOfCents(), "mean", DoubleType())
     for numbers in (range(2), range(2, SLICES + 1)):
         add_slices(rows, f"{out}/events", numbers)
         _run(spark, "means", out, [events, sink, Insert("out", query, "update")])
-    return read_back(spark, sink).withColumn("mean", F.round("mean", 6))
+    return read_back(spark, sink)
 
 
 class Count(UserAggregate):
@@ -242,7 +258,11 @@ CATALOG = {
     "late_rows": (late_rows, LATE_SQL),
     "asof_join_stream": (asof_join_stream, _ASOF.format(how="LEFT")),
     "pv_uv_stream_forgetting": (pv_uv_stream_forgetting, FORGETTING_SQL),
-    "udaf_stream": (udaf_stream, "SELECT user_id, round(avg(value), 6) AS mean FROM events GROUP BY user_id"),
+    "udaf_stream": (
+        udaf_stream,
+        """SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (100 * count(value)) AS mean
+           FROM events GROUP BY user_id""",
+    ),
     "carried_over": (carried_over, CARRIED_SQL),
     "stopped_and_restored": (stopped_and_restored, PV_UV_SQL),
 }
