@@ -43,13 +43,16 @@ class UserAggregate:
         raise NotImplementedError
 
 
-def register(spark: SparkSession, name: str, function: Any, kind: str, returns: str | DataType) -> None:
+def register(spark: SparkSession, name: str, function: Any, kind: str, returns: str | DataType | None = None) -> None:
     """Make ``function`` callable as ``name`` in SQL.
 
-    ``scalar``: Series in, Series out. ``table``: a class with ``eval`` that yields rows.
+    ``scalar``: Series in, Series out. ``table``: a class with ``eval`` that yields rows; one
+    with ``analyze`` finds its own columns, also from a table argument, and takes no ``returns``.
     ``aggregate``: a ``UserAggregate``; in SQL Spark hands a whole group to one task, so
     keep that for small groups and use ``aggregate_by_key`` elsewhere.
     """
+    if returns is None and kind in ("scalar", "aggregate"):
+        raise ValueError(f"{name}: what does it return?")
     if kind == "scalar":
         spark.udf.register(name, F.pandas_udf(function, returns))
     elif kind == "aggregate":
@@ -62,6 +65,8 @@ def register(spark: SparkSession, name: str, function: Any, kind: str, returns:
         whole.__annotations__ = {"values": pd.Series, "return": float}
         spark.udf.register(name, F.pandas_udf(whole, returns))
     elif kind == "table":
+        if (returns is None) != hasattr(function, "analyze"):
+            raise ValueError(f"{name}: a table function has either a schema or its own `analyze`")
         spark.udtf.register(name, F.udtf(function, returnType=returns, useArrow=True))
     else:
         raise ValueError(f"{name}: unknown kind {kind!r} of {type(function).__name__}; known are {KINDS}")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tidemark.functions import UserAggregate, aggregate_by_key, register
+from tidemark.functions.tables import Runs
 from tidemark.queries.inputs import table
 
 
@@ -102,6 +103,24 @@ def lateral_udtf(spark, folder):
     return spark.sql("SELECT o_orderkey, word FROM orders, LATERAL split_words(o_orderpriority)")
 
 
+def lateral_table_udtf(spark, folder):
+    """Each user's events on end of one type, by a function that gets the table in order."""
+    register(spark, "runs", Runs, "table")
+    table(spark, folder, "events").createOrReplaceTempView("events")
+    return spark.sql(
+        """SELECT * FROM runs(TABLE(SELECT user_id, event_type, ts, event_id FROM events)
+                              PARTITION BY user_id ORDER BY (ts, event_id), 'user_id', 'event_type', 'ts')"""
+    )
+
+
+RUNS_SQL = """
+    SELECT user_id, event_type, count(*) AS n, min(ts) AS first_at, max(ts) AS last_at
+    FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run
+          FROM (SELECT *, CASE WHEN row_number() OVER w > 1 AND event_type IS NOT DISTINCT FROM lag(event_type) OVER w
+                               THEN 0 ELSE 1 END AS fresh
+                FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)))
+    GROUP BY user_id, event_type, run"""
+
 LATERAL_SQL = "SELECT o_orderkey, unnest(string_split(o_orderpriority, '-')) AS word FROM orders"
 
 # -- aggregates --------------------------------------------------------------
@@ -401,6 +420,7 @@ CATALOG = {
     ),
     "lateral_explode": (lateral_explode, LATERAL_SQL),
     "lateral_udtf": (lateral_udtf, LATERAL_SQL),
+    "lateral_table_udtf": (lateral_table_udtf, RUNS_SQL),
     "agg_basic": (
         agg_basic,
         """SELECT l_returnflag, l_linestatus,

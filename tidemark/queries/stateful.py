@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from tidemark.functions.registry import UserAggregate
-from tidemark.operators import pv_uv_running, tumble
+from tidemark.operators import pv_uv_running, session, tumble
 from tidemark.plans import Insert, Job, View
 from tidemark.queries.feed import INSTANTS, LATENESS, SLICES, add_slices, slice_sql, sliced, source
 from tidemark.queries.inputs import USER_LOG_SQL, as_user_log
-from tidemark.queries.timeline import _ASOF, HOUR
+from tidemark.queries.timeline import _ASOF, HOUR, MEASURES, SESSION_SQL
 from tidemark.session import shared_dir
 from tidemark.sources import Table, read_back
 from tidemark.sources.changes import read_batches
@@ -78,9 +78,9 @@ LATE_SQL = f"""
 NOBODY = -1
 
 
-def _closed(spark, path, most, kinds):
-    """Rows far ahead, so that the watermark passes all others; they are of nobody."""
-    for days in (1, 2):
+def _closed(spark, path, most, kinds, ahead=(1, 2)):
+    """Rows days ahead, so that the watermark passes all others; they are of nobody."""
+    for days in ahead:
         at = F.timestamp_micros(F.lit(most + days * 86_400_000_000))
         rows = spark.createDataFrame([(k,) for k in kinds], "event_type string").coalesce(1)
         rows.select(
@@ -113,6 +113,25 @@ def asof_join_stream(spark, folder):
     return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "view_ts")})
 
 
+def session_stream(spark, folder):
+    """Each user's sessions, written once they are over; a slice comes with every run of the job."""
+    out = shared_dir(spark, "sessions")
+    rows, _, most = sliced(spark, folder)
+    path = f"{out}/events"
+    schema = "session_start timestamp, session_end timestamp, user_id bigint, n bigint, smallest double, largest double"
+    closed = _sink(out, schema)
+    found = lambda s: session(s.table("events"), "ts", 6 * HOUR, ["user_id"], MEASURES)
+    statements = [source(path), closed, Insert("out", found)]
+    for number in range(SLICES + 1):
+        add_slices(rows, path, [number])
+        _run(spark, "sessions", out, statements)
+    for days in (1, 2):
+        _closed(spark, path, most, ["view"], [days])
+        _run(spark, "sessions", out, statements)
+    ended = read_back(spark, closed).where(F.coalesce(F.col("user_id"), F.lit(0)) != NOBODY)
+    return ended.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
 PV_UV = "category_id string, pv bigint, uv bigint"
 SILENCE = timedelta(days=2)
 
@@ -256,6 +275,7 @@ PV_UV_SQL = f"SELECT category_id, count(*) AS pv, count(DISTINCT user_id) AS uv
 
 CATALOG = {
     "late_rows": (late_rows, LATE_SQL),
+    "session_stream": (session_stream, SESSION_SQL),
     "asof_join_stream": (asof_join_stream, _ASOF.format(how="LEFT")),
     "pv_uv_stream_forgetting": (pv_uv_stream_forgetting, FORGETTING_SQL),
     "udaf_stream": (

@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import interval_join, pv_uv_approx, pv_uv_running, slide, tumble, uv_running
+from tidemark.operators import interval_join, pv_uv_approx, pv_uv_running, rolling_visitors, slide, tumble, uv_running, visitor_sketches
 from tidemark.plans import Insert, Job, View
 from tidemark.queries.feed import fed_in_order
 from tidemark.queries.inputs import EVENTS, USER_LOG, USER_LOG_SQL, as_user_log, table
@@ -151,6 +151,43 @@ def interval_stream(spark, folder):
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "click_ts")})
 
 
+DAY, DAYS = timedelta(days=1), 7
+
+
+def visitors_rolling(spark, folder):
+    """Visitors of every seven days on end, from sketches that a stream stores per day and category.
+
+    ``within`` tells whether the exact number, counted from the rows, is within the estimate's bounds.
+    """
+    stored, _ = run_into(
+        spark,
+        folder,
+        "sketches",
+        "window_start timestamp, category_id string, pv bigint, visitors binary",
+        ("window_start", "category_id"),
+        lambda s: visitor_sketches(s.table("user_log"), "ts", DAY, ["category_id"], "user_id").drop("window_end"),
+    )
+    estimated = rolling_visitors(stored, DAY, DAYS, ["category_id"])
+    log = as_user_log(table(spark, folder, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
+    days = log.select(F.window("ts", "1 day")["start"].alias("day"), "category_id", "user_id").distinct()
+    ends = F.explode(F.array(*[F.col("day") + F.expr(f"INTERVAL {i} DAY") for i in range(DAYS)]))
+    exact = days.select(ends.alias("end"), F.col("category_id").alias("category"), "user_id")
+    exact = exact.groupBy("end", "category").agg(F.countDistinct("user_id").alias("true_uv"))
+    joined = estimated.join(exact, F.expr("window_start = end AND category_id <=> category"))
+    return joined.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        "category_id",
+        "pv",
+        F.expr("true_uv BETWEEN uv_low AND uv_high").alias("within"),
+    )
+
+
+ROLLING_SQL = f"""
+    SELECT day + INTERVAL 1 DAY * k AS window_start, category_id, count(*) AS pv, true AS within
+    FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, category_id FROM {USER_LOG_SQL}), range({DAYS}) r(k)
+    GROUP BY ALL"""
+
+
 def job_overview(spark, folder):
     _, handle = run_into(
         spark, folder, "overview", "user_id string, behavior string", (), "SELECT user_id, behavior FROM user_log", "append"
@@ -176,6 +213,7 @@ CATALOG = {
         SLIDE_SQL,
     ),
     "interval_join_stream": (interval_stream, INTERVAL_SQL),
+    "visitors_rolling_stream": (visitors_rolling, ROLLING_SQL),
     "topic_copy_stream": (
         topic_copy,
         f"SELECT user_id, item_id, category_id, behavior FROM {USER_LOG_SQL}",
