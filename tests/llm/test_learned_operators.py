@@ -102,6 +102,24 @@ def test_rules_keep_good_documents(cluster):
     assert n.get((0, False), 0) >= n.get((0, True), 0)
 
 
+def test_a_labelled_id_is_one_draw(cluster):
+    """Copies of one row make no cutoff certified, and a row that breaks a rule counts though copies do not."""
+    fair = "one or two words that are good and said with no haste at all here now"
+    broken = " ".join("word#%d" % k + "#*$%&|<>" for k in range(20))
+    rows = [(i, fair if i > 2 else broken, "en") for i in range(1, 401)] + [(i, broken, "en") for i in range(401, 501)]
+    labels = cluster.createDataFrame([(i, int(i <= 400)) for i in range(1, 501)], "doc_id long, quality int")
+    schema = "doc_id long, text string, lang string"
+
+    def kept(more):
+        found = apply_rules(cluster.createDataFrame(rows + more, schema).repartition(4), labels, risk=0.12, chance=0.3)
+        return {r.doc_id: r.kept for r in found.where("NOT base_failed").dropDuplicates(["doc_id", "kept"]).collect()}
+
+    alone = kept([])
+    assert kept([(9, fair, "en")] * 5000) == alone
+    many = [(i, broken, "en") for i in range(10, 60)]
+    assert all(kept(many)[i] for i in range(401, 501))  # 52 of 400 good ids break it, too many for a cutoff
+
+
 def test_rules_of_odd(cluster, odd, odd_rows):
     labels = cluster.createDataFrame([(6, 1, "x"), (13, 0, "x"), (21, None, "x"), (None, 1, "x"), (6, 0, "x")], "doc_id long, quality int, lang string")
     found = apply_rules(odd, labels).collect()

@@ -125,13 +125,17 @@ def certified(good: np.ndarray, bad: np.ndarray, risk: float, chance: float) ->
 def cutoffs(measured_docs: DataFrame, labels: DataFrame, risk: float, chance: float, id_col: str, label_col: str) -> DataFrame:
     """(of, cut): for each stratum, a bin for each rule, or null where none is certified.
 
+    A labelled id is one draw of a stratum, however many rows it has there: for each rule its
+    worst row counts.
     Both the rules and the strata share the allowance: a rule may reject risk / rules, and a
     test errs with chance / (rules * strata).
     """
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("k")).agg(F.max(label_col).alias("good"))
     joined = measured_docs.join(known, F.col("doc_id") == F.col("k"))
-    bins = F.array(*[F.struct(F.lit(i).alias("rule"), _bin(F.expr(value)).alias("bin")) for i, value in enumerate(RULES.values())])
-    counted = joined.select("stratum", "good", F.explode(bins).alias("r")).groupBy("stratum", "r.rule", "r.bin")
+    worst = [F.max(_bin(F.expr(value))).alias(f"bin_{i}") for i, value in enumerate(RULES.values())]
+    drawn = joined.groupBy("doc_id", "stratum").agg(F.max("good").alias("good"), *worst)
+    bins = F.array(*[F.struct(F.lit(i).alias("rule"), F.col(f"bin_{i}").alias("bin")) for i in range(len(RULES))])
+    counted = drawn.select("stratum", "good", F.explode(bins).alias("r")).groupBy("stratum", "r.rule", "r.bin")
     counted = cut(counted.agg(F.sum("good").cast("long").alias("good"), F.sum(1 - F.col("good")).cast("long").alias("bad")))
     strata = counted.select("stratum").distinct().count()
     n_rules = len(RULES)
@@ -170,8 +174,8 @@ def apply_rules(
     A document fails at once if it has under 10 words, or more than a fifth of them in
     repeated runs of five. Otherwise it is kept unless it breaks a rule whose cutoff is
     certified for its stratum: with probability 1 - ``chance``, in every stratum all rules
-    together reject no more than ``risk`` of the documents labelled good. All labelled rows
-    count; nothing else was fitted to them. A stratum with too few labels has no cutoffs.
+    together reject no more than ``risk`` of the documents labelled good. All labelled ids
+    count, each once; nothing else was fitted to them. A stratum with too few labels has no cutoffs.
 
     A null or empty text has no words and fails. Rows without a stratum are one of their own.
     Of several labels of one id the greatest counts. Rows with equal texts have equal counts.
