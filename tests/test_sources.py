@@ -234,7 +234,8 @@ def test_upsert_statements():
     got = jdbc.upsert_statements("s.t", "s.t_staging", "s.t_batches", ["k", "n"], ["k"])
     assert got == [
         'DELETE FROM "s"."t" WHERE EXISTS (SELECT 1 FROM "s"."t_staging" WHERE "s"."t_staging"."k" = "s"."t"."k")',
-        'INSERT INTO "s"."t" ("k", "n") SELECT "k", "n" FROM "s"."t_staging"',
+        'INSERT INTO "s"."t" ("k", "n") SELECT "k", "n" FROM (SELECT "k", "n", '
+        'ROW_NUMBER() OVER (PARTITION BY "_row" ORDER BY "_row") AS "_copy" FROM "s"."t_staging") staged WHERE "_copy" = 1',
         'DELETE FROM "s"."t_batches" WHERE "writer" = ?',
         'INSERT INTO "s"."t_batches" ("writer", "batch_id") VALUES (?, ?)',
     ]
@@ -264,7 +265,83 @@ def test_a_noted_batch_is_skipped(spark):
     assert jdbc.last_batch(noted, "t_batches", "job") == 4
     assert jdbc.last_batch(Connection(), "t_batches", "job") == -1
     assert jdbc.upsert(df, options, ["k"], [], "job", 4, connect=lambda *_: noted) is False
-    assert noted.log == [] and noted.ends == ["close"]
+    assert [text for text, _ in noted.log] == [f'DROP TABLE IF EXISTS "{jdbc.staging_name("t", "job", 4)}"']
+
+
+class Database(Connection):
+    """Holds what its transactions have taken over from staging tables; a test may refuse a statement."""
+
+    def __init__(self):
+        super().__init__()
+        self.staged, self.rows, self.ledger = {}, [], {}
+
+    def commit(self):
+        for text, values in self.log:
+            if text.startswith("INSERT INTO `t`"):
+                (staging,) = [name for name in self.staged if f"`{name}`" in text]
+                assert "PARTITION BY `_row`" in text
+                self.rows += [row for _, row in sorted(dict(self.staged[staging]).items())]
+            elif text.startswith("INSERT INTO `seen`"):
+                self.ledger[values[1]] = values[2]
+            elif text.startswith("DROP TABLE"):
+                self.staged.pop(text.split("`")[1], None)
+        self.log = []
+        super().commit()
+
+    def rollback(self):
+        self.log = []
+        super().rollback()
+
+    def prepareStatement(self, text):
+        made = super().prepareStatement(text)
+        if text.startswith("SELECT"):
+            made.executeQuery = lambda: Rows(self.ledger.get(made.values[1]))
+        return made
+
+    def fill(self, df, options):
+        """Every task is run twice, and both times its rows are staged."""
+        rows = [tuple(r) for r in df.collect()]
+        self.staged[options["dbtable"]] = list(enumerate(rows)) * 2
+
+
+def test_a_batch_is_appended_once(spark):
+    database = Database()
+    options = {"url": "jdbc:mysql://h/db", "dbtable": "t"}
+    batches = [spark.createDataFrame([("a", n), ("a", n)], "k string, n int") for n in range(3)]
+
+    def add(number, writer="job"):
+        return jdbc.append_once(batches[number], options, "seen", writer, number, lambda *_: database, database.fill)
+
+    assert add(0) is True and database.rows == [("a", 0)] * 2
+    for refused in ("INSERT INTO `t`", "INSERT INTO `seen`"):  # the batch is taken back whole
+        database.fail_on = refused
+        with pytest.raises(RuntimeError):
+            add(1)
+        assert database.rows == [("a", 0)] * 2 and database.ledger == {"job": 0}
+    database.fail_on = "DROP"  # after the transaction: the replay is skipped and drops what is left
+    with pytest.raises(RuntimeError):
+        add(1)
+    assert len(database.rows) == 4 and len(database.staged) == 1
+    database.fail_on = None
+    assert add(1) is False and add(0) is False and database.staged == {}
+    assert add(1, "other") is True and add(2) is True
+    assert sorted(database.rows) == sorted([("a", 0), ("a", 1), ("a", 1), ("a", 2)] * 2)
+
+
+def test_staged_rows_are_numbered(spark, monkeypatch):
+    """What goes to a staging table has a number of its own for each row; the folder between is removed."""
+    seen, folders = [], []
+    make = jdbc.shared_dir
+    monkeypatch.setattr(jdbc, "shared_dir", lambda *a: folders.append(make(*a)) or folders[-1])
+    monkeypatch.setattr(type(spark.range(1).write), "save", lambda self, *a: seen.extend(self._df.collect()))
+    jdbc._fill(spark.range(0, 1000, 1, 7).selectExpr("id % 10 AS k"), {"url": "jdbc:none", "dbtable": "s"})
+    assert len(seen) == 1000 == len({r._row for r in seen})
+    assert not jdbc.files.exists(spark, folders[0])
+
+
+def test_staging_tables_are_apart():
+    names = {jdbc.staging_name("s.t", writer, batch) for writer in ("a", "b") for batch in (1, 2)}
+    assert len(names) == 4 and all(name.startswith("s.t_staging_") for name in names)
 
 
 def test_database_options():

@@ -42,6 +42,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this job has made."""
+    hadoop, fs = _path(spark, path)
+    fs.delete(hadoop, True)
+
+
 def list_files(spark: SparkSession, root: str) -> list[str]:
     """Paths of all files below ``root``, relative to it."""
     hadoop, fs = _path(spark, root)

@@ -1,20 +1,26 @@
 """Database sinks.
 
-Appending is Spark's own JDBC write. A keyed write goes through a staging table:
-the executors fill it in parallel, then the database itself deletes the old rows,
-inserts the new ones and notes the batch number, in one transaction. A batch
-whose number is already noted is skipped.
+Plain appending is Spark's own JDBC write, at least once. Exactly once goes through a
+staging table of the batch: the executors fill it in parallel, then the database itself
+takes its rows over and notes the batch number, in one transaction; a keyed write deletes
+the old rows there too. A batch whose number is already noted is skipped. Staged rows are
+numbered, so those that a repeated task has staged again are taken over once.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tidemark import files
 from tidemark.operators.latest import latest_per_key
+from tidemark.session import shared_dir
 
 FLUSH_ROWS = 5000  # rows per round trip when the table does not say
+ROW, COPY = "_row", "_copy"
 
 
 def _plain(options: Mapping[str, str]) -> dict[str, str]:
@@ -41,6 +47,29 @@ def quoting(url: str):
     return backticked if url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else quoted
 
 
+def staging_name(table: str, writer: str, batch_id: int) -> str:
+    """A staging table for each batch of each writer, so that none overwrites another's rows."""
+    return f"{table}_staging_{hashlib.sha256(writer.encode()).hexdigest()[:8]}_{batch_id}"
+
+
+def taken_over(table: str, staging: str, columns: Sequence[str], quote=quoted) -> str:
+    """SQL that inserts every staged row once, however often it was staged."""
+    listed = ", ".join(quote(c) for c in columns)
+    numbered = f"ROW_NUMBER() OVER (PARTITION BY {quote(ROW)} ORDER BY {quote(ROW)}) AS {quote(COPY)}"
+    return (
+        f"INSERT INTO {quote(table)} ({listed}) SELECT {listed} FROM "
+        f"(SELECT {listed}, {numbered} FROM {quote(staging)}) staged WHERE {quote(COPY)} = 1"
+    )
+
+
+def noted(ledger: str, quote=quoted) -> list[str]:
+    """SQL that notes the batch; both take the writer first."""
+    return [
+        f"DELETE FROM {quote(ledger)} WHERE {quote('writer')} = ?",
+        f"INSERT INTO {quote(ledger)} ({quote('writer')}, {quote('batch_id')}) VALUES (?, ?)",
+    ]
+
+
 def upsert_statements(
     table: str, staging: str, ledger: str, columns: Sequence[str], keys: Sequence[str], quote=quoted
 ) -> list[str]:
@@ -50,12 +79,10 @@ def upsert_statements(
     same = " AND ".join(
         f"{quote(staging)}.{quote(k)} = {quote(table)}.{quote(k)}" for k in keys
     )
-    listed = ", ".join(quote(c) for c in columns)
     return [
         f"DELETE FROM {quote(table)} WHERE EXISTS (SELECT 1 FROM {quote(staging)} WHERE {same})",
-        f"INSERT INTO {quote(table)} ({listed}) SELECT {listed} FROM {quote(staging)}",
-        f"DELETE FROM {quote(ledger)} WHERE {quote('writer')} = ?",
-        f"INSERT INTO {quote(ledger)} ({quote('writer')}, {quote('batch_id')}) VALUES (?, ?)",
+        taken_over(table, staging, columns, quote),
+        *noted(ledger, quote),
     ]
 
 
@@ -106,6 +133,54 @@ def _connect(df: DataFrame, options: Mapping[str, str]):
     return connection
 
 
+def _fill(df: DataFrame, options: Mapping[str, str]) -> None:
+    """Put the rows into a staging table, each with a number that a repeated task gives it again.
+
+    Numbers follow from places in files, which do not change as an order of shuffled rows may.
+    """
+    folder = shared_dir(df.sparkSession, "staged")
+    df.write.parquet(folder)
+    try:
+        rows = df.sparkSession.read.schema(df.schema).parquet(folder)
+        numbered = rows.withColumn(ROW, F.monotonically_increasing_id())
+        numbered.write.format("jdbc").options(**options).mode("overwrite").save()
+    finally:
+        files.remove(df.sparkSession, folder)
+
+
+def _once(df, options, statements, ledger, writer, batch_id, connect, fill) -> bool:
+    """Stage the rows and run ``statements(staging, quote)`` with the note of the batch, unless it is noted."""
+    staging = staging_name(options["dbtable"], writer, batch_id)
+    quote = quoting(options["url"])
+    drop = f"DROP TABLE IF EXISTS {quote(staging)}"
+    connection = connect(df, options)
+    try:
+        new = last_batch(connection, ledger, writer, quote) < batch_id
+        if new:
+            fill(df, {**options, "dbtable": staging})
+            move(connection, statements(staging, quote), writer, batch_id)
+        # A run that ended between the transaction and this has left its staging table.
+        move(connection, [drop], writer, batch_id)
+        return new
+    finally:
+        connection.close()
+
+
+def append_once(
+    df: DataFrame, options: Mapping[str, str], ledger: str, writer: str, batch_id: int, connect=_connect, fill=_fill
+) -> bool:
+    """Add the rows, once however often the batch or a task of it is run; false if it was written before.
+
+    The table and the ledger ``(writer, batch_id)`` must exist. Equal rows of a batch all count.
+    """
+    options = _plain(options)
+
+    def statements(staging: str, quote) -> list[str]:
+        return [taken_over(options["dbtable"], staging, df.columns, quote), *noted(ledger, quote)]
+
+    return _once(df, options, statements, ledger, writer, batch_id, connect, fill)
+
+
 def upsert(
     df: DataFrame,
     options: Mapping[str, str],
@@ -114,6 +189,7 @@ def upsert(
     writer: str,
     batch_id: int,
     connect=_connect,
+    fill=_fill,
 ) -> bool:
     """Replace the rows of the keys in ``df``; false if this batch was written before.
 
@@ -123,16 +199,10 @@ def upsert(
     """
     options = _plain(options)
     table = options["dbtable"]
-    staging, ledger = f"{table}_staging", f"{table}_batches"
-    quote = quoting(options["url"])
-    connection = connect(df, options)
-    try:
-        if last_batch(connection, ledger, writer, quote) >= batch_id:
-            return False
-        newest = latest_per_key(df, keys, order) if order else df
-        staged = {**options, "dbtable": staging}
-        newest.write.format("jdbc").options(**staged).mode("overwrite").save()
-        move(connection, upsert_statements(table, staging, ledger, df.columns, keys, quote), writer, batch_id)
-        return True
-    finally:
-        connection.close()
+    ledger = f"{table}_batches"
+    newest = latest_per_key(df, keys, order) if order else df
+
+    def statements(staging: str, quote) -> list[str]:
+        return upsert_statements(table, staging, ledger, df.columns, keys, quote)
+
+    return _once(newest, options, statements, ledger, writer, batch_id, connect, fill)

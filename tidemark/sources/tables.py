@@ -140,7 +140,8 @@ def rows_in_time(df: DataFrame, table: Table, writer: str, batch_id: int, waterm
 def write(df: DataFrame, table: Table, writer: str, batch_id: int = 0) -> None:
     """Write one batch, rows fitted to the table by position.
 
-    Files and keyed database tables take the same batch again without change.
+    Files, keyed database tables and those with the option ``ledger`` (a table of the batches
+    written) take the same batch again without change.
     """
     if not table.is_sink:
         raise ValueError(f"table {table.name} is not a sink")
@@ -152,6 +153,9 @@ def write(df: DataFrame, table: Table, writer: str, batch_id: int = 0) -> None:
     if table.connector == "jdbc":
         if table.keys:
             jdbc.upsert(rows, table.options, table.keys, table.order, writer, batch_id)
+        elif "ledger" in table.options:
+            options = dict(table.options)
+            jdbc.append_once(rows, options, options.pop("ledger"), writer, batch_id)
         else:
             jdbc.append(rows, table.options)
     elif table.connector == "kafka":
