@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
+from tidemark import files
+from tidemark.session import shared_dir
 from tidemark.streaming import savepoints
 from tidemark.streaming.settings import JobSettings
 
@@ -23,6 +26,9 @@ METRICS = (
     "delay_seconds double"
 )
 
+#: Reports of micro-batches held in memory; beyond that the older ones go to files.
+REPORTS_HELD = 1000
+
 Starter = Callable[[], StreamingQuery]
 
 
@@ -40,6 +46,10 @@ class JobHandle:
         self._parts = dict(parts)
         self._queries: dict[str, StreamingQuery] = {}
         self._progress: dict[tuple, tuple] = {}
+        self._reports: str | None = None  # folder of the reports that are no longer held
+        self._report_files = 0
+        self._reported: dict[tuple, int] = {}  # by part and run of its query: the last batch in those files
+        self._noting = threading.Lock()
         self._threads: list[threading.Thread] = []
         self._halt = threading.Event()
         self._waiting: set[str] = set()
@@ -180,17 +190,44 @@ class JobHandle:
                 times.get("watermark"),
                 _seconds_between(times.get("max"), p["timestamp"]),
             )
-            self._progress[(name, str(p["runId"]), row[3])] = row
+            with self._noting:
+                if row[3] > self._reported.get((name, str(p["runId"])), -1):
+                    self._progress[(name, str(p["runId"]), row[3])] = row
+        with self._noting:
+            if len(self._progress) > REPORTS_HELD:
+                self._put_away()
+
+    def _put_away(self) -> None:
+        """Write the reports held, but for the newest of each query, which may still change."""
+        newest: dict[tuple, int] = {}
+        for part, run, batch in self._progress:
+            newest[part, run] = max(batch, newest.get((part, run), -1))
+        done = [k for k in self._progress if k[2] < newest[k[0], k[1]]]
+        if not done:
+            return
+        self._reports = self._reports or shared_dir(self.session, "reports")
+        names = [field.split()[0] for field in METRICS.split(", ")]
+        lines = "".join(json.dumps(dict(zip(names, self._progress[k]))) + "\n" for k in done)
+        files.write_text(self.session, f"{self._reports}/{self._report_files:08d}.json", lines)
+        self._report_files += 1
+        for part, run, batch in done:
+            del self._progress[part, run, batch]
+            self._reported[part, run] = max(batch, self._reported.get((part, run), -1))
 
     def metrics(self) -> DataFrame:
-        """One row per micro-batch and part since the start.
+        """One row per micro-batch and part since the start; older ones come from files.
 
         ``delay_seconds`` is how far the newest event of the batch was behind its start;
         it needs a watermark.
         """
         for name, query in self._queries.items():
             self._note(name, query.recentProgress)
-        return self.session.createDataFrame(list(self._progress.values()), METRICS)
+        with self._noting:
+            held, folder = list(self._progress.values()), self._reports
+            # The files are listed here, so that what is put away from now on does not count twice.
+            written = [f"{folder}/{n:08d}.json" for n in range(self._report_files)]
+        rows = self.session.createDataFrame(held, METRICS)
+        return rows.unionByName(self.session.read.schema(METRICS).json(written)) if written else rows
 
     def append_metrics(self, path: str) -> None:
         """Add the rows of this run to a metrics table in files; again is the same as once."""
