@@ -2,5 +2,6 @@
 
 from tidemark.plans.job import Insert, Job, View
 from tidemark.plans.preview import is_cut, page, preview, preview_statement
+from tidemark.plans.snapshots import Snapshot, StreamPreview
 
-__all__ = ["Insert", "Job", "View", "is_cut", "page", "preview", "preview_statement"]
+__all__ = ["Insert", "Job", "Snapshot", "StreamPreview", "View", "is_cut", "page", "preview", "preview_statement"]

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Union
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from tidemark import files
 from tidemark.operators.views import align, view
 from tidemark.plans.preview import evaluate, preview, preview_statement
+from tidemark.plans.snapshots import StreamPreview
 from tidemark.session import job_session, shared_dir
 from tidemark.sources import changes
 from tidemark.sources.messages import split_undecoded
@@ -334,3 +336,26 @@ class Job:
         query = preview_statement(self.statements)
         session = self.bind(self._session(spark))
         return preview(evaluate(session, query), cap)
+
+    def preview_stream(
+        self, spark: SparkSession, order: Sequence[str], keys: Sequence[str] = (), folder: str | None = None
+    ) -> StreamPreview:
+        """Start the one SELECT or insert among the statements as a stream whose result can be looked at.
+
+        Its rows go to a table in ``folder``, by default a new shared one; started again there,
+        the stream goes on. A changing result needs the ``keys`` that tell which row replaces
+        which. Pages are in the order given.
+        """
+        query = preview_statement(self.statements)
+        session = self.bind(self._session(spark), streaming=True)
+        # Columns lose the marks of event time, which belong to the stream.
+        fields = StructType([StructField(f.name, f.dataType) for f in evaluate(session, query).schema])
+        folder = folder or shared_dir(session, f"{self.settings.name}-preview")
+        result = Table("_preview", fields, "parquet", path=f"{folder}/result", keys=tuple(keys), role="sink")
+        settings = replace(self.settings, checkpoint=self.settings.checkpoint or f"{folder}/checkpoint")
+        named = [s for s in self.statements if isinstance(s, (Table, View))]
+        insert = Insert(result.name, query, "update" if keys else "append")
+        handle = Job(settings, [*named, result, insert], static=self.static).run(spark)
+        if handle is None:
+            raise ValueError("a batch is looked at with preview")
+        return StreamPreview(handle, result, folder, order)

@@ -21,15 +21,20 @@ def page(df: DataFrame, order: Sequence[str], number: int, size: int) -> DataFra
     """Page ``number`` (from 1) of the rows in the order given, ties by the other columns.
 
     Spark keeps the first ``number * size`` rows of each task and merges those, so
-    the first pages of a large result sort little. Far pages sort more.
+    the first pages of a large result sort little. Far pages sort more; those of a
+    ``Snapshot`` do not.
     """
-    if number < 1 or size < 1:
-        raise ValueError("pages are numbered from 1 and hold at least one row")
+    check_page(number, size)
     start = (number - 1) * size
     rest = [c for c in df.columns if c not in order]
     return df.orderBy(*order, *rest).offset(start).limit(size)
 
 
+def check_page(number: int, size: int) -> None:
+    if number < 1 or size < 1:
+        raise ValueError("pages are numbered from 1 and hold at least one row")
+
+
 def preview_statement(statements: Sequence) -> "str | callable":
     """The one query to preview: a SELECT given as text or function, or the query of an insert."""
     from tidemark.plans.job import Insert, View

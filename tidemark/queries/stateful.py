@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -271,6 +273,40 @@ def stopped_and_restored(spark, folder):
     return read_back(spark, sink)
 
 
+PAGE = 20
+
+
+def preview_stream(spark, folder):
+    """Events by user as a stream goes on: the first, the middle and the last page of two snapshots.
+
+    Pages of the first are asked for after the second has been taken.
+    """
+    out = shared_dir(spark, "preview")
+    rows, _, _ = sliced(spark, folder)
+    found = "SELECT user_id, count(*) AS n, max(event_id) AS latest FROM events GROUP BY user_id"
+    job = Job(JobSettings("look", bounded=True, attached=True), [source(f"{out}/events"), found])
+    taken = []
+    for numbers in (range(2), range(2, SLICES + 1)):
+        add_slices(rows, f"{out}/events", numbers)
+        taken.append(job.preview_stream(spark, ["n", "latest"], keys=["user_id"], folder=out).snapshot())
+    pages = [
+        s.page(number, PAGE).select(F.lit(s.number).alias("snapshot"), F.lit(number).alias("page"), "user_id", "n", "latest")
+        for s in taken
+        for number in sorted({1, s.n_pages(PAGE) // 2 + 1, max(1, s.n_pages(PAGE))})
+    ]
+    return reduce(DataFrame.unionAll, pages)
+
+
+PREVIEW_SQL = f"""
+    WITH fed AS (SELECT * FROM {slice_sql()}),
+    found AS (SELECT snapshot, user_id, count(*) AS n, max(event_id) AS latest
+              FROM fed JOIN (VALUES (1, 2), (2, {SLICES + 1})) s(snapshot, upto) ON slice < upto GROUP BY snapshot, user_id),
+    placed AS (SELECT *, (row_number() OVER (PARTITION BY snapshot ORDER BY n, latest NULLS FIRST, user_id NULLS FIRST) - 1) // {PAGE} + 1 AS page,
+                      (count(*) OVER (PARTITION BY snapshot) + {PAGE - 1}) // {PAGE} AS pages
+               FROM found)
+    SELECT CAST(snapshot AS INT) AS snapshot, CAST(page AS INT) AS page, user_id, n, latest
+    FROM placed WHERE page IN (1, pages // 2 + 1, pages)"""
+
 PV_UV_SQL = f"SELECT category_id, count(*) AS pv, count(DISTINCT user_id) AS uv FROM {USER_LOG_SQL} GROUP BY category_id"
 
 CATALOG = {
@@ -285,4 +321,5 @@ CATALOG = {
     ),
     "carried_over": (carried_over, CARRIED_SQL),
     "stopped_and_restored": (stopped_and_restored, PV_UV_SQL),
+    "preview_stream": (preview_stream, PREVIEW_SQL),
 }

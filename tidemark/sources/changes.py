@@ -55,6 +55,15 @@ def note_restore(spark: SparkSession, path: str, writer: str, parent: str, last:
     files.write_text(spark, f"{path}/_restored/{writer}.json", json.dumps({"parent": parent, "last": last}))
 
 
+def counted(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """How many batches of each run count, and the last of them."""
+    held: dict[str, list[int]] = {}
+    for writer, batch in map(_place, _counted(spark, path)):
+        n, last = held.get(writer, (0, -1))
+        held[writer] = [n + 1, max(last, batch)]
+    return held
+
+
 def _counted(spark: SparkSession, path: str) -> list[str]:
     """Folders of complete batches, but those that a restored run has superseded."""
     ends: dict[str, int] = {}
