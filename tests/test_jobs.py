@@ -382,6 +382,28 @@ def test_metrics_table(spark, data, tmp_path):
     assert back.count() == 3
     assert back.agg(F.sum("rows_in")).first()[0] == feeds.events(data).num_rows
     assert job_status(spark, {"job": handle}, ["job"]).first().status == "FINISHED"
+    written = sum(f.stat().st_size for f in (tmp_path / "out").rglob("*.parquet"))
+    assert back.agg(F.sum("rows_out")).first()[0] == feeds.events(data).num_rows
+    assert written <= back.agg(F.sum("bytes_out")).first()[0] <= written + 10_000  # and small marks beside them
+
+
+def test_rows_out_of_each_part(spark, data, tmp_path):
+    """A shared pass over two sinks, one of which gets nothing, and a part with state of its own."""
+    feeds.in_files(tmp_path / "in", feeds.events(data), 2)
+    views, none, per_type = sink(tmp_path, "event_id bigint", name="views"), sink(tmp_path, "event_id bigint", name="none"), sink(
+        tmp_path, "event_type string, n bigint", ("event_type",), "per_type"
+    )
+    statements = [
+        feeds.source(tmp_path / "in"), views, none, per_type,
+        Insert("views", "SELECT event_id FROM events WHERE event_type = 'view'"),
+        Insert("none", "SELECT event_id FROM events WHERE 1 = 0"),
+        Insert("per_type", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type", "update"),
+    ]
+    handle = Job(settings(tmp_path), statements).run(spark)
+    report = {r.part: r for r in handle.metrics().groupBy("part").agg(F.sum("rows_in").alias("i"), F.sum("rows_out").alias("o")).collect()}
+    kinds = feeds.events(data)["event_type"].to_pylist()
+    assert report["shared"].o == kinds.count("view") and report["insert-2"].o == 2 * len(set(kinds))
+    assert read_back(spark, none).count() == 0
 
 
 def test_created_before_started(spark, tmp_path):

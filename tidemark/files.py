@@ -42,6 +42,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    hadoop, fs = _path(spark, path)
+    return fs.getContentSummary(hadoop).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder that this job has made."""
     hadoop, fs = _path(spark, path)

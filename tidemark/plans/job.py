@@ -232,11 +232,11 @@ class Job:
 
         handles: list[JobHandle] = []
 
-        def starter(part: str, df: DataFrame, mode: str, each: Callable[[DataFrame, int], None]):
+        def starter(part: str, df: DataFrame, mode: str, each: Callable[[DataFrame, int], list]):
             def each_noted(batch: DataFrame, batch_id: int) -> None:
-                each(batch, batch_id)
-                for handle in handles:
-                    handle.note_last(part)
+                written = each(batch, batch_id)
+                handles[0].note_out(part, batch_id, written)
+                handles[0].note_last(part)
 
             def begin():
                 return (
@@ -257,7 +257,8 @@ class Job:
 
             lateness = Watermark(session, f"{checkpoint}/late-{source.name}", source.lateness)
 
-            def all_inserts(batch: DataFrame, batch_id: int) -> None:
+            def all_inserts(batch: DataFrame, batch_id: int) -> list:
+                written = []
                 many = len(chosen) > 1 or source.undecoded or source.late
                 if many:
                     batch.persist()
@@ -268,12 +269,13 @@ class Job:
                     inner = self.bind(batch.sparkSession, given={source.name: rows})
                     for n, insert in chosen:
                         df = evaluate(inner, insert.query)
-                        self._write(df, self.tables[insert.target], self._label(writer, n, inserts), batch_id)
+                        written.append(self._write(df, self.tables[insert.target], self._label(writer, n, inserts), batch_id))
                     if source.late:
                         lateness.after(batch_id, newest_time(good, source.event_time))
                 finally:
                     if many:
                         batch.unpersist()
+                return written
 
             parts["shared"] = starter("shared", read(session, source, streaming=True), "append", all_inserts)
         for n in alone:
@@ -282,7 +284,7 @@ class Job:
                 names[n],
                 results[n],
                 inserts[n].mode,
-                lambda batch, batch_id, target=target, label=label: self._write(batch, target, label, batch_id),
+                lambda batch, batch_id, target=target, label=label: [self._write(batch, target, label, batch_id)],
             )
         for table in aside:
             _, bad = split_undecoded(read(session, table, streaming=True))
@@ -290,9 +292,9 @@ class Job:
                 f"undecoded-{table.name}",
                 bad,
                 "append",
-                lambda batch, batch_id, path=table.undecoded: changes.write_batch(
-                    batch, path, "parquet", writer, batch_id
-                ),
+                lambda batch, batch_id, path=table.undecoded: [
+                    (0, changes.write_batch(batch, path, "parquet", writer, batch_id))
+                ],
             )
         handles.append(JobHandle(session, self.settings, checkpoint, parts))
         return handles[0]
@@ -318,11 +320,12 @@ class Job:
         return None
 
     @staticmethod
-    def _write(df: DataFrame, target: Table, label: str, batch_id: int) -> None:
+    def _write(df: DataFrame, target: Table, label: str, batch_id: int) -> tuple[int, int | None]:
         """One micro-batch; now and then the folders of a keyed table in files are folded into a snapshot."""
-        write(df, target, label, batch_id)
+        written = write(df, target, label, batch_id)
         if target.keys and target.path and target.encoding is None and batch_id % SNAPSHOT_EVERY == SNAPSHOT_EVERY - 1:
             changes.snapshot(df.sparkSession, target.path, target.connector, target.fields, target.keys, target.order)
+        return written
 
     def _writer(self, session: SparkSession, checkpoint: str, new: bool = False) -> str:
         """The label of this run: kept in the checkpoint, so restarts go on under it. A restored run has a new one."""

@@ -192,7 +192,7 @@ def job_overview(spark, folder):
     _, handle = run_into(
         spark, folder, "overview", "user_id string, behavior string", (), "SELECT user_id, behavior FROM user_log", "append"
     )
-    report = handle.metrics().groupBy("job").agg(F.sum("rows_in").alias("rows_in"), F.sum("late_rows").alias("late_rows"))
+    report = handle.metrics().groupBy("job").agg(F.sum("rows_in").alias("rows_in"), F.sum("late_rows").alias("late_rows"), F.sum("rows_out").alias("rows_out"))
     return report.withColumn("status", F.lit(handle.status()))
 
 
@@ -225,6 +225,6 @@ CATALOG = {
     ),
     "job_overview": (
         job_overview,
-        "SELECT 'overview' AS job, count(*) AS rows_in, 0 AS late_rows, 'FINISHED' AS status FROM events",
+        "SELECT 'overview' AS job, count(*) AS rows_in, 0 AS late_rows, count(*) AS rows_out, 'FINISHED' AS status FROM events",
     ),
 }

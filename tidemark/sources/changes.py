@@ -29,8 +29,11 @@ def new_writer(job: str) -> str:
     return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{job}"
 
 
-def write_batch(df: DataFrame, path: str, fmt: str, writer: str, batch_id: int) -> None:
-    df.write.format(fmt).mode("overwrite").save(f"{path}/writer={writer}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, fmt: str, writer: str, batch_id: int) -> int:
+    """Returns the bytes of the batch's files."""
+    folder = f"{path}/writer={writer}/batch_id={batch_id}"
+    df.write.format(fmt).mode("overwrite").save(folder)
+    return files.size(df.sparkSession, folder)
 
 
 def _stamped(schema: StructType | str) -> StructType:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -137,8 +137,8 @@ def rows_in_time(df: DataFrame, table: Table, writer: str, batch_id: int, waterm
     return in_time
 
 
-def write(df: DataFrame, table: Table, writer: str, batch_id: int = 0) -> None:
-    """Write one batch, rows fitted to the table by position.
+def write(df: DataFrame, table: Table, writer: str, batch_id: int = 0) -> tuple[int, int | None]:
+    """Write one batch, rows fitted to the table by position; how many rows, and bytes if it is in files.
 
     Files, keyed database tables and those with the option ``ledger`` (a table of the batches
     written) take the same batch again without change.
@@ -150,12 +150,18 @@ def write(df: DataFrame, table: Table, writer: str, batch_id: int = 0) -> None:
         rows = encode_json(rows, key=table.keys[0] if len(table.keys) == 1 else None)
     elif table.encoding == "raw":
         rows = encode_raw(rows)
+    # Rows are counted on their way, in the job that writes them.
+    counted = Observation()
+    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+    size = None
     if table.connector == "jdbc":
         if table.keys:
-            jdbc.upsert(rows, table.options, table.keys, table.order, writer, batch_id)
+            if not jdbc.upsert(rows, table.options, table.keys, table.order, writer, batch_id):
+                return 0, None
         elif "ledger" in table.options:
             options = dict(table.options)
-            jdbc.append_once(rows, options, options.pop("ledger"), writer, batch_id)
+            if not jdbc.append_once(rows, options, options.pop("ledger"), writer, batch_id):
+                return 0, None
         else:
             jdbc.append(rows, table.options)
     elif table.connector == "kafka":
@@ -165,7 +171,8 @@ def write(df: DataFrame, table: Table, writer: str, batch_id: int = 0) -> None:
     else:
         if table.path is None:
             raise ValueError(f"table {table.name} has no path")
-        changes.write_batch(rows, table.path, table.connector, writer, batch_id)
+        size = changes.write_batch(rows, table.path, table.connector, writer, batch_id)
+    return counted.get["rows"], size
 
 
 def read_back(spark: SparkSession, table: Table) -> DataFrame:

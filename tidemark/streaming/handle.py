@@ -23,7 +23,7 @@ FINAL = ("NONE", "FAILED", "CANCELED", "FINISHED")
 METRICS = (
     "job string, part string, run_id string, batch_id long, started string, duration_ms long, "
     "rows_in long, rows_per_second double, state_rows long, late_rows long, watermark string, "
-    "delay_seconds double"
+    "delay_seconds double, rows_out long, bytes_out long"
 )
 
 #: Reports of micro-batches held in memory; beyond that the older ones go to files.
@@ -48,6 +48,7 @@ class JobHandle:
         self._progress: dict[tuple, tuple] = {}
         self._reports: str | None = None  # folder of the reports that are no longer held
         self._report_files = 0
+        self._out: dict[tuple, list] = {}  # by part and batch: rows and bytes written
         self._reported: dict[tuple, int] = {}  # by part and run of its query: the last batch in those files
         self._noting = threading.Lock()
         self._threads: list[threading.Thread] = []
@@ -173,6 +174,13 @@ class JobHandle:
         if report is not None:
             self._note(name, [report])
 
+    def note_out(self, name: str, batch_id: int, written: Iterable[tuple[int, int | None]]) -> None:
+        """Keep the (rows, bytes) that a batch has written into its sinks; a replay takes their place."""
+        counts = list(written)
+        known = [size for _, size in counts if size is not None]
+        with self._noting:
+            self._out[name, batch_id] = [sum(n for n, _ in counts), sum(known) if known else None]
+
     def _note(self, name: str, reports: Iterable[StreamingQueryProgress]) -> None:
         for p in reports:
             operators, times = p["stateOperators"] or [], p["eventTime"] or {}
@@ -191,6 +199,7 @@ class JobHandle:
                 _seconds_between(times.get("max"), p["timestamp"]),
             )
             with self._noting:
+                row += tuple(self._out.get((name, row[3]), (None, None)))
                 if row[3] > self._reported.get((name, str(p["runId"])), -1):
                     self._progress[(name, str(p["runId"]), row[3])] = row
         with self._noting:
@@ -212,13 +221,15 @@ class JobHandle:
         self._report_files += 1
         for part, run, batch in done:
             del self._progress[part, run, batch]
+            self._out.pop((part, batch), None)
             self._reported[part, run] = max(batch, self._reported.get((part, run), -1))
 
     def metrics(self) -> DataFrame:
         """One row per micro-batch and part since the start; older ones come from files.
 
         ``delay_seconds`` is how far the newest event of the batch was behind its start;
-        it needs a watermark.
+        it needs a watermark. ``rows_out`` counts the rows handed to the sinks of the part, but for
+        batches that a ledger has already; ``bytes_out`` is the size of their files, null without files.
         """
         for name, query in self._queries.items():
             self._note(name, query.recentProgress)
