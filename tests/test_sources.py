@@ -160,6 +160,31 @@ def test_snapshot_changes_nothing_but_the_folders_read(spark, tmp_path):
     assert not any("batch_id=3" in name or "batch_id=0" in name for name in back.inputFiles())
 
 
+def test_folded_folders_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(changes, "SNAPSHOTS_KEPT", 2)
+    sink = keyed(tmp_path)
+    for number in range(12):
+        write(spark.createDataFrame([("c1", number, 1), (f"k{number}", number, 2)], PV_UV), sink, "run-1", number)
+        if number % 3 == 2:
+            changes.snapshot(spark, sink.path, "parquet", PV_UV, ["category_id"])
+    wanted = sorted([("c1", 11, 1)] + [(f"k{n}", n, 2) for n in range(12)])
+    assert state(spark, sink) == wanted
+    left = sorted(int(p.name.split("=")[1]) for p in (tmp_path / "pvuv" / "writer=run-1").iterdir())
+    assert left == [9, 10, 11]
+    assert sorted(p.name for p in (tmp_path / "pvuv" / "_snapshots").iterdir() if p.is_dir()) == ["3", "4"]
+    assert changes._folded(spark, changes.newest_snapshot(spark, sink.path)) == {"run-1": [[0, 11]]}
+    # A run restored to a batch after the oldest kept snapshot finds all it needs; one before it is told.
+    changes.note_restore(spark, sink.path, "run-2", "run-1", 9)
+    assert state(spark, sink) == sorted([("c1", 9, 1)] + [(f"k{n}", n, 2) for n in range(10)])
+    write(spark.createDataFrame([("c1", 50, 9)], PV_UV), sink, "run-2", 0)
+    changes.snapshot(spark, sink.path, "parquet", PV_UV, ["category_id"])
+    assert ("c1", 50, 9) in state(spark, sink) and ("k11", 11, 2) not in state(spark, sink)
+    assert changes._folded(spark, changes.newest_snapshot(spark, sink.path)) == {"run-1": [[0, 9]], "run-2": [[0, 0]]}
+    changes.note_restore(spark, sink.path, "run-3", "run-1", 4)
+    with pytest.raises(ValueError, match="batches are gone"):
+        state(spark, sink)
+
+
 def test_half_written_batches_are_not_read(spark, tmp_path):
     sink = keyed(tmp_path)
     write(spark.createDataFrame([("c1", 1, 1)], PV_UV), sink, "run-1", 0)
