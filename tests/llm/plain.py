@@ -6,6 +6,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+from tidemark.llm.secrets import WEAK
+
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -62,6 +64,24 @@ def secrets(text):
     return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in sorted(spans))
 
 
+def credential_links(text, scope=200):
+    """Spans as (start, rank, kind, end): the weak ones with a part that completes them, and all (span, part)."""
+    strong = [(int(s), ("assign", "access", "hex").index(k), k, int(e)) for k, s, e in (x.split(":") for x in secrets(text).split(",") if x)]
+    weak = []
+    for rank, (kind, regex, _, least, _) in enumerate(WEAK, 3):
+        for m in re.finditer(regex, text or "", re.A):
+            if len(m[0]) >= least and not any(s <= m.start() < e for s, _, _, e in strong):
+                weak.append((m.start(), rank, kind, m.end()))
+    role = lambda span: ("secret", "id", "secret", "id", "secret", "endpoint")[span[1]]
+    links = []
+    for span in strong + weak:
+        for wanted in ("id", "endpoint") if role(span) == "secret" else ("secret",):
+            near = min(((abs(p[0] - span[0]), p) for p in strong + weak if role(p) == wanted), default=None)
+            if near and near[0] <= scope:
+                links.append((*span, near[1]))
+    return sorted({x[:4] for x in links} & set(weak)), sorted(links)
+
+
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 

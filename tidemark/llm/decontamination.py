@@ -30,6 +30,18 @@ def _prints(words: Column, width: int) -> Column:
     return let(words, lambda w: let(_grams(w, GRAM), lambda hashes: winnow(hashes, width)))
 
 
+def _anchors(words: Column, width: int) -> Column:
+    """(print, at) for the least gram of every ``width`` neighbours, the first of equal ones; places from 0."""
+
+    def placed(hashes: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - (width - 1), F.lit(1)))
+        near = lambda i: F.slice(hashes, i, width)
+        least = lambda i: let(near(i), lambda s: let(F.array_min(s), lambda m: F.struct(m.alias("print"), (F.array_position(s, m).cast("int") + i - 2).alias("at"))))
+        return F.array_distinct(F.transform(starts, least))
+
+    return let(words, lambda w: let(_grams(w, GRAM), placed))
+
+
 def _loosely_lower(text: Column) -> Column:
     """Equal for texts that are equal after lower-casing A-Z, and quick; it may also join others.
 
@@ -38,10 +50,15 @@ def _loosely_lower(text: Column) -> Column:
     return F.lower(F.replace(text, F.lit("Σ"), F.lit("σ")))
 
 
-def _runs(words: Column, size: Column | int) -> Column:
-    """(at, run) for each run of ``size`` words, from 0."""
+def _runs(words: Column, size: Column | int, anchors: Column | None = None) -> Column:
+    """(at, run) for each run of ``size`` words, from 0; with ``anchors`` only those around a gram that begins there."""
     last = F.size(words) - size
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    if anchors is None:
+        every = F.sequence(F.lit(0), last)
+    else:
+        around = lambda a: F.sequence(F.greatest(a + GRAM - size, F.lit(0)), F.least(a, last))
+        every = F.array_distinct(F.flatten(F.transform(anchors, around)))
+    starts = F.when(last >= 0, every).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.struct(i.alias("at"), F.concat_ws(" ", F.slice(words, i + 1, size)).alias("run")))
 
 
@@ -65,14 +82,16 @@ def decontaminate(
     word is hit if it lies within any occurrence of a window; ``items`` are the ids, as
     sorted strings, of the items with occurring windows.
 
-    Fingerprints of both sides meet first; documents without a common one cannot share a
-    window and are done. The others are compared by the words of each window. Items of
-    fewer words than ``window`` have no winnowing guarantee: all runs of their length are
-    looked up in all documents.
+    Fingerprints of both sides meet first, a document's with their places. Documents without a
+    common one cannot share a window and are done. In the others each common fingerprint is
+    extended to the windows around it, which are compared by their words: two equal windows have
+    the same least gram, and it is kept in both. Items of fewer words than ``window`` have no
+    winnowing guarantee: all runs of their length are looked up in all documents.
 
     A null or empty text has no words; an item without words, or without an id, has no windows.
     Rows with equal id and text have equal results. A null document id is carried through.
-    Only the named columns of either table are read.
+    Only the named columns of either table are read. Without documents the result is empty;
+    without items no word is hit.
     """
     width = window - GRAM + 1
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), words_of(ascii_lower(F.coalesce(item_text_col, F.lit("")))).alias("w"))
@@ -85,20 +104,21 @@ def decontaminate(
     loose = words_of(_loosely_lower(F.col(BODY)))
     long_items = items.where(F.size("w") >= window).select(_loosely_lower(F.concat_ws(" ", "w")).alias("t"))
     prints = long_items.select(F.explode(_prints(words_of(F.col("t")), width)).alias("print")).distinct()
-    ours = rows.select(KEY, TWIN, F.explode(_prints(loose, width)).alias("print"))
+    ours = rows.select(KEY, TWIN, F.explode(_anchors(loose, width)).alias("anchor")).select(KEY, TWIN, "anchor.*")
     n_prints = counts.get(window, 0) * 2  # an item has fewer fingerprints than windows + 1, and a window at least
-    suspects = ours.join(_small(prints, n_prints), "print").select(KEY, TWIN).distinct()
+    met = ours.join(_small(prints, n_prints), "print")
+    suspects = met.groupBy(KEY, TWIN).agg(F.collect_set("at").alias("anchors"))  # fewer than the text has words
 
-    def hits(texts: DataFrame, length: int) -> DataFrame:
+    def hits(texts: DataFrame, length: int, anchors: Column | None = None) -> DataFrame:
         """Occurrences of item windows of ``length`` words."""
-        found = let(words_of(ascii_lower(F.col(BODY))), lambda w: _runs(w, length))
+        found = let(words_of(ascii_lower(F.col(BODY))), lambda w: _runs(w, length, anchors))
         runs = texts.select(KEY, TWIN, F.explode(found).alias("pair")).select(KEY, TWIN, "pair.*")
         wanted = item_runs.where(F.col("len") == length).select("item", "run")
         return runs.join(_small(wanted, counts.get(length, 0)), "run").select(KEY, TWIN, "at", F.lit(length).alias("len"), "item")
 
     s, r = suspects.alias("s"), rows.alias("r")
-    suspected = r.join(s, F.expr(f"r.{KEY} <=> s.{KEY} AND r.{TWIN} = s.{TWIN}"), "left_semi")
-    found = hits(suspected, window)
+    suspected = r.join(s, F.expr(f"r.{KEY} <=> s.{KEY} AND r.{TWIN} = s.{TWIN}")).select(f"r.{KEY}", f"r.{TWIN}", BODY, "anchors")
+    found = hits(suspected, window, F.col("anchors"))
     for length in sorted(set(counts) - {window}):
         found = found.unionByName(hits(rows, length))
 

@@ -12,7 +12,7 @@ from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.merges import count_tokens
 from tidemark.llm.probminhash import near_duplicates
 from tidemark.llm.quality_rules import apply_rules
-from tidemark.llm.secrets import listed, scan_secrets
+from tidemark.llm.secrets import links_listed, listed, scan_secrets
 from tidemark.llm.substring import drop_repeats
 from tidemark.llm.suffixes import drop_repeated_bytes
 from tidemark.llm.tokens import encode_corpus
@@ -39,6 +39,7 @@ def op2_secrets(spark, folder):
         F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
         listed(every).alias("spans"),
         F.size("linked").cast("long").alias("n_linked"),
+        links_listed(F.col("links")).alias("links"),
     )
 
 

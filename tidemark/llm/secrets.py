@@ -28,9 +28,9 @@ WEAK = (
     ),
     ("endpoint", r"((?:[a-z][a-z0-9+]{1,9}://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+)|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]+)?(?![0-9.]))", 1, 7, r"://|[0-9]\.[0-9]"),
 )
-#: What a kind of span is a part of, and the parts that confirm a weak one.
+#: What a kind of span is a part of, and the parts that complete each of them.
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "weak_id": "id", "weak_secret": "secret", "endpoint": "endpoint"}
-CONFIRMS = {"weak_id": ("secret",), "weak_secret": ("id", "endpoint"), "endpoint": ("secret",)}
+COMPLETES = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secret",)}
 ORDER = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
 
 
@@ -63,28 +63,27 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def _linked(base: DataFrame, weak: DataFrame, scope: int) -> DataFrame:
-    """Weak spans with a complementary part that starts at most ``scope`` code points away.
+def _rank() -> Column:
+    return F.create_map(*[x for i, kind in enumerate(ORDER) for x in (F.lit(kind), F.lit(i))])[F.col("kind")]
 
-    Each weak span looks up its own stretch of ``scope`` code points and the two beside it.
-    Of a role's parts in a stretch only the first and last start matter, so the join meets
-    three rows for each span and role, however many parts there are.
+
+def _linked(every: DataFrame, scope: int) -> DataFrame:
+    """Spans with the nearest part of each role that completes them, if it starts at most ``scope`` code points away.
+
+    An interval join: each span looks up its own stretch of ``scope`` code points and the two
+    beside it. Parts of a role in a stretch come as one row, and no more of them than a stretch
+    has places to start, so the join meets three rows for each span and role.
     """
     role = F.create_map(*[F.lit(x) for pair in ROLE.items() for x in pair])
-    every = base.unionByName(weak).withColumn("role", role[F.col("kind")])
-    parts = every.groupBy(KEY, TWIN, "role", F.floor(F.col("start") / scope).alias("stretch"))
-    parts = parts.agg(F.min("start").alias("first"), F.max("start").alias("last"))
-    needs = F.create_map(*[x for kind, roles in CONFIRMS.items() for x in (F.lit(kind), F.array(*[F.lit(r) for r in roles]))])
-    asks = weak.withColumn("role", F.explode(needs[F.col("kind")]))
+    every = every.withColumn("role", role[F.col("kind")]).withColumn("rank", _rank())
     at = F.floor(F.col("start") / scope)
-    asks = asks.withColumn("own", at).withColumn("look", F.explode(F.array(at - 1, at, at + 1)))
-    near = (
-        (F.col("look") == F.col("own"))
-        | ((F.col("look") < F.col("own")) & (F.col("start") - F.col("last") <= scope))
-        | ((F.col("look") > F.col("own")) & (F.col("first") - F.col("start") <= scope))
-    )
-    joined = asks.alias("a").join(parts.alias("p"), F.expr(f"a.{KEY} <=> p.{KEY} AND a.{TWIN} = p.{TWIN} AND a.role = p.role AND a.look = p.stretch"))
-    return joined.where(near).select(F.col(f"a.{KEY}").alias(KEY), F.col(f"a.{TWIN}").alias(TWIN), "kind", "start", "end").distinct()
+    parts = every.groupBy(KEY, TWIN, "role", at.alias("stretch")).agg(F.collect_list(F.struct("start", "rank", "kind", "end")).alias("parts"))
+    needs = F.create_map(*[x for own, roles in COMPLETES.items() for x in (F.lit(own), F.array(*[F.lit(r) for r in roles]))])
+    asks = every.withColumn("wanted", F.explode(needs[F.col("role")])).withColumn("look", F.explode(F.array(at - 1, at, at + 1)))
+    same = f"a.{KEY} <=> p.{KEY} AND a.{TWIN} = p.{TWIN} AND a.wanted = p.role AND a.look = p.stretch"
+    distances = "transform(p.parts, x -> struct(abs(x.start - a.start) AS far, x.start AS start, x.rank AS rank, x.kind AS kind, x.end AS end))"
+    met = asks.alias("a").join(parts.alias("p"), F.expr(same)).withColumn("near", F.expr(f"array_min({distances})")).where(F.col("near.far") <= scope)
+    return met.groupBy(F.col(f"a.{KEY}").alias(KEY), F.col(f"a.{TWIN}").alias(TWIN), "kind", "start", "end", "wanted").agg(F.min("near").alias("near")).drop("wanted")
 
 
 def _outside(base: DataFrame, weak: DataFrame) -> DataFrame:
@@ -96,35 +95,51 @@ def _outside(base: DataFrame, weak: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, scope: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, base, linked) for every row: arrays of (start, rank, kind, end), in that order.
+    """(doc_id, base, linked, links) for every row: arrays of (start, rank, kind, end), in that order.
 
     ``base`` has the strong spans: assignments to names of secrets, access ids and long hex
     runs. Weak candidates (account names, mixed tokens, endpoints) are in ``linked`` only
     where a complementary part lies within ``scope`` code points: an id or an endpoint for
     a token, a secret for an account name or an endpoint. One that begins in a strong span
-    is no candidate.
+    is no candidate. ``links`` tell what goes with what: each span of either kind, and as
+    ``part`` the nearest one of each role that completes it within ``scope``; of two at one
+    distance the one that starts first, then the one whose kind comes first.
 
     A null or empty text has no spans. Rows with equal id and text have equal results; rows
     of one id with different texts are kept apart. A null id is carried through. Only the two
-    named columns are read.
+    named columns are read. An empty table gives an empty table.
     """
     rows = keyed(docs, id_col, text_col)
     base = _union([_matches(rows, *rule) for rule in STRONG])
     weak = _outside(base, _union([_matches(rows, *rule) for rule in WEAK]))
-    rank = F.create_map(*[x for i, kind in enumerate(ORDER) for x in (F.lit(kind), F.lit(i))])
-
-    def entry(wanted: Column) -> Column:
-        span = F.struct("start", rank[F.col("kind")].alias("rank"), "kind", "end")
-        return F.sort_array(F.collect_list(F.when(wanted, span)))
-
-    strong = F.col("kind").isin(*[rule[0] for rule in STRONG])
-    spans = base.unionByName(_linked(base, weak, scope)).groupBy(KEY, TWIN).agg(entry(strong).alias("base"), entry(~strong).alias("linked"))
+    found = _linked(base.unionByName(weak), scope)
+    span, strong = F.struct("start", _rank().alias("rank"), "kind", "end"), F.col("kind").isin(*[rule[0] for rule in STRONG])
+    link = F.struct(*[span[c].alias(c) for c in ("start", "rank", "kind", "end")], F.struct(*[F.col(f"near.{c}").alias(c) for c in ("start", "rank", "kind", "end")]).alias("part"))
+    has_part = F.col("near").isNotNull()
+    gathered = base.unionByName(found, allowMissingColumns=True).groupBy(KEY, TWIN)
+    spans = gathered.agg(
+        F.sort_array(F.collect_list(F.when(~has_part, span))).alias("base"),
+        F.sort_array(F.collect_set(F.when(has_part & ~strong, span))).alias("linked"),
+        F.sort_array(F.collect_list(F.when(has_part, link))).alias("links"),
+    )
     rows, spans = rows.select(KEY, TWIN).alias("r"), spans.alias("s")
     joined = rows.join(spans, F.expr(f"r.{KEY} <=> s.{KEY} AND r.{TWIN} = s.{TWIN}"), "left")
-    nothing = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
-    return joined.select(F.col(f"r.{KEY}").alias("doc_id"), F.coalesce("base", nothing).alias("base"), F.coalesce("linked", nothing).alias("linked"))
+    fields = "start:bigint,rank:int,kind:string,end:bigint"
+    some = lambda name, kind: F.coalesce(name, F.array().cast(f"array<{kind}>")).alias(name)
+    return joined.select(
+        F.col(f"r.{KEY}").alias("doc_id"),
+        some("base", f"struct<{fields}>"),
+        some("linked", f"struct<{fields}>"),
+        some("links", f"struct<{fields},part:struct<{fields}>>"),
+    )
 
 
 def listed(spans: Column) -> Column:
     """kind:start:end, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def links_listed(links: Column) -> Column:
+    """kind:start:end>kind:start:end for each link, joined by commas."""
+    one = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    return F.array_join(F.transform(links, lambda x: F.concat_ws(">", one(x), one(x["part"]))), ",")
