@@ -35,9 +35,10 @@ def _anchors(words: Column, width: int) -> Column:
 
     def placed(hashes: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - (width - 1), F.lit(1)))
-        near = lambda i: F.slice(hashes, i, width)
-        least = lambda i: let(near(i), lambda s: let(F.array_min(s), lambda m: F.struct(m.alias("print"), (F.array_position(s, m).cast("int") + i - 2).alias("at"))))
-        return F.array_distinct(F.transform(starts, least))
+        first = lambda near, i: F.array_position(near, F.array_min(near)).cast("int") + i - 2
+        # Places are made distinct, not pairs: Spark compares each of an array's structs with all others.
+        places = F.array_distinct(F.transform(starts, lambda i: first(F.slice(hashes, i, width), i)))
+        return F.transform(places, lambda at: F.struct(F.get(hashes, at).alias("print"), at.alias("at")))
 
     return let(words, lambda w: let(_grams(w, GRAM), placed))
 
