@@ -1,13 +1,18 @@
 """User functions."""
 
+import pickle
 import sys
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql.types import DoubleType, LongType
 
 from tidemark.functions import UserAggregate, aggregate_by_key, register
+from tidemark.functions.registry import partial_states
+from tidemark.queries.relational import Mean as StreamMean
+from tidemark.queries.stateful import Count, CountAndLargest, MeanOfCents
 from tidemark.session import job_session
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -115,3 +120,22 @@ def test_aggregate_keeps_large_integer_keys_beside_nulls(spark):
     df = spark.createDataFrame(rows, "k bigint, v bigint").repartition(3)
     found = aggregate_by_key(df, ["k"], "v", Sum(), "s", LongType()).collect()
     assert sorted(map(tuple, found), key=repr) == sorted([(2**53, 9), (2**53 + 1, 2), (None, 20)], key=repr)
+
+
+@pytest.mark.parametrize("aggregate", [StreamMean(), MeanOfCents(), Count(), CountAndLargest()], ids=lambda a: type(a).__name__)
+def test_many_groups_at_once_get_what_each_gets_alone(aggregate):
+    values = pd.Series([1.25, None, 2.5, 7.75, None, -3.0, 2.5])
+    groups = np.array([2, 0, 1, 2, 3, 1, 2])
+    alone = [aggregate.add(aggregate.start(), values[groups == g]) for g in range(4)]
+    assert list(aggregate.add_each(values, groups, 4)) == alone == list(UserAggregate.add_each(aggregate, values, groups, 4))
+
+
+def test_partial_states_call_an_aggregate_once_for_many_keys(spark):
+    class Calls(Mean):
+        """How many calls made the states."""
+
+        def add_each(self, values, groups, count):
+            return [(1.0 / count, 1)] * count
+
+    found = partial_states(spark.range(5000, numPartitions=1), ["id"], "id", Calls()).collect()
+    assert len(found) == 5000 and sum(pickle.loads(r["_state"])[0] for r in found) == pytest.approx(1)

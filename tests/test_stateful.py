@@ -215,6 +215,16 @@ def test_user_aggregates_over_batches_and_a_restart(spark, tmp_path):
     assert rows(read_back(spark, out)) == rows(wanted)
 
 
+def test_many_keys_share_values_of_state(spark, tmp_path):
+    out = sink(tmp_path, "user bigint, n double", ("user",))
+    query = lambda s: aggregate_running(s.table("events"), ["user"], "value", Count(), "n", DoubleType(), buckets=4)
+    for number in range(2):
+        add(tmp_path / "in", number, [(n, n, n % 200, "a", 1.0) for n in range(300)])
+    handle = run(spark, tmp_path, [source(tmp_path, MINUTE), out, Insert("out", query, "update")])
+    assert rows(read_back(spark, out)) == sorted([(u, 4.0 if u < 100 else 2.0) for u in range(200)], key=repr)
+    assert max(r.state_rows for r in handle.metrics().collect()) <= 4
+
+
 def test_a_changed_job_goes_on_with_the_old_counts(spark, tmp_path):
     from pyspark.sql.types import ArrayType
 

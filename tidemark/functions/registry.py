@@ -10,6 +10,7 @@ import pickle
 from collections.abc import Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,17 @@ class UserAggregate:
     def add(self, state: Any, values: pd.Series) -> Any:
         raise NotImplementedError
 
+    def add_each(self, values: pd.Series, groups: np.ndarray, count: int) -> Sequence[Any]:
+        """The states of ``count`` groups, each of its own values alone; ``groups`` has the group of each value.
+
+        One ``add`` for each group. Where groups are many and small that call is most of the work:
+        override this with sums over all groups at once.
+        """
+        order = np.argsort(groups, kind="stable")
+        ends = np.cumsum(np.bincount(groups, minlength=count)).tolist()
+        sorted_values = values.iloc[order]
+        return [self.add(self.start(), sorted_values.iloc[begin:end]) for begin, end in zip([0, *ends], ends)]
+
     def merge(self, state: Any, other: Any) -> Any:
         raise NotImplementedError
 
@@ -81,8 +93,8 @@ def partial_states(df: DataFrame, keys: Sequence[str], column: str, aggregate: U
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: dict[tuple, Any] = {}
         for table in gathered(batches):
-            for key, values in by_key(table):
-                states[key] = aggregate.add(states.get(key, aggregate.start()), values)
+            for key, state in by_key(table):
+                states[key] = aggregate.merge(states[key], state) if key in states else state
             # Hand states on before they fill the worker; they are merged later anyway.
             if len(states) > 100_000:
                 yield packed(states)
@@ -100,15 +112,17 @@ def partial_states(df: DataFrame, keys: Sequence[str], column: str, aggregate: U
         if held:
             yield pa.Table.from_batches(held)
 
-    def by_key(table: pa.Table) -> Iterator[tuple[tuple, pd.Series]]:
-        """Rows by key. Keys stay Arrow values: pandas would turn integers beside a null into floats."""
+    def by_key(table: pa.Table) -> Iterator[tuple[tuple, Any]]:
+        """A state for each key. Keys stay Arrow values: pandas would turn integers beside a null into floats."""
         codes = pd.DataFrame(
             {i: table.column(k).combine_chunks().dictionary_encode("encode").indices.to_numpy() for i, k in enumerate(keys)}
         )
-        values = table.column("_value").to_pandas()
-        for rows in codes.groupby(list(codes.columns), sort=False).indices.values():
-            key = tuple(plain(table.column(k)[int(rows[0])].as_py()) for k in keys)
-            yield key, values.iloc[rows]
+        groups = codes.groupby(list(codes.columns), sort=False).ngroup().to_numpy()
+        count = int(groups.max()) + 1 if len(groups) else 0
+        first = np.empty(count, np.int64)
+        first[groups[::-1]] = np.arange(len(groups))[::-1]  # what is written last stays: the first row
+        found = zip(*[map(plain, table.column(k).take(pa.array(first)).to_pylist()) for k in keys])
+        yield from zip(found, aggregate.add_each(table.column("_value").to_pandas(), groups, count))
 
     def plain(value: Any) -> Any:
         """One NaN for all, so that equal keys meet in a dictionary."""

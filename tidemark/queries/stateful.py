@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -168,6 +169,12 @@ class MeanOfCents(UserAggregate):
         known = values.dropna()
         return state[0] + int((known * 100).round().astype("int64").sum()), state[1] + len(known)
 
+    def add_each(self, values, groups, count):
+        groups, known = groups[values.notna()], values.dropna()
+        cents = np.zeros(count, np.int64)
+        np.add.at(cents, groups, (known * 100).round().astype("int64").to_numpy())
+        return list(zip(cents.tolist(), np.bincount(groups, minlength=count).tolist()))
+
     def merge(self, state, other):
         return state[0] + other[0], state[1] + other[1]
 

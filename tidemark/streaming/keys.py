@@ -1,7 +1,11 @@
-"""Keys of Python operators with state, as text.
+"""Keys of Python operators with state, as text, and buckets of them.
 
 Rows reach such an operator as pandas, where an integer beside a null becomes a float: Spark would
 then keep the state of another key. Text stays what it is, nulls included.
+
+Spark calls such an operator once for each key of a micro-batch, and a call with its reads and writes
+of state takes some milliseconds, whatever is in it. So the operators group by buckets of
+keys, and one value of state holds those of all keys in a bucket.
 """
 
 from __future__ import annotations
@@ -14,6 +18,9 @@ from pyspark.sql.types import StructType
 
 from tidemark.sources.messages import MICROSECONDS
 
+#: Buckets of keys. Each is read and written whole when rows of it come: take more for a hundred million keys.
+BUCKETS = 1024
+
 _WRITTEN = {"timeZone": "UTC", "ignoreNullFields": "false", **MICROSECONDS}
 _READ = {"mode": "FAILFAST", "timeZone": "UTC"}
 
@@ -23,6 +30,11 @@ def written(columns: Sequence[Column | str]) -> Column:
     return F.to_json(F.struct(*columns), _WRITTEN)
 
 
+def bucket(key: str | Column, buckets: int) -> Column:
+    """The bucket of a key, from 0."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets))
+
+
 def parsed(text: str, schema: StructType) -> Column:
     """The columns of such a text, as a struct."""
     return F.from_json(text, schema, _READ)
