@@ -203,6 +203,9 @@ class Count(UserAggregate):
     def add(self, state, values):
         return state + int(values.notna().sum())
 
+    def add_each(self, values, groups, count):
+        return np.bincount(groups[values.notna()], minlength=count).tolist()
+
     def merge(self, state, other):
         return state + other
 
@@ -220,6 +223,12 @@ class CountAndLargest(UserAggregate):
         known = values.dropna()
         return self.merge(state, (len(known), float(known.max()) if len(known) else None))
 
+    def add_each(self, values, groups, count):
+        groups, known = groups[values.notna()], values.dropna()
+        counts, largest = np.bincount(groups, minlength=count), np.full(count, -np.inf)
+        np.maximum.at(largest, groups, known.to_numpy())
+        return [(n, most if n else None) for n, most in zip(counts.tolist(), largest.tolist())]
+
     def merge(self, state, other):
         return state[0] + other[0], max((v for v in (state[1], other[1]) if v is not None), default=None)
 
