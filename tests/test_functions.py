@@ -139,3 +139,13 @@ def test_partial_states_call_an_aggregate_once_for_many_keys(spark):
 
     found = partial_states(spark.range(5000, numPartitions=1), ["id"], "id", Calls()).collect()
     assert len(found) == 5000 and sum(pickle.loads(r["_state"])[0] for r in found) == pytest.approx(1)
+
+
+def test_keys_of_all_kinds_meet_once_without_a_call_for_each(spark):
+    nan = float("nan")
+    data = [(k, t, 1.0) for k in (nan, 0.0, -0.0, 1.5, None) for t in ("a", None, "b")] * 40
+    df = spark.createDataFrame(data, "k double, t string, v double").repartition(7)
+    means = aggregate_by_key(df, ["k", "t"], "v", Mean(), "m", DoubleType())
+    assert "FlatMapGroupsInArrow" not in means._jdf.queryExecution().toString()
+    assert sorted(map(repr, means.collect())) == sorted(map(repr, df.groupBy("k", "t").agg({"v": "avg"}).toDF("k", "t", "m").collect()))
+    assert aggregate_by_key(df.where("v > 1"), ["k"], "v", Mean(), "m", DoubleType()).count() == 0

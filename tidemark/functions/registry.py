@@ -19,8 +19,6 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, DataType, StructField, StructType
 
 KINDS = ("scalar", "aggregate", "table")
-#: A key's states from all tasks meet in so many shares before they become one.
-MERGE_SHARES = 64
 NAN = float("nan")
 
 
@@ -124,10 +122,6 @@ def partial_states(df: DataFrame, keys: Sequence[str], column: str, aggregate: U
         found = zip(*[map(plain, table.column(k).take(pa.array(first)).to_pylist()) for k in keys])
         yield from zip(found, aggregate.add_each(table.column("_value").to_pandas(), groups, count))
 
-    def plain(value: Any) -> Any:
-        """One NaN for all, so that equal keys meet in a dictionary."""
-        return NAN if isinstance(value, float) and value != value else value
-
     def packed(states: dict[tuple, Any]) -> pa.RecordBatch:
         columns = [pa.array([key[i] for key in states], type_) for i, type_ in enumerate(key_types)]
         columns.append(pa.array([pickle.dumps(s) for s in states.values()], pa.binary()))
@@ -143,27 +137,38 @@ def aggregate_by_key(
     """``aggregate`` of ``column`` per key, in two phases.
 
     Every input partition first folds its rows to one state per key; only the states
-    are shuffled. A busy key then costs one small state per partition.
+    are shuffled. A busy key then costs one small state per partition. States come sorted by key,
+    so a task merges them as they pass and holds one, however many keys and states there are.
     """
     keys = list(keys)
-
-    def merge(table: pa.Table) -> pa.Table:
-        """The states of a key and a share of the tasks become one."""
-        state = aggregate.start()
-        for part in table.column("_state").to_pylist():
-            state = aggregate.merge(state, pickle.loads(part))
-        first = table.select(keys).slice(0, 1)
-        return first.append_column("_state", pa.array([pickle.dumps(state)], pa.binary()))
-
-    def finish(table: pa.Table) -> pa.Table:
-        state = pickle.loads(merge(table).column("_state")[0].as_py())
-        return table.select(keys).slice(0, 1).append_column(name, pa.array([aggregate.finish(state)], result_type))
-
     result_type = to_arrow_type(returns)
-    states = partial_states(df, keys, column, aggregate)
-    held = states.schema
-    # States of one key first meet in shares, so that none of many tasks' states fill one worker.
-    share = (F.spark_partition_id() % MERGE_SHARES).alias("_share")
-    shares = states.select("*", share).groupBy(*keys, "_share").applyInArrow(lambda t: merge(t), held)
-    result = StructType([*[df.schema[k] for k in keys], StructField(name, returns)])
-    return shares.groupBy(*keys).applyInArrow(lambda t: finish(t), result)
+    key_types = [to_arrow_type(df.schema[k].dataType) for k in keys]
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, state = None, None
+        for batch in batches:
+            over = []  # keys whose last state has passed
+            parts = batch.column("_state").to_pylist()
+            for key, part in zip(zip(*[map(plain, batch.column(k).to_pylist()) for k in keys]), parts):
+                if key != held:
+                    if held is not None:
+                        over.append((held, aggregate.finish(state)))
+                    held, state = key, aggregate.start()
+                state = aggregate.merge(state, pickle.loads(part))
+            yield finished(over)
+        if held is not None:
+            yield finished([(held, aggregate.finish(state))])
+
+    def finished(over: list[tuple[tuple, Any]]) -> pa.RecordBatch:
+        columns = [pa.array([key[i] for key, _ in over], type_) for i, type_ in enumerate(key_types)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([value for _, value in over], result_type)], [*keys, name])
+
+    states = partial_states(df, keys, column, aggregate).repartition(*keys).sortWithinPartitions(*keys)
+    return states.mapInArrow(merge, StructType([*[df.schema[k] for k in keys], StructField(name, returns)]))
+
+
+def plain(value: Any) -> Any:
+    """One NaN and one zero for all, so that equal keys meet in a dictionary, and beside each other."""
+    if not isinstance(value, float):
+        return value
+    return NAN if value != value else value + 0.0

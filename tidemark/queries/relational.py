@@ -7,6 +7,7 @@ day or month, however large the tables.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -378,6 +379,10 @@ class Mean(UserAggregate):
     def add(self, state, values):
         return state[0] + float(values.sum()), state[1] + int(values.count())
 
+    def add_each(self, values, groups, count):
+        sums = np.bincount(groups, values.fillna(0).astype("float64"), count)
+        return list(zip(sums.tolist(), np.bincount(groups[values.notna()], minlength=count).tolist()))
+
     def merge(self, state, other):
         return state[0] + other[0], state[1] + other[1]
 
