@@ -79,6 +79,15 @@ def test_runs_of_a_table(spark):
     assert runs(spark, df.where("false"))[1] == []
 
 
+def test_runs_make_no_batch_of_each_row(spark):
+    rows = [(1, None, None), (None, float("nan"), START), (None, 1.5, START + DAY), (None, 1.5, START + 2 * DAY)]
+    df = spark.createDataFrame(rows, "k int, v double, t timestamp_ntz")
+    wanted = [(1, None, 1, None, None), (None, float("nan"), 1, START, START), (None, 1.5, 2, START + DAY, START + 2 * DAY)]
+    assert list(map(str, runs(spark, df)[1])) == sorted(map(str, wanted))
+    found = spark.sql("SELECT * FROM runs(TABLE(given) PARTITION BY k ORDER BY (t), 'k', 'v', 't')")
+    assert "ArrowEvalPythonUDTF" not in found._jdf.queryExecution().toString()
+
+
 def test_runs_says_what_is_wrong(spark):
     df = spark.createDataFrame([(1, "a", 1)], "k int, v string, t bigint")
     with pytest.raises(AnalysisException, match="no column"):

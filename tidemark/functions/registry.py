@@ -77,7 +77,8 @@ def register(spark: SparkSession, name: str, function: Any, kind: str, returns:
     elif kind == "table":
         if (returns is None) != hasattr(function, "analyze"):
             raise ValueError(f"{name}: a table function has either a schema or its own `analyze`")
-        spark.udtf.register(name, F.udtf(function, returnType=returns, useArrow=True))
+        # Rows go pickled: with Arrow, Spark makes and sends a batch of its own of what each single row gives.
+        spark.udtf.register(name, F.udtf(function, returnType=returns, useArrow=False))
     else:
         raise ValueError(f"{name}: unknown kind {kind!r} of {type(function).__name__}; known are {KINDS}")
 
