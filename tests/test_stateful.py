@@ -133,6 +133,17 @@ def test_visitors_forgotten_by_event_time_in_any_order(spark, tmp_path):
     assert states[-1] < max(states)  # only the last visitor is left
 
 
+def test_visitors_of_a_bucket_share_a_value_of_state(spark, tmp_path):
+    """A visitor costs no calls to the store: of 300 with a place, buckets keep a value, a time to wake and a timer."""
+    for number in range(2):
+        add(tmp_path / "in", number, [(n, number * 10 + n % 5, n, "ask", None) for n in range(300)])
+    out = sink(tmp_path, "kind string, pv bigint, uv bigint", ("kind",))
+    query = lambda s: pv_uv_running(s.table("events"), "kind", "user", retention=HOUR, buckets=1, by="ts")
+    handle = run(spark, tmp_path, [source(tmp_path, HOUR), out, Insert("out", query, "update")])
+    assert rows(read_back(spark, out)) == [("ask", 600, 300)]
+    assert max(r.state_rows for r in handle.metrics().collect()) < 100
+
+
 def test_retention_by_time_needs_a_stream_and_a_time(spark):
     df = spark.createDataFrame([("a", 1)], "k string, u long")
     with pytest.raises(ValueError):

@@ -13,7 +13,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from tidemark.functions.registry import UserAggregate, partial_states
-from tidemark.streaming.keys import BUCKETS, bucket, parsed, written
+from tidemark.streaming.buckets import BUCKETS, bucket
+from tidemark.streaming.keys import parsed, written
 
 STATE = "folded"
 

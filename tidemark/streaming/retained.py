@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
 from collections.abc import Iterator
 from datetime import timedelta
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +14,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from tidemark.operators.times import epoch
+from tidemark.streaming.buckets import bucket
 from tidemark.streaming.combine import count_within_task
 
 # Reading all entries of a bucket in bulk beats asking for single ones up to this many
 # entries per visitor.
 SCAN_RATIO = 30
+# Visits by time keep all visitors of a bucket in one value: buckets are this much finer.
+FINER = 16
 
 
 class FirstVisits(StatefulProcessor):
@@ -75,7 +78,8 @@ class VisitsByTime(StatefulProcessor):
     of a visitor's visits without such a pause that the watermark has not left behind. A row out
     of order may join two stretches, which takes one back: the sums of the steps are right
     in the end whatever the order. A timer for the earliest end removes stretches that no row
-    in time can join any more.
+    in time can join any more. One value holds the stretches of all visitors of the bucket, as
+    each call to the store costs more than what is in it.
     """
 
     def __init__(self, retention_us: int):
@@ -83,8 +87,7 @@ class VisitsByTime(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        visitor = StructType([StructField("visitor", StringType())])
-        self.open = handle.getMapState("open", visitor, StructType([StructField("stretches", BinaryType())]))
+        self.open = handle.getValueState("open", StructType([StructField("stretches", BinaryType())]))
         self.wake = handle.getValueState("wake", StructType([StructField("at", LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -95,18 +98,22 @@ class VisitsByTime(StatefulProcessor):
                 visits += int(n)
                 if visitor is not None and not pd.isna(at):
                     times[visitor].add(int(at))
-        step, soonest = 0, None
-        for visitor, mine in times.items():
-            held = self.open.getValue((visitor,))
-            before = np.frombuffer(held[0], np.int64).reshape(-1, 2).tolist() if held is not None else []
-            after = self._joined(before + [[t, t] for t in mine])
-            step += len(after) - len(before)
-            self.open.updateValue((visitor,), (np.array(after, np.int64).tobytes(),))
-            soonest = min(after[0][1], soonest) if soonest is not None else after[0][1]
-        if soonest is not None:
-            self._wake_at(soonest)
+        if times:
+            step, stretches = 0, self._held()
+            for visitor, mine in times.items():
+                before = stretches.get(visitor, [])
+                stretches[visitor] = after = self._joined(before + [[t, t] for t in mine])
+                step += len(after) - len(before)
+            self.open.update((pickle.dumps(stretches),))
+            self._wake_at(min(stretches[visitor][0][1] for visitor in times))
+        else:
+            step = 0
         yield pd.DataFrame({"place": [key[0]], "pv": [visits], "uv": [step]})
 
+    def _held(self) -> dict[str, list[list[int]]]:
+        held = self.open.get()
+        return pickle.loads(held[0]) if held is not None else {}
+
     def _joined(self, stretches: list[list[int]]) -> list[list[int]]:
         out: list[list[int]] = []
         for begin, end in sorted(stretches):
@@ -129,20 +136,13 @@ class VisitsByTime(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         known = timerValues.getCurrentWatermarkInMs() * 1000
         self.wake.clear()
-        left, gone = [], []
-        for (visitor,), (held,) in list(self.open.iterator()):
-            stretches = np.frombuffer(held, np.int64).reshape(-1, 2)
-            alive = stretches[stretches[:, 1] + self.retention > known]
-            if not len(alive):
-                gone.append(visitor)
-            else:
-                left.append(int(alive[0, 1]))
-                if len(alive) < len(stretches):
-                    self.open.updateValue((visitor,), (alive.tobytes(),))
-        for visitor in gone:
-            self.open.removeKey((visitor,))
-        if left:
-            self._wake_at(min(left))
+        alive = {v: [s for s in mine if s[1] + self.retention > known] for v, mine in self._held().items()}
+        alive = {v: mine for v, mine in alive.items() if mine}
+        if alive:
+            self.open.update((pickle.dumps(alive),))
+            self._wake_at(min(mine[0][1] for mine in alive.values()))
+        else:
+            self.open.clear()
         yield pd.DataFrame({"place": pd.Series([], dtype=object), "pv": pd.Series([], dtype="int64"), "uv": pd.Series([], dtype="int64")})
 
     def close(self) -> None:
@@ -162,8 +162,7 @@ def visits_by_time(df: DataFrame, key: str, user: str, time: str, retention: tim
         F.col(key).cast("string").alias("place"), F.col(user).cast("string").alias("visitor"), at.alias("at"), F.col(time).alias("when")
     )
     rows = count_within_task(text, ["place", "visitor", "at", "when"], "visits")
-    bucket = F.pmod(F.xxhash64("visitor"), F.lit(buckets)).alias("bucket")
-    rows = rows.select("place", bucket, "visitor", "at", "visits", "when")
+    rows = rows.select("place", bucket("visitor", buckets * FINER).alias("bucket"), "visitor", "at", "visits", "when")
     steps = rows.groupBy("place", "bucket").transformWithStateInPandas(
         VisitsByTime(retention // timedelta(microseconds=1)),
         outputStructType=StructType.fromDDL(STEPS),
@@ -183,9 +182,7 @@ def first_visits(
     state asks for one more empty batch for ever.
     """
     text = df.select(F.col(key).cast("string").alias("place"), F.col(user).cast("string").alias("visitor"))
-    rows = count_within_task(text, ["place", "visitor"], "visits").withColumn(
-        "bucket", F.pmod(F.xxhash64("visitor"), F.lit(buckets))
-    )
+    rows = count_within_task(text, ["place", "visitor"], "visits").withColumn("bucket", bucket("visitor", buckets))
     steps = rows.groupBy("place", "bucket").transformWithStateInPandas(
         FirstVisits(_ms(least), _ms(most - least)) if most else FirstVisits(None, 0),
         outputStructType=StructType.fromDDL(STEPS),
