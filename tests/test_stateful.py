@@ -12,7 +12,8 @@ import feeds
 from tidemark.operators import as_of_join, pv_uv_running
 from tidemark.plans import Insert, Job
 from tidemark.queries.relational import Mean
-from tidemark.queries.stateful import Count, CountAndLargest
+from tidemark.queries.stateful import Count, CountAndLargest, asof_join_stream
+from tidemark.queries.timeline import asof_left
 from tidemark.sources import Table, read_back
 from tidemark.sources.changes import read_batches
 from tidemark.streaming.aggregate import aggregate_running, carried_states
@@ -88,6 +89,31 @@ def test_versions_of_a_stream_that_is_out_of_order(spark, tmp_path, how, shares)
     assert metrics[max(metrics)].state_rows <= 8 * shares  # a version and a timer for each key
 
 
+def test_many_keys_with_versions_share_values_of_state(spark, tmp_path):
+    for number in range(2):
+        add(tmp_path / "in", number, [(n, number * 100 + n % 7, n // 2, ("set", "ask")[n % 2], float(number)) for n in range(200)])
+    add(tmp_path / "in", 2, [(-1, 5_000, -1, kind, None) for kind in ("ask", "set")])
+    add(tmp_path / "in", 3, [(-1, 9_000, -1, kind, None) for kind in ("ask", "set")])
+    out = sink(tmp_path, "n bigint, user bigint, ts timestamp, set_n bigint")
+    asked = lambda df: df.where("kind = 'ask'").select("n", "user", "ts")
+    joined = lambda join, s, **more: join(asked(s.table("events")), s.table("events").where("kind = 'set'"), ["user"], "ts", "ts", {"set_n": "n"}, **more)
+    handle = run(spark, tmp_path, [source(tmp_path, MINUTE), out, Insert("out", lambda s: joined(as_of_join_stream, s, buckets=4))])
+    spark.read.schema(TEXT).parquet(str(tmp_path / "in")).createOrReplaceTempView("events")
+    wanted = rows(joined(as_of_join, spark).where("user <> -1"))
+    assert len(wanted) == 200 and rows(read_back(spark, out).where("user <> -1")) == wanted
+    assert max(r.state_rows for r in handle.metrics().collect()) <= 20  # a value and a few timers for each bucket
+
+
+def test_the_last_probes_are_answered_however_many_files_there_are(spark, data, tmp_path):
+    """With eight files a slice the last rows and both rows that close the time came in one batch."""
+    events = spark.read.parquet(f"{data}/events.parquet")
+    events.repartition(8).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "4096")
+    found = asof_join_stream(spark, str(tmp_path)).select("event_id", "view_id")
+    assert rows(found) == rows(asof_left(spark, data).select("event_id", "view_id"))
+
+
 def test_versions_need_two_streams_and_new_names(spark):
     df = spark.createDataFrame([], TEXT)
     for options in ({"how": "full"}, {}):
