@@ -8,6 +8,7 @@ from re import _parser as re_parser
 import numpy as np
 import plain
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from oracle import from_spark, from_sql
 from pyspark.sql import functions as F
@@ -21,9 +22,10 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.probminhash import near_duplicates, signatures, similarity
 from tidemark.llm.quality_rules import apply_rules, measured
 from tidemark.llm.secrets import listed, scan_secrets
+from tidemark.llm.spans import Texts, binary
 from tidemark.llm.substring import drop_repeats
 from tidemark.llm.suffixes import drop_repeated_bytes
-from tidemark.llm.tokens import encode_corpus, find_tokens, write_tokens
+from tidemark.llm.tokens import Encoder, encode_corpus, find_tokens, write_tokens
 
 
 def alike(found, wanted):
@@ -338,6 +340,22 @@ def test_token_files_of_odd(cluster, tmp_path, odd, odd_rows):
     assert len(few) == 1 and few[0].ids[-1] == 2
 
 
+def test_ids_of_many_texts_at_once_equal_the_library():
+    """Ids come in one array for all texts; words that the rules leave as they are need the model alone."""
+    draw, vocabulary = random.Random(3), public_tokenizers.path("word_bpe_49k.json")
+    parts = ["ab", "Z", "é", "É", "İ", "ß", "ﬁ", "ΑΣ", "漢", " ", "\n", "\x1c", "\u0301", ".", "(", "'s", "<|", "|>", "<|endoftext|>", "1"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 12))) for _ in range(3000)]
+    wanted = [x.ids for x in Tokenizer.from_file(vocabulary).encode_batch(texts, add_special_tokens=False)]
+    for encoder in (Encoder(vocabulary), Encoder(vocabulary, memory=100)):
+        for _ in range(2):  # the second time from memory
+            ids, places = encoder(Texts(binary(pa.array(texts))))
+            assert [ids[a:b].tolist() for a, b in zip(places[:-1], places[1:])] == wanted
+    encoder = Encoder(vocabulary)
+    encoder.tokenizer, whole = None, encoder.tokenizer
+    ids, _ = encoder(Texts(binary(pa.array(["Größe ÉTÉ plain", "", "words"]))))
+    assert ids.tolist() == whole.encode("Größe ÉTÉ plain words", add_special_tokens=False).ids
+
+
 def test_token_files_have_bloom_filters(odd, tmp_path):
     write_tokens(odd, str(tmp_path / "files"), public_tokenizers.path("word_bpe_49k.json"))
     from pyarrow import orc

@@ -3,24 +3,22 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import parts_for, text_bytes
-from tidemark.llm.spans import binary
+from tidemark.llm.spans import IN_WORD, Texts, binary, in_pieces
 from tidemark.session import shared_dir
 
 #: Bytes of text that become one file.
 FILE_BYTES = 32 << 20
 #: Bytes of text that are encoded at once.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 8 << 20
 #: Words of which a worker remembers the ids; beyond, it starts anew.
 WORDS = 1_500_000
 #: The number of a file, from its name.
@@ -36,70 +34,125 @@ ORC = {
 }
 
 
-#: Between a letter or digit and a mark after it, where the vocabulary's splitting always parts them.
-PART = re.compile(rb'(?<=[0-9a-z])(?=[.,;:!?|%&#*$"()])')
+def _bytes_of(*some: int) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(some)] = True
+    return table
+
+
+LOWERED = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+#: A letter or digit and a mark after it are always parted by the vocabulary's splitting.
+LETTER, MARK = _bytes_of(*b"0123456789abcdefghijklmnopqrstuvwxyz"), _bytes_of(*b'.,;:!?|%&#*$"()')
 WORD_END = "</w>"
 
 
+def _pieces(texts: Texts) -> tuple[pa.Array, np.ndarray]:
+    """Words and marks of all texts in a row, lower-cased, and where each text's begin.
+
+    What stands between white space and may hold a special token stays as it is.
+    """
+    data = texts.bytes
+    inside = IN_WORD[data]
+    low = LOWERED[data]
+    edge = np.ones(len(data), bool)  # nothing of the same text that is no white space stands before
+    edge[1:] = ~inside[:-1]
+    edge[texts.offsets[:-1][np.diff(texts.offsets) > 0]] = True
+    edge &= inside
+    parted = MARK[data]
+    parted[1:] &= LETTER[low[:-1]]
+    special = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+    if len(special):
+        starts = np.flatnonzero(edge)
+        whole = np.unique(np.searchsorted(starts, special, "right")) - 1
+        steps = np.zeros(len(data) + 1, np.int8)
+        steps[starts[whole]] = 1
+        after = whole[whole + 1 < len(starts)] + 1
+        steps[starts[after]] -= 1
+        kept = np.cumsum(steps[:-1], dtype=np.int8) > 0
+        low[kept] = data[kept]
+        parted[kept] = False
+    edge |= parted
+    at = np.flatnonzero(edge)
+    offsets = np.append(np.flatnonzero(edge[inside]), np.count_nonzero(inside)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(low[inside])])
+    return words, np.searchsorted(at, texts.offsets)
+
+
 class Encoder:
     """Ids of whole texts, from those of their pieces between ASCII white space.
 
     The vocabulary must never join or look across white space and must drop it; must take
-    A-Z for a-z; must part a run of letters from marks after it; and must mark the last id of
-    such a run. Then the ids of a text are those of its words and marks in a row. Most words
-    come again and again, so their ids are kept, and the library encodes only new ones, many
-    plain words in one call.
+    A-Z for a-z; must part a run of letters from marks after it; must take the letters of its
+    model for bytes; and must mark the last id of such a run. Then the ids of a text are those
+    of its words and marks in a row. Most words come again and again, so their ids are kept in
+    one array, from which those of all words of many texts are taken at once; the library
+    encodes only new ones, many plain words in one call.
     """
 
     def __init__(self, vocabulary: str, memory: int = WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks already take all cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        # The model alone, for words that the vocabulary's own rules would neither change nor split.
+        self.plain = Tokenizer(self.tokenizer.model)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), as_bytes])
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith(WORD_END)]] = True
         self.memory = memory
-        self.words: dict[bytes, bytes] = {}  # 4 bytes for each id
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[bytes, int] = {}  # the number of each known word
+        self.ids = np.zeros(0, np.uint32)  # of all known words in a row
+        self.bounds = np.zeros(1, np.int64)  # of each word's ids
 
     def _encode(self, pieces: list[bytes]) -> None:
-        texts = [p.decode() for p in pieces]
+        texts = [p.decode().lower() for p in pieces]
         # Latin letters only: a run of them is one word to any version of the tables of letters.
-        plain = [t.lower().isalpha() and (t.isascii() or max(t) < "\u0250") for t in texts]
-        words = [(p, t) for p, t, is_plain in zip(pieces, texts, plain) if is_plain]
+        plain = [t.isalpha() and (t.isascii() or max(t) < "\u0250") for t in texts]
+        words = [p for p, is_plain in zip(pieces, plain) if is_plain]
+        ids, stops = [], []
         if words:
-            joined = self.tokenizer.encode_batch_fast([" ".join([t for _, t in words])], add_special_tokens=False)[0]
-            ids = np.array(joined.ids, np.uint32)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(words):
+            joined = self.plain.encode_batch_fast([" ".join([t for t, is_plain in zip(texts, plain) if is_plain])], add_special_tokens=False)[0]
+            ids.append(np.array(joined.ids, np.uint32))
+            stops.append(np.flatnonzero(self.ends[ids[0]]) + 1)
+            if len(stops[0]) != len(words):
                 raise ValueError("the vocabulary must mark the last id of each word, and no other")
-            raw, start = ids.tobytes(), 0
-            for (piece, _), stop in zip(words, (stops * 4).tolist()):
-                self.words[piece] = raw[start:stop]
-                start = stop
-        rest = [(p, t) for p, t, is_plain in zip(pieces, texts, plain) if not is_plain]
-        for (piece, _), found in zip(rest, self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)):
-            self.words[piece] = np.array(found.ids, np.uint32).tobytes()
-
-    @staticmethod
-    def _split(text: bytes) -> list[bytes]:
-        """Words and marks. Pieces that may hold a special token stay as they are."""
-        if b"<|" not in text:
-            return PART.sub(b" ", text.lower()).split()
-        parted = [[p] if b"<|" in p else PART.sub(b" ", p.lower()).split() for p in text.split()]
-        return [x for some in parted for x in some]
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text, as 4 bytes each."""
-        split = [self._split(text) for text in texts]
-        distinct = set().union(*split)
-        new = distinct.difference(self.words)
+        rest = [p for p, is_plain in zip(pieces, plain) if not is_plain]
+        if rest:
+            found = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)]
+            stops.append(np.cumsum([len(x) for x in found]) + sum(map(len, ids)))
+            ids.append(np.array([i for x in found for i in x], np.uint32))
+        first = len(self.words)
+        self.bounds = np.concatenate([self.bounds, *[x + len(self.ids) for x in stops]])
+        self.ids = np.concatenate([self.ids, *ids])
+        self.words.update(zip(words + rest, range(first, first + len(pieces))))
+
+    def __call__(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin."""
+        pieces, cuts = _pieces(texts)
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = list(map(self.words.get, distinct))
+        new = [x for x, n in zip(distinct, known) if n is None]
         if len(self.words) + len(new) > self.memory:
-            self.words.clear()
+            self._forget()
             new = distinct
         if new:
-            self._encode(list(new))
-        return [b"".join(map(self.words.__getitem__, some)) for some in split]
+            self._encode(new)
+            known = list(map(self.words.__getitem__, distinct))
+        number = np.array(known, np.int64)
+        start, size = self.bounds[number], np.diff(self.bounds)[number]
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        sizes = size[index]
+        places = np.zeros(len(index) + 1, np.int64)
+        np.cumsum(sizes, out=places[1:])
+        at = np.repeat(start[index] - places[:-1], sizes)
+        at += np.arange(len(at))
+        return self.ids[at], places[cuts]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -130,23 +183,21 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(vocabulary)
-        end = np.array([end_id], np.uint32).tobytes()
         ahead = 0  # ids of this file so far
         for batch in batches:
-            texts = binary(batch.column("text"))
-            places = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-            at = 0
-            while at < len(batch):  # few rows at a time: ids take more room than texts
-                stop = max(at + 1, int(np.searchsorted(places, (places[at - 1] if at else 0) + PIECE_BYTES)))
-                ids = encode_texts(texts.slice(at, stop - at).to_pylist())
-                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 + 1 for x in ids])))
-                flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(end.join(ids) + end)])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+            for row, texts in in_pieces(binary(batch.column("text")), PIECE_BYTES):  # ids take more room than texts
+                n = len(texts)
+                ids, places = encode_texts(texts)
+                offsets = places + np.arange(n + 1)
+                flat = np.full(offsets[-1], end_id, np.uint32)
+                own = np.ones(len(flat), bool)
+                own[offsets[1:] - 1] = False
+                flat[own] = ids
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int32)))
                 sizes, places_in_file = pa.array(np.diff(offsets), pa.int64()), pa.array(ahead + offsets[:-1], pa.int64())
                 ahead += int(offsets[-1])
-                columns = [batch.column("doc_id").slice(at, stop - at), sizes, places_in_file, lists]
+                columns = [batch.column("doc_id").slice(row, n), sizes, places_in_file, lists]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "place", "ids"])
-                at = stop
 
     rows.mapInArrow(encode, "doc_id long, size long, place long, ids array<int>").write.options(**ORC).orc(folder)
 
