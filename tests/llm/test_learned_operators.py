@@ -134,6 +134,16 @@ def test_components(cluster):
     assert components(cluster.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_components_of_few_edges_take_few_tasks(cluster):
+    """However many partitions the session shuffles to: else each round leaves thousands of tasks and files."""
+    session = cluster.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "64")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    found = components(session.createDataFrame([(i, i + 1) for i in range(0, 300, 2)], "a long, b long"))
+    assert found.count() == 150
+    assert found.rdd.getNumPartitions() <= 4
+
+
 def test_pipeline_stage_by_stage(cluster, data, tmp_path):
     docs = cluster.read.parquet(f"{data}/documents.parquet")
     seen = {}
