@@ -18,9 +18,11 @@ from tidemark.session import shared_dir
 #: Bytes of text that become one file.
 FILE_BYTES = 32 << 20
 #: Bytes of text that are encoded at once.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 #: Words of which a worker remembers the ids; beyond, it starts anew.
 WORDS = 1_500_000
+#: New words that the library encodes in one call: what it returns takes hundreds of bytes for each.
+CALL = 1 << 14
 #: The number of a file, from its name.
 FILE = "CAST(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) AS INT)"
 #: ORC settings: ids are integers under run-length encoding, ``doc_id`` has an index and a Bloom filter.
@@ -110,26 +112,30 @@ class Encoder:
         self.bounds = np.zeros(1, np.int64)  # of each word's ids
 
     def _encode(self, pieces: list[bytes]) -> None:
+        ids, ends, known = [self.ids], [self.bounds], len(self.ids)
+        for at in range(0, len(pieces), CALL):
+            order, found, stops = self._call(pieces[at : at + CALL])
+            self.words.update(zip(order, range(len(self.words), len(self.words) + len(order))))
+            ids.append(found)
+            ends.append(stops + known)
+            known += len(found)
+        self.ids, self.bounds = np.concatenate(ids), np.concatenate(ends)
+
+    def _call(self, pieces: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The pieces in another order, their ids in a row, and where each one's end."""
         texts = [p.decode().lower() for p in pieces]
         # Latin letters only: a run of them is one word to any version of the tables of letters.
         plain = [t.isalpha() and (t.isascii() or max(t) < "\u0250") for t in texts]
         words = [p for p, is_plain in zip(pieces, plain) if is_plain]
-        ids, stops = [], []
-        if words:
-            joined = self.plain.encode_batch_fast([" ".join([t for t, is_plain in zip(texts, plain) if is_plain])], add_special_tokens=False)[0]
-            ids.append(np.array(joined.ids, np.uint32))
-            stops.append(np.flatnonzero(self.ends[ids[0]]) + 1)
-            if len(stops[0]) != len(words):
-                raise ValueError("the vocabulary must mark the last id of each word, and no other")
         rest = [p for p, is_plain in zip(pieces, plain) if not is_plain]
-        if rest:
-            found = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)]
-            stops.append(np.cumsum([len(x) for x in found]) + sum(map(len, ids)))
-            ids.append(np.array([i for x in found for i in x], np.uint32))
-        first = len(self.words)
-        self.bounds = np.concatenate([self.bounds, *[x + len(self.ids) for x in stops]])
-        self.ids = np.concatenate([self.ids, *ids])
-        self.words.update(zip(words + rest, range(first, first + len(pieces))))
+        joined = self.plain.encode_batch_fast([" ".join([t for t, is_plain in zip(texts, plain) if is_plain])], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, np.uint32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            raise ValueError("the vocabulary must mark the last id of each word, and no other")
+        found = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)] if rest else []
+        others = np.array([i for x in found for i in x], np.uint32)
+        return words + rest, np.append(ids, others), np.append(stops, np.cumsum([len(x) for x in found], dtype=np.int64) + len(ids))
 
     def __call__(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's begin."""
@@ -145,13 +151,13 @@ class Encoder:
             self._encode(new)
             known = list(map(self.words.__getitem__, distinct))
         number = np.array(known, np.int64)
-        start, size = self.bounds[number], np.diff(self.bounds)[number]
+        start, size = self.bounds[number], np.diff(self.bounds)[number].astype(np.int32)
         index = coded.indices.to_numpy(zero_copy_only=False)
         sizes = size[index]
-        places = np.zeros(len(index) + 1, np.int64)
+        places = np.zeros(len(index) + 1, np.int32)
         np.cumsum(sizes, out=places[1:])
-        at = np.repeat(start[index] - places[:-1], sizes)
-        at += np.arange(len(at))
+        at = np.repeat(start.astype(np.int32)[index] - places[:-1], sizes)
+        at += np.arange(len(at), dtype=np.int32)
         return self.ids[at], places[cuts]
 
 
@@ -188,7 +194,7 @@ def write_tokens(
             for row, texts in in_pieces(binary(batch.column("text")), PIECE_BYTES):  # ids take more room than texts
                 n = len(texts)
                 ids, places = encode_texts(texts)
-                offsets = places + np.arange(n + 1)
+                offsets = places + np.arange(n + 1, dtype=np.int64)
                 flat = np.full(offsets[-1], end_id, np.uint32)
                 own = np.ones(len(flat), bool)
                 own[offsets[1:] - 1] = False
