@@ -263,6 +263,17 @@ def test_registers_agree_with_probability_jaccard():
     assert (found[0] == found[1]).mean() == pytest.approx(exact, abs=0.04)
 
 
+def test_finer_registers_are_made_of_few_texts_at_once():
+    """Their work arrays take hundreds of bytes for a byte of text, so pieces are small; registers are the same."""
+    texts = [f"{i} " + " ".join(f"w{(i * k) % 97}" for k in range(60)) for i in range(2000)]
+    nodes = [str(i).encode() for i in range(2000)]
+    batch = lambda at, to: pa.RecordBatch.from_arrays([pa.array(nodes[at:to]), pa.array(texts[at:to])], ["node", "body"])
+    found = list(probminhash._fine(iter([batch(0, 2000)])))
+    assert max(map(len, found)) <= 1000 and sum(map(len, found)) == 2000
+    (alone,) = probminhash._fine(iter([batch(1990, 2000)]))
+    assert pa.Table.from_batches(found).slice(1990).to_pylist() == alone.to_pylist()
+
+
 def test_registers_lose_fewer_links_than_bands(cluster):
     """A pair at the threshold whose registers, or their bits, agree less than expected is still verified."""
     n, p = probminhash.FINE, 0.8

@@ -27,6 +27,10 @@ LEADER_TURNS = 2
 FINE, MARGIN = 1024, 5.0
 #: Bytes of text that are sketched at once; work arrays take a hundred times as much.
 PIECE_BYTES = 1 << 20
+#: The same for finer registers, whose arrivals take some 200 bytes for a byte of short texts.
+FINE_BYTES = PIECE_BYTES // 8
+#: Pairs of texts that are compared at once.
+PAIRS = 1000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -129,7 +133,7 @@ def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Other registers agree in 8 bits once in 256: so no pair is lost, and few more are verified.
     """
     for batch in batches:
-        for row, texts in in_pieces(binary(batch.column("body")), PIECE_BYTES):
+        for row, texts in in_pieces(binary(batch.column("body")), FINE_BYTES):
             n = len(texts)
             registers = signatures(n, *shingles(Words(texts)), FINE).astype(np.uint8)
             bits = np.packbits(registers & 1, axis=1).view(np.int64)
@@ -164,7 +168,7 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _weighed(column: pa.Array, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
     out: list[tuple[np.ndarray, np.ndarray]] = []
-    for _, texts in in_pieces(binary(column)):
+    for _, texts in in_pieces(binary(column), PIECE_BYTES):
         text, shingle, weight = shingles(Words(texts), size)
         order = np.lexsort((shingle, text))
         text, shingle, weight = text[order], shingle[order], weight[order]
@@ -177,7 +181,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of nodes that are at least so similar. ``texts``: (node, body)."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(row, PAIRS) for whole in batches for row in range(0, len(whole), PAIRS)):
             left, right = _weighed(batch.column("one"), SHINGLE), _weighed(batch.column("other"), SHINGLE)
             keep = pa.array([similarity(x, y) >= threshold for x, y in zip(left, right)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(keep)
