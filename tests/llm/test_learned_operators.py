@@ -1,17 +1,21 @@
 """The classifier, certified cutoffs, and the pipeline."""
 
 import os
+import tracemalloc
 import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import classifier, queries
 from tidemark.llm.classifier import classify, score, train
 from tidemark.llm.components import components
+from tidemark.llm.probminhash import near_duplicates
 from tidemark.llm.quality_rules import apply_rules, at_most, certified
 
 
@@ -63,6 +67,19 @@ def test_repeated_rows_teach_once(cluster, monkeypatch):
     assert sum(int(open(f"{seen}/{name}").read()) for name in os.listdir(seen)) == len(taught)
 
 
+def test_learning_takes_little_memory_at_once():
+    """Beside its features, work arrays of a piece only: workers keep much of the most they ever took."""
+    draw = np.random.default_rng(1)
+    texts = [" ".join(map(str, draw.integers(0, 5000, 60))) for _ in range(8000)]  # 2.3 MB
+    table = pa.table({"_body": texts, "goal": np.arange(8000) % 2.0, "turn": np.arange(8000)})
+    tracemalloc.start()
+    try:
+        classifier._learn(table, classifier.Settings(), 1)
+        assert tracemalloc.get_traced_memory()[1] < 70e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_held_out_labels_teach_nothing(cluster, data):
     docs, labels = (cluster.read.parquet(f"{data}/{name}.parquet") for name in ("documents", "labels"))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -144,6 +161,16 @@ def test_components_of_few_edges_take_few_tasks(cluster):
     assert found.rdd.getNumPartitions() <= 4
 
 
+def test_near_copies_start_no_second_kind_of_worker(cluster, odd, monkeypatch):
+    """Rows made of the driver's Python are decoded by Python workers of their own on every executor."""
+
+    def refused(*a, **b):
+        raise AssertionError("rows of the driver's Python")
+
+    monkeypatch.setattr(SparkSession, "createDataFrame", refused)
+    assert near_duplicates(odd).count() == odd.count()
+
+
 def test_pipeline_stage_by_stage(cluster, data, tmp_path):
     docs = cluster.read.parquet(f"{data}/documents.parquet")
     seen = {}

@@ -20,6 +20,8 @@ SAMPLE_ROWS = 16_000
 #: Learners that see the sample in shares of their own; their weights are averaged.
 SHARES = 4
 PASSES = 8
+#: Bytes of text of which features are made at once; work arrays take some 150 times as much.
+PIECE_BYTES = 1 << 18
 FOLDS = 5
 
 
@@ -91,7 +93,7 @@ def _learn(table: pa.Table, settings: Settings, passes: int) -> pa.Table:
     table = table.take(pa.array(order))
     goals = table.column("goal").to_numpy()
     rows: list[tuple[np.ndarray, np.ndarray]] = []
-    for _, texts in in_pieces(binary(table.column(BODY))):
+    for _, texts in in_pieces(binary(table.column(BODY)), PIECE_BYTES):
         text, place, value = features(texts)
         cuts = np.searchsorted(text, np.arange(len(texts) + 1))
         rows += [(place[a:b], value[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
@@ -159,7 +161,7 @@ def score(docs: DataFrame, model: np.ndarray, id_col: str = "doc_id", text_col:
         weight = sent.value.astype(float)
         for batch in batches:
             scores = []
-            for _, texts in in_pieces(binary(batch.column(BODY))):
+            for _, texts in in_pieces(binary(batch.column(BODY)), PIECE_BYTES):
                 text, place, value = features(texts)
                 total = np.bincount(text, weight[place] * value, len(texts)) + weight[-1]
                 scores.append(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))

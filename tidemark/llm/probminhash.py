@@ -26,9 +26,9 @@ LEADER_TURNS = 2
 #: pairs in a million, so bands and margins together lose 3 in 100,000.
 FINE, MARGIN = 1024, 5.0
 #: Bytes of text that are sketched at once; work arrays take a hundred times as much.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: The same for finer registers, whose arrivals take some 200 bytes for a byte of short texts.
-FINE_BYTES = PIECE_BYTES // 8
+FINE_BYTES = 1 << 17
 #: Pairs of texts that are compared at once.
 PAIRS = 1000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     and kept. A null id is carried through; a class of null ids has a null ``class_id``. Only
     the two named columns are read. An empty table gives an empty table.
     """
-    spark, rows = docs.sparkSession, keyed(docs, id_col, text_col)
+    rows = keyed(docs, id_col, text_col)
     sketched = rows.mapInArrow(_sketch, f"{KEY} long, {TWIN} long, node binary, bands array<long>")
     sketched = _stored(sketched, "sketches")
     nodes = sketched.where("node IS NOT NULL").groupBy("node")
@@ -241,8 +241,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     texts = rows.join(wanted, F.expr(f"{KEY} <=> k AND {TWIN} = t")).select("node", F.col(BODY).alias("body"))
     texts = _stored(texts.dropDuplicates(["node"]), "texts")
 
-    roots = spark.createDataFrame([], "node binary, root binary")
-    tested = spark.createDataFrame([], "a binary, b binary")
+    # Not from rows of the driver's Python: for those each executor would start Python workers of another kind.
+    roots = nodes.select("node", F.col("node").alias("root")).where("false")
+    tested = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
     links: list[DataFrame] = []
     for turn in range(LEADER_TURNS + 1):
         pairs = _led(met, roots, tested) if turn < LEADER_TURNS else _open(nodes, met, roots, threshold, texts)
